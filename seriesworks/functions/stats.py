@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _KOLMOGOROV_TERMS = 100
 
@@ -44,7 +45,7 @@ def _chi_square_tail(x: float, dof: float) -> float:
     return min(1.0, total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _chi_square_p(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([_chi_square_tail(a, b) for a, b in zip(x, dof)], dtype="float64")
 
