@@ -113,12 +113,11 @@ def _sql(body: str, *ctes: str, extra: str = "") -> str:
 
 
 def _r(expr: str, name: str, digits: int = 6) -> str:
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {name}"
+    return f"round(CAST({expr} AS DOUBLE) + 1e-9, {digits}) + 0.0 AS {name}"
 
 
 _SALES_COLUMNS = (
-    "gcode, create_dt, round(qty, 4) + 0.0 AS qty, round(invoice_price, 4) + 0.0 AS invoice_price, cust_name, "
-    "code, gname, sale_area_id, contno, round(invoice_tax_rate, 4) + 0.0 AS invoice_tax_rate"
+    "gcode, create_dt, qty, invoice_price, cust_name, code, gname, sale_area_id, contno, invoice_tax_rate"
 )
 
 _METRICS = """
@@ -149,7 +148,7 @@ def _rolling(windows, statistics, source="sales_quantity", digits=5, ending=0) -
         for s in statistics:
             value = functions[s].format(x=source) + " " + over
             out.append(
-                f"CASE WHEN count({source}) {over} = {n} THEN round({value}, {digits}) + 0.0 END "
+                f"CASE WHEN count({source}) {over} = {n} THEN round({value} + 1e-9, {digits}) + 0.0 END "
                 f"AS sales_quantity_rolling_{n}_{s}"
             )
     return ", ".join(out)
@@ -186,9 +185,9 @@ def _cyclic(digits: int) -> str:
 _CALENDAR_LIST = ", ".join(f"{e} AS {n}" for n, e in _CALENDAR.items())
 _SO_FAR = f"OVER ({_BY_SERIES} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 _EXPANDING = (
-    f"CASE WHEN sales_quantity IS NOT NULL THEN round(sum(sales_quantity) {_SO_FAR}, 5) + 0.0 END AS sales_quantity_cumsum, "
-    f"round(avg(sales_quantity) {_SO_FAR}, 5) + 0.0 AS sales_quantity_cummean, "
-    f"round(stddev_samp(sales_quantity) {_SO_FAR}, 5) + 0.0 AS sales_quantity_cumstd"
+    f"CASE WHEN sales_quantity IS NOT NULL THEN round(sum(sales_quantity) {_SO_FAR} + 1e-9, 5) + 0.0 END AS sales_quantity_cumsum, "
+    f"round(avg(sales_quantity) {_SO_FAR} + 1e-9, 5) + 0.0 AS sales_quantity_cummean, "
+    f"round(stddev_samp(sales_quantity) {_SO_FAR} + 1e-9, 5) + 0.0 AS sales_quantity_cumstd"
 )
 _DIFFS = ", ".join(
     f"sales_quantity - lag(sales_quantity, {p}) OVER {_W} AS sales_quantity_diff_{p}" for p in config.DIFF_PERIODS
@@ -201,10 +200,10 @@ _CLIPPED = f"""clipped AS (
                  quantile_cont(sales_quantity, 0.75) OVER ({_BY_SERIES}) AS q3 FROM dense))"""
 
 _FULL_SELECT = f"""
-    SELECT drug_id, hospital_id, date, round(sales_quantity, 5) + 0.0 AS sales_quantity, {_CALENDAR_LIST},
-           {_cyclic(5)}, {", ".join(f"round(lag(sales_quantity, {n}) OVER {_W}, 5) + 0.0 AS sales_quantity_lag_{n}" for n in config.LAGS)},
+    SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_CALENDAR_LIST},
+           {_cyclic(5)}, {", ".join(f"round(lag(sales_quantity, {n}) OVER {_W} + 1e-9, 5) + 0.0 AS sales_quantity_lag_{n}" for n in config.LAGS)},
            {_rolling(config.WINDOWS, config.STATISTICS)},
-           {", ".join(f"round(sales_quantity - lag(sales_quantity, {p}) OVER {_W}, 5) + 0.0 AS sales_quantity_diff_{p}" for p in config.DIFF_PERIODS)},
+           {", ".join(f"round(sales_quantity - lag(sales_quantity, {p}) OVER {_W} + 1e-9, 5) + 0.0 AS sales_quantity_diff_{p}" for p in config.DIFF_PERIODS)},
            {_EXPANDING}
     FROM clipped"""
 _FULL_FEATURES = [
@@ -281,14 +280,14 @@ _KS = """ks_counts AS (SELECT feature, x, count(*) FILTER (NOT is_current) AS b,
            CAST(max(nc) AS BIGINT) AS n_current FROM ks_cum GROUP BY feature)"""
 _KS_LAMBDA = "sqrt(CAST(n_baseline AS DOUBLE) * n_current / (n_baseline + n_current)) * statistic"
 _KS_P = (
-    f"CASE WHEN {_KS_LAMBDA} < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum(list_transform(range(1, 101), "
-    f"k -> (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * ({_KS_LAMBDA}) * ({_KS_LAMBDA})))), 0), 1) END"
+    f"CASE WHEN {_KS_LAMBDA} < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum([(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) "
+    f"* exp(-2.0 * k * k * ({_KS_LAMBDA}) * ({_KS_LAMBDA})) FOR k IN range(1, 101)]), 0), 1) END"
 )
 _KS_ALL = _KS.format(source="long_samples") + f", tested AS (SELECT *, {_KS_P} AS p_value FROM ks)"
 
 _BINS = """edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(x, [0, .1, .2, .3, .4, .5, .6, .7, .8, .9, 1]))) AS e
         FROM long_samples WHERE x IS NOT NULL GROUP BY feature),
-    binned AS (SELECT l.feature, len(e) - 1 AS bins, greatest(len(list_filter(e, v -> v < x)), 1) AS bin, is_current
+    binned AS (SELECT l.feature, len(e) - 1 AS bins, greatest(len([v FOR v IN e IF v < x]), 1) AS bin, is_current
         FROM long_samples l JOIN edges USING (feature) WHERE x IS NOT NULL),
     cells AS (SELECT feature, bins, bin, count(*) FILTER (NOT is_current) AS b, count(*) FILTER (is_current) AS c
         FROM binned GROUP BY feature, bins, bin)"""
@@ -350,7 +349,7 @@ def _holiday_list() -> str:
 
 def oracles() -> dict[str, str]:
     holidays = _holiday_list()
-    nearest = f"least(list_min(list_transform({holidays}, h -> abs(date_diff('day', h, date)))), 999)"
+    nearest = f"least(list_min([abs(date_diff('day', h, date)) FOR h IN {holidays}]), 999)"
     out = {
         # scans
         "sales_scan": _sql(
@@ -449,7 +448,7 @@ def oracles() -> dict[str, str]:
             "nation_sales",
         ),
         "latest_sales": _sql(
-            "SELECT create_dt, contno, code, gcode, cust_name, round(qty, 4) + 0.0 AS qty, round(invoice_price, 4) + 0.0 AS invoice_price "
+            "SELECT create_dt, contno, code, gcode, cust_name, qty, invoice_price "
             "FROM (SELECT * FROM sales ORDER BY create_dt DESC, contno, code, gcode, cust_name, qty, invoice_price LIMIT 10)",
             "sales",
         ),
@@ -592,16 +591,16 @@ def oracles() -> dict[str, str]:
         ),
         "lag_features": _sql(f"SELECT drug_id, hospital_id, date, sales_quantity, {_lag_list(config.LAGS)} FROM dense", "dense"),
         "rolling_features": _sql(
-            f"SELECT drug_id, hospital_id, date, round(sales_quantity, 5) + 0.0 AS sales_quantity, {_rolling(config.WINDOWS, config.STATISTICS)} FROM dense",
+            f"SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_rolling(config.WINDOWS, config.STATISTICS)} FROM dense",
             "dense",
         ),
         "rolling_sparse": _sql(
-            f"SELECT drug_id, hospital_id, date, round(sales_quantity, 5) + 0.0 AS sales_quantity, {_rolling([3], config.STATISTICS)} FROM gappy",
+            f"SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_rolling([3], config.STATISTICS)} FROM gappy",
             "gappy",
         ),
         "diff_features": _sql(f"SELECT drug_id, hospital_id, date, sales_quantity, {_DIFFS} FROM dense", "dense"),
         "expanding_features": _sql(
-            f"SELECT drug_id, hospital_id, date, round(sales_quantity, 5) + 0.0 AS sales_quantity, {_EXPANDING} FROM gappy", "gappy"
+            f"SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_EXPANDING} FROM gappy", "gappy"
         ),
         "holiday_features": _sql(
             f"SELECT date, CAST(list_contains({holidays}, date) AS INTEGER) AS is_holiday, CAST({nearest} AS INTEGER) AS days_to_holiday, "
@@ -638,14 +637,14 @@ def oracles() -> dict[str, str]:
             extra=_FULL.replace("full_feats AS (", "full_feats AS MATERIALIZED ("),
         ),
         "select_by_correlation": _sql(
-            "SELECT feature, round(score, 5) + 0.0 AS score, coalesce(score > 0.01, false) AS selected FROM ("
+            "SELECT feature, round(score + 1e-9, 5) + 0.0 AS score, coalesce(score > 0.01, false) AS selected FROM ("
             + _per_feature("abs(CASE WHEN isnan(corr({c}, sales_quantity)) THEN NULL ELSE corr({c}, sales_quantity) END)", _FULL_FEATURES, "full_feats", "score")
             + ")",
             "dense",
             extra=_FULL.replace("full_feats AS (", "full_feats AS MATERIALIZED ("),
         ),
         "select_by_variance": _sql(
-            "SELECT feature, round(score, 4) + 0.0 AS score, coalesce(score > 150, false) AS selected FROM ("
+            "SELECT feature, round(score + 1e-9, 4) + 0.0 AS score, coalesce(score > 150, false) AS selected FROM ("
             + _per_feature(
                 "var_samp({c})",
                 [f"sales_quantity_lag_{n}" for n in config.LAGS]
@@ -721,7 +720,7 @@ def oracles() -> dict[str, str]:
             extra=_NUMBERED.format(source="preds"),
         ),
         "evaluation_report": _sql(
-            "SELECT drug_id, metric, round(value, 6) + 0.0 AS value FROM ("
+            "SELECT drug_id, metric, round(value + 1e-9, 6) + 0.0 AS value FROM ("
             + _long_metrics("m", "drug_id", ["n", *_METRIC_NAMES, "mean_error", "std_error", "max_error", "min_error"])
             + ")",
             "preds",
@@ -821,7 +820,7 @@ def oracles() -> dict[str, str]:
         "sales_ks_drift": _sql(
             f"SELECT feature, {_rounded(['statistic'])}, n_baseline, n_current FROM ks",
             "dense",
-            extra=f"""rolled AS MATERIALIZED (SELECT *, {_lag_list([7])}, {_rolling([7, 30], ["mean", "max"], digits=9)} FROM dense),
+            extra=f"""rolled AS MATERIALIZED (SELECT *, {_lag_list([7])}, {_rolling([7, 30], ["mean", "max"], digits=6)} FROM dense),
                 stacked AS ("""
             + " UNION ALL ".join(
                 f"SELECT date >= DATE '1998-07-01' AS is_current, '{c}' AS feature, {c} AS x FROM rolled"
@@ -872,8 +871,8 @@ def oracles() -> dict[str, str]:
             FROM e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.ts >= f.fts""",
         "historical_features": _sql(
             "SELECT e.gcode, e.cust_name, e.event_timestamp, "
-            "CASE WHEN v.create_dt >= e.event_timestamp - INTERVAL 365 DAY THEN round(v.sales_quantity_lag_1, 5) + 0.0 END AS sales_quantity_lag_1, "
-            "CASE WHEN v.create_dt >= e.event_timestamp - INTERVAL 365 DAY THEN round(v.sales_quantity_rolling_30_mean, 5) + 0.0 END AS sales_quantity_rolling_30_mean, "
+            "CASE WHEN v.create_dt >= e.event_timestamp - INTERVAL 365 DAY THEN round(v.sales_quantity_lag_1 + 1e-9, 5) + 0.0 END AS sales_quantity_lag_1, "
+            "CASE WHEN v.create_dt >= e.event_timestamp - INTERVAL 365 DAY THEN round(v.sales_quantity_rolling_30_mean + 1e-9, 5) + 0.0 END AS sales_quantity_rolling_30_mean, "
             "CASE WHEN v.create_dt >= e.event_timestamp - INTERVAL 365 DAY THEN CAST(v.month AS INTEGER) END AS month, "
             "CASE WHEN h.event_timestamp >= e.event_timestamp - INTERVAL 3650 DAY THEN h.prod_cat1 END AS prod_cat1, "
             "CASE WHEN h.event_timestamp >= e.event_timestamp - INTERVAL 3650 DAY THEN h.dosage_form END AS dosage_form "
@@ -884,7 +883,7 @@ def oracles() -> dict[str, str]:
         ),
         "materialize": _sql(
             "SELECT gcode, cust_name, create_dt, month, dayofweek, quarter, is_weekend, "
-            + ", ".join(f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 3) + 0.0 AS {c}" for c in _VIEW_FLOATS)
+            + ", ".join(f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE) + 1e-9, 3) + 0.0 AS {c}" for c in _VIEW_FLOATS)
             + " FROM (SELECT *, row_number() OVER (PARTITION BY gcode, cust_name ORDER BY create_dt DESC) AS rn FROM view_rows "
             "WHERE create_dt BETWEEN DATE '1996-01-01' AND DATE '1999-06-30') WHERE rn = 1",
             "dense",

@@ -14,6 +14,7 @@ from seriesworks.operators.ranks import (
     cumulative_counts,
     exact_quantiles,
     long_values,
+    moments,
     quantile_columns,
     value_counts,
 )
@@ -27,21 +28,10 @@ def baseline_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     columns = [c for c in columns or numeric_columns(df) if c in df.columns]
     counted = value_counts(long_values(df, columns), _FEATURE)
     quartiles = quantile_columns(exact_quantiles(counted, _FEATURE, list(_QUARTILES)), _FEATURE, _QUARTILES)
-    # moments straight from the wide rows: one map-side pass, no second unpivot
-    numbers = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-    moments = df.agg(
-        *[
-            F.struct(
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            ).alias(c)
-            for c, x in numbers.items()
-        ]
-    ).unpivot([], columns, "feature", "m")
-    return moments.join(quartiles, "feature", "left").select(
-        "feature", "m.mean", "m.std", "m.min", "m.max", "median", "q25", "q75"
+    return (
+        moments(counted, _FEATURE)
+        .join(quartiles, "feature")
+        .select("feature", "mean", "std", "min", "max", "median", "q25", "q75")
     )
 
 
@@ -210,7 +200,7 @@ def detect_drift(
     if method not in ("ks", "chi2"):
         raise ValueError(f"unknown method: {method}")
     spark = baseline.sparkSession
-    schema = "feature string, error text".replace("text", "string")
+    schema = "feature string, error string"
     asked = spark.createDataFrame(
         [(c, None) for c in tested] + [(c, "not a numeric column") for c in others], schema
     )

@@ -1,12 +1,12 @@
-"""Exact ranks and quantiles for groups of any size.
+"""Exact ranks, quantiles and moments for groups of any size.
 
 ``percentile`` keeps all distinct values of a group in one task, and a window
 ordered by the value needs the whole group in one task.  Both are fine for one
-daily series, neither for a whole column.  Here the value axis is cut into ranges
-first: counts are formed per (group, range, value) before the shuffle, a small
-table of range totals gives each range its offset, and running counts are taken
-inside a range.  The cut points only balance the work; results are exact for any
-cut points.
+daily series, neither for a whole column.  Here rows are first counted per (group,
+value), with partial counts before the shuffle, and that table is written once.
+Then the value axis is cut into ranges: a small table of range totals gives each
+range its offset, and running counts are taken inside a range.  The cut points only
+balance the work; results are exact for any cut points.
 """
 
 from __future__ import annotations
@@ -14,76 +14,57 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE = "_range"
+from seriesworks.session import cut_lineage
 
+RANGE = "_range"
 
-def range_count(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
+    """Approximate quantiles of a column; at most one number per range reaches the driver."""
+    n = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = df.approxQuantile(column, [i / n for i in range(1, n)], 1.0 / (2 * n))
+    return sorted(set(found)) or [0.0]
 
-def cut_points(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> list[list[float]]:
-    """Approximate quantiles per column; at most ``ranges`` numbers each reach the driver."""
-    n = ranges or range_count(df)
-    found = df.approxQuantile(list(columns), [i / n for i in range(1, n)], 1.0 / (2 * n))
-    return [sorted(set(points)) or [0.0] for points in found]
 
+def with_range(df: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
+    """Add the number of the range a value falls in (order-preserving).
 
-def with_ranges(
-    df: DataFrame,
-    columns: Sequence[str],
-    names: Sequence[str],
-    cuts: Sequence[Sequence[float]] | None = None,
-) -> DataFrame:
-    """Add the range number of each column's value (order-preserving)."""
-    cuts = cuts if cuts is not None else cut_points(df, columns)
+    Ranges are cut over all groups together and hold about equally many rows, so a
+    group with a third of all rows is spread over a third of the ranges.
+    """
     inf = float("inf")
-    bucketizer = Bucketizer(
-        splitsArray=[[-inf, *points, inf] for points in cuts],
-        inputCols=list(columns),
-        outputCols=list(names),
-        handleInvalid="keep",
-    )
-    return bucketizer.transform(df)
+    splits = [-inf, *cut_points(df, column, ranges), inf]
+    ranged = Bucketizer(splits=splits, inputCol=column, outputCol=RANGE, handleInvalid="keep").transform(df)
+    return ranged.withColumn(RANGE, F.col(RANGE).cast("int"))
+
+
+def number(c: str | Column) -> Column:
+    """As double, with NaN as NULL."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
 
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(feature, range, value) rows of the numeric ``columns``; NULL and NaN left out."""
-    wide = df.select(
-        *keep, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
-    )
-    ranges = [f"{c}{RANGE}" for c in columns]
-    ranged = with_ranges(wide, columns, ranges)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"), F.col(r).cast("int").alias(RANGE), F.col(c).alias("value")
-            )
-            for c, r in zip(columns, ranges)
-        ]
-    )
-    return (
-        ranged.select(*keep, F.explode(cells).alias("cell"))
-        .select(*keep, "cell.*")
-        .where(F.col("value").isNotNull())
-    )
+    """(feature, value) rows of the numeric ``columns``; NULL and NaN left out."""
+    wide = df.select(*keep, *[number(c).alias(c) for c in columns])
+    return wide.unpivot(list(keep), list(columns), "feature", "value").where(F.col("value").isNotNull())
 
 
 def group_values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """(groups, range, value) rows, for quantiles of one column per group."""
-    rows = df.select(*groups, F.col(value).cast("double").alias("value")).where(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
-    ranged = with_ranges(rows, ["value"], [RANGE])
-    return ranged.withColumn(RANGE, F.col(RANGE).cast("int"))
+    """(groups, value) rows, for quantiles of one column per group."""
+    return df.select(*groups, number(value).alias("value")).where(F.col("value").isNotNull())
+
 
+def value_counts(rows: DataFrame, groups: Sequence[str], **counts: Column) -> DataFrame:
+    """Counts per distinct value with the value's range, written once and reused.
 
-def value_counts(rows: DataFrame, groups: Sequence[str], **counts) -> DataFrame:
-    """Counts per distinct value; ``counts`` maps a name to a counting expression."""
+    ``counts`` maps a name to a counting expression; the default is ``n``.
+    """
     exprs = [e.alias(n) for n, e in counts.items()] or [F.count(F.lit(1)).alias("n")]
-    return rows.groupBy(*groups, RANGE, "value").agg(*exprs)
+    return with_range(cut_lineage(rows.groupBy(*groups, "value").agg(*exprs)), "value")
 
 
 def _range_offsets(counted: DataFrame, groups: Sequence[str], names: Sequence[str]) -> DataFrame:
@@ -118,7 +99,7 @@ def exact_quantiles(counted: DataFrame, groups: Sequence[str], probs: Sequence[f
     """Linearly interpolated quantiles: one row per (group, prob) with ``quantile``.
 
     ``counted`` has ``value`` and ``n`` as made by :func:`value_counts`.  Only the
-    ranges that hold a wanted rank are read again.
+    ranges that hold a wanted rank are sorted.
     """
     offsets = _range_offsets(counted, groups, ["n"])
     last = F.col("total_n") - 1
@@ -161,3 +142,21 @@ def quantile_columns(quantiles: DataFrame, groups: Sequence[str], names: dict[fl
     return quantiles.groupBy(*groups).agg(
         *[F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for p, n in names.items()]
     )
+
+
+def moments(counted: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """count, mean, std (sample), min and max per group from distinct values and counts."""
+    first = counted.groupBy(*groups).agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    away = F.col("value") - F.col("mean")
+    squares = (
+        counted.join(first.select(*groups, "mean"), list(groups))
+        .groupBy(*groups)
+        .agg(F.sum(away * away * F.col("n")).alias("_squares"))
+    )
+    std = F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1))
+    return first.join(squares, list(groups)).select(*groups, "count", "mean", std.alias("std"), "min", "max")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators.ranks import RANGE, cut_points, with_ranges
+from seriesworks.operators.ranks import RANGE, with_range
+from seriesworks.session import cut_lineage
 
 
 def pit_join(
@@ -46,15 +47,12 @@ def pit_join(
     events = known.withColumn("_ask", F.lit(False)).unionByName(
         asked.withColumn("_ask", F.lit(True)), allowMissingColumns=True
     )
-    hit = F.when(F.col("_p").isNotNull(), F.struct("_ts", "_p"))
-    events = events.withColumn("_hit", hit)
+    events = events.withColumn("_hit", F.when(F.col("_p").isNotNull(), F.struct("_ts", "_p"))).drop("_p")
     on = keys
     if ranges != 1:
-        events = events.withColumn("_t", F.unix_micros("_ts").cast("double"))
-        times = entities.select(F.unix_micros(F.col(entity_ts).cast("timestamp")).cast("double").alias("_t")).unionByName(
-            features.select(F.unix_micros(F.col(feature_ts).cast("timestamp")).cast("double").alias("_t"))
-        )
-        events = with_ranges(events, ["_t"], [RANGE], cut_points(times, ["_t"], ranges))
+        # written once: the cut points and both branches below read it
+        events = cut_lineage(events.withColumn("_t", F.unix_micros("_ts").cast("double")))
+        events = with_range(events, "_t", ranges)
         on = [*keys, RANGE]
     w = Window.partitionBy(*on).orderBy("_ts", "_ask").rowsBetween(Window.unboundedPreceding, 0)
     found = events.withColumn("_hit", F.last("_hit", ignorenulls=True).over(w)).where("_ask")
