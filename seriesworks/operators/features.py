@@ -197,15 +197,23 @@ def select_features(
     date: str = config.DATE,
     target: str = config.TARGET,
 ) -> DataFrame:
-    """Score of each feature and whether it passes, from one aggregation pass."""
+    """Score of each feature and whether it passes, from one aggregation pass.
+
+    Rows are turned to (feature, value) and aggregated per feature with partial
+    aggregates, which stays compact however many features there are.  Correlations use
+    the rows where both values are known; a constant feature has a NULL score.
+    """
     names = feature_columns(df, keys, date, target)
-    y = F.col(target).cast("double")
+    cells = F.posexplode(F.array(*[F.col(c).cast("double") for c in names])).alias("_i", "_x")
+    rows = df.select(F.col(target).cast("double").alias("_y"), cells)
+    x, y = F.col("_x"), F.col("_y")
     if method == "correlation":
-        # a constant column has no correlation: NULL, not NaN
-        score = {c: F.abs(F.nanvl(F.corr(F.col(c).cast("double"), y), F.lit(None))) for c in names}
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        score = F.abs(F.try_divide(F.covar_pop(x, y), spread))
     elif method == "variance":
-        score = {c: F.var_samp(F.col(c).cast("double")) for c in names}
+        score = F.var_samp(x)
     else:
         raise ValueError(f"unknown method: {method}")
-    scores = df.agg(*[e.alias(c) for c, e in score.items()]).unpivot([], names, "feature", "score")
-    return scores.withColumn("selected", F.coalesce(F.col("score") > threshold, F.lit(False)))
+    scores = rows.groupBy("_i").agg(score.alias("score"))
+    feature = F.get(F.array(*[F.lit(c) for c in names]), "_i").alias("feature")
+    return scores.select(feature, "score", F.coalesce(F.col("score") > threshold, F.lit(False)).alias("selected"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators.metrics import forecast_metrics
+from seriesworks.operators.metrics import METRICS, forecast_metrics
 
 MAX_TREE_DEPTH = 30
 DEFAULT_TREE_DEPTH = 5
@@ -204,16 +204,17 @@ def cross_validate(
     target: str = config.TARGET,
     n_splits: int = config.CV_FOLDS,
     params: dict | None = None,
-) -> list[dict]:
-    """Metrics per expanding fold; ``folded`` comes from ``splits.cv_folds``."""
+) -> DataFrame:
+    """Metrics per expanding fold, one row each; ``folded`` comes from ``splits.cv_folds``."""
     results = []
     for f in range(1, n_splits + 1):
         role = F.when(F.col("fold") < f, "train").when(F.col("fold") == f, "valid")
         rows = folded.withColumn("split", role).where(F.col("split").isNotNull())
         model = fit_boosting(rows, features, target, params)
         scored = predict(model, rows.where(F.col("split") == "valid"), target)
-        results.append(forecast_metrics(scored).first().asDict() | {"fold": f})
-    return results
+        found = forecast_metrics(scored).first()  # one row of metrics per fold
+        results.append((f, *[float(found[m]) for m in METRICS]))
+    return folded.sparkSession.createDataFrame(results, ["fold", *METRICS])
 
 
 def log_run(metrics: DataFrame, path: str, run: str, params: dict) -> None:

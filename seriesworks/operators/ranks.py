@@ -49,8 +49,10 @@ def number(c: str | Column) -> Column:
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(feature, value) rows of the numeric ``columns``; NULL and NaN left out."""
-    wide = df.select(*keep, *[number(c).alias(c) for c in columns])
-    return wide.unpivot(list(keep), list(columns), "feature", "value").where(F.col("value").isNotNull())
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = df.select(*keep, F.posexplode(F.array(*[number(c) for c in columns])).alias("_i", "value"))
+    known = cells.where(F.col("value").isNotNull())
+    return known.select(*keep, F.get(names, "_i").alias("feature"), "value")
 
 
 def group_values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
