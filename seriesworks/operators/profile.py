@@ -162,7 +162,11 @@ def series_status(
     df: DataFrame, keys: Sequence[str] = config.KEYS, min_points: int = config.MIN_POINTS
 ) -> DataFrame:
     """Rows per series and whether that is enough; short series stay, with a message."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("data_points"))
+    return point_status(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("data_points")), min_points)
+
+
+def point_status(counts: DataFrame, min_points: int = config.MIN_POINTS) -> DataFrame:
+    """Add status and message to ``data_points`` per series."""
     short = F.col("data_points") < min_points
     return counts.withColumns(
         {

@@ -12,29 +12,18 @@ from seriesworks.operators.ranks import RANGE, with_range
 from seriesworks.session import cut_lineage
 
 
-def pit_join(
+def _known_at(
     entities: DataFrame,
     features: DataFrame,
     keys: Sequence[str],
     fields: Sequence[str],
     ttl_days: float,
-    entity_ts: str = "event_timestamp",
-    feature_ts: str = "event_timestamp",
-    order_by: Sequence[str] = (),
-    ranges: int | None = None,
+    entity_ts: str,
+    feature_ts: str,
+    order_by: Sequence[str],
+    ranges: int | None,
 ) -> DataFrame:
-    """For each entity row the latest feature row at or before it, not older than the ttl.
-
-    Of several feature rows with one timestamp the greatest by ``order_by`` (then by
-    the fields) counts.  Unmatched rows get NULLs.
-
-    The time axis is cut into ranges, so that one key with very many rows is worked
-    on by many tasks: inside a (key, range) a running ``last`` finds the match, and a
-    small table with the last feature row of each (key, range) carries values over
-    range borders.  ``ranges=1`` skips this for daily panels, whose keys are bounded
-    by the number of days.
-    """
-    keys, fields = list(keys), list(fields)
+    """(keys, _ts, _p): the feature values known at each distinct requested key and time."""
     payload = F.struct(*[F.col(c) for c in [*order_by, *[f for f in fields if f not in order_by]]])
     known = (
         features.select(*keys, F.col(feature_ts).cast("timestamp").alias("_ts"), payload.alias("_p"))
@@ -48,7 +37,7 @@ def pit_join(
         asked.withColumn("_ask", F.lit(True)), allowMissingColumns=True
     )
     events = events.withColumn("_hit", F.when(F.col("_p").isNotNull(), F.struct("_ts", "_p"))).drop("_p")
-    on = keys
+    on = list(keys)
     if ranges != 1:
         # written once: the cut points and both branches below read it
         events = cut_lineage(events.withColumn("_t", F.unix_micros("_ts").cast("double")))
@@ -57,27 +46,52 @@ def pit_join(
     w = Window.partitionBy(*on).orderBy("_ts", "_ask").rowsBetween(Window.unboundedPreceding, 0)
     found = events.withColumn("_hit", F.last("_hit", ignorenulls=True).over(w)).where("_ask")
     if ranges != 1:
-        per_range = events.groupBy(*on).agg(F.max_by("_hit", F.when(F.col("_hit").isNotNull(), F.col("_ts"))).alias("_hit"))
+        hit_ts = F.when(F.col("_hit").isNotNull(), F.col("_ts"))
+        per_range = events.groupBy(*on).agg(F.max_by("_hit", hit_ts).alias("_hit"))
         before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
         carried = per_range.select(*on, F.last("_hit", ignorenulls=True).over(before).alias("_carried"))
-        same = [found[k].eqNullSafe(carried[k]) for k in on]
-        condition = same[0]
-        for c in same[1:]:
-            condition = condition & c
-        found = found.join(carried, condition, "left").select(
-            *[found[k] for k in keys], found["_ts"], F.coalesce("_hit", "_carried").alias("_hit")
-        )
+        # rows with a NULL key find nothing, here and below
+        found = found.join(carried, on, "left").withColumn("_hit", F.coalesce("_hit", "_carried"))
     oldest = F.col("_ts") - F.make_dt_interval(secs=F.lit(float(ttl_days) * 86400.0))
     fresh = F.when(F.col("_hit._ts") >= oldest, F.col("_hit._p"))
-    looked_up = found.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_ts").alias("_k_ts"), fresh.alias("_p")
+    return found.select(*keys, "_ts", fresh.alias("_p"))
+
+
+def pit_join(
+    entities: DataFrame,
+    features: DataFrame,
+    keys: Sequence[str],
+    fields: Sequence[str],
+    ttl_days: float,
+    entity_ts: str = "event_timestamp",
+    feature_ts: str = "event_timestamp",
+    order_by: Sequence[str] = (),
+    ranges: int | None = None,
+) -> DataFrame:
+    """For each entity row the latest feature row at or before it, not older than the ttl.
+
+    Of several feature rows with one timestamp the greatest by ``order_by`` (then by
+    the fields) counts.  Unmatched rows get NULLs.
+
+    The time axis is cut into ranges, so that one key with very many rows is worked
+    on by many tasks: inside a (key, range) a running ``last`` finds the match, and a
+    small table with the last feature row of each (key, range) carries values over
+    range borders.  ``ranges=1`` skips this for daily panels, whose keys are bounded
+    by the number of days.
+    """
+    found = _known_at(entities, features, list(keys), fields, ttl_days, entity_ts, feature_ts, order_by, ranges)
+    return _attach(entities, found, keys, fields, entity_ts)
+
+
+def _attach(entities: DataFrame, found: DataFrame, keys: Sequence[str], fields: Sequence[str], entity_ts: str) -> DataFrame:
+    renamed = found.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_ts").alias("_k_ts"), F.col("_p").alias("_found")
     )
-    # NULL keys match nothing here, and so get NULL features
     condition = F.col(entity_ts).cast("timestamp") == F.col("_k_ts")
     for k in keys:
-        condition = condition & (entities[k] == F.col(f"_k_{k}"))
-    joined = entities.join(looked_up, condition, "left")
-    return joined.select(*[entities[c] for c in entities.columns], *[F.col(f"_p.{f}").alias(f) for f in fields])
+        condition = condition & (F.col(k) == F.col(f"_k_{k}"))
+    joined = entities.join(renamed, condition, "left")
+    return joined.select(*entities.columns, *[F.col(f"_found.{f}").alias(f) for f in fields])
 
 
 def latest_rows(
@@ -135,19 +149,15 @@ def historical_features(
     ranges: int | None = None,
 ) -> DataFrame:
     """Point-in-time values of features from several views, each with its keys and ttl."""
+    result = entities
     for name, fields in parse_refs(refs).items():
         view = _view(name, views)
-        entities = pit_join(
-            entities,
-            tables[name],
-            view["keys"],
-            fields,
-            view["ttl_days"],
-            entity_ts=entity_ts,
-            feature_ts=view["timestamp"],
-            ranges=ranges,
+        # every view is looked up from the plain entity rows, not from earlier results
+        found = _known_at(
+            entities, tables[name], view["keys"], fields, view["ttl_days"], entity_ts, view["timestamp"], (), ranges
         )
-    return entities
+        result = _attach(result, found, view["keys"], fields, entity_ts)
+    return result
 
 
 def materialize(

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators.profile import series_status
 
 PENALTIES = (0.1, 1.0, 10.0, 100.0)
 
@@ -106,21 +105,19 @@ def train_series(
 
 
 def batch_results(
-    sales: DataFrame,
+    status: DataFrame,
     trained: DataFrame,
     keys: Sequence[str] = config.KEYS,
-    min_points: int = config.MIN_POINTS,
     model_path: str | None = None,
 ) -> DataFrame:
-    """One status row per series of ``sales``, short series included."""
-    status = series_status(sales, keys, min_points).select(
-        *keys, "data_points", F.col("status").alias("_ready"), F.col("message").alias("_short")
-    )
+    """One result row per series of ``profile.series_status``, short series included."""
+    points = status.select(*keys, "data_points", F.col("status").alias("_ready"), F.col("message").alias("_short"))
     trained = trained.withColumnRenamed("message", "_message").withColumnRenamed("status", "_status")
-    return status.join(trained, list(keys), "left").select(
+    skipped = F.when(F.col("_ready") == "skipped", F.col("_short"))
+    return points.join(trained, list(keys), "left").select(
         *keys,
         F.coalesce("_status", F.lit("failed")).alias("status"),
-        F.coalesce("_message", F.when(F.col("_ready") == "skipped", F.col("_short")), F.lit("not enough rows after features (0)")).alias("message"),
+        F.coalesce("_message", skipped, F.lit("not enough rows after features (0)")).alias("message"),
         "data_points",
         "rmse",
         "mae",

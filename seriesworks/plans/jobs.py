@@ -13,7 +13,7 @@ from seriesworks.functions.columns import add_forecast_errors, feature_columns,
 from seriesworks.operators import features as feature_ops
 from seriesworks.operators import forecast as forecast_ops
 from seriesworks.operators import metrics, models, panel, prep, splits, training
-from seriesworks.operators.profile import series_status
+from seriesworks.operators.profile import point_status
 from seriesworks.session import cut_lineage
 from seriesworks.sources.tables import scan_sales
 
@@ -40,9 +40,8 @@ def feature_matrix(
 
 
 def model_features(features: DataFrame) -> list[str]:
-    """Numeric features that do not contain the value to predict."""
-    leaking = {c for c in features.columns if c.endswith("_actual")}
-    return [c for c in feature_columns(features) if c not in leaking]
+    """Numeric columns that are neither key, date nor target."""
+    return feature_columns(features)
 
 
 def train_pooled(
@@ -69,15 +68,26 @@ def batch_train(
     min_points: int = config.MIN_POINTS,
     test_size: float = config.TEST_SIZE,
     fit: training.Fit = training.fit_ridge,
+    model_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """One model per series with enough rows: result rows and the models."""
-    rows = series_rows(sales)
-    ready = series_status(rows, KEYS, min_points).where(F.col("status") == "ready").select(*KEYS)
-    daily = panel.daily_totals(rows).join(ready, list(KEYS), "left_semi")
-    matrix = feature_ops.build_features(prep.treat_outliers(panel.densify(daily)), exclude_current=True)
+    """One model per series with enough rows: result rows and the models.
+
+    The sales table is read once: the daily panel, with its row counts, is written and
+    feeds both the status rows and the features.  The models are written once too.
+    """
+    daily = cut_lineage(
+        series_rows(sales).groupBy(*KEYS, DATE).agg(F.sum(TARGET).alias(TARGET), F.count(F.lit(1)).alias("_rows"))
+    )
+    status = point_status(daily.groupBy(*KEYS).agg(F.sum("_rows").alias("data_points")), min_points)
+    ready = status.where(F.col("status") == "ready").select(*KEYS)
+    panel_rows = daily.drop("_rows").join(ready, list(KEYS), "left_semi")
+    dense = prep.treat_outliers(panel.densify(panel_rows))
+    matrix = feature_ops.build_features(dense, exclude_current=True)
     names = model_features(matrix)
-    trained = training.train_series(matrix, names, test_size=test_size, min_rows=min_points // 2, fit=fit)
-    return training.batch_results(rows, trained, min_points=min_points), trained
+    trained = cut_lineage(
+        training.train_series(matrix, names, test_size=test_size, min_rows=min_points // 2, fit=fit)
+    )
+    return training.batch_results(status, trained, model_path=model_path), trained
 
 
 def batch_predict(sales: DataFrame, trained: DataFrame, requests: DataFrame) -> DataFrame:

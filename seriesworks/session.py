@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,18 +28,27 @@ def local_session(cpus: int | str = 8, app: str = "seriesworks", **conf: str) ->
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which every executor can read.
+
+    Only a local session without that setting gets a temporary one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="seriesworks-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder named by ``spark.checkpoint.dir``.
+    """Write ``df`` once to the shared folder and read it back.
 
-    Only a local session without that setting gets a folder of its own.
+    Later stages then start from that table: an expensive input is not computed again,
+    a lost executor costs no more than its own task, and the reader prunes columns and
+    knows the size.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="seriesworks-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/seriesworks-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

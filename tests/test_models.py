@@ -8,7 +8,7 @@ from conftest import days
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators import forecast, metrics, models, splits, training
+from seriesworks.operators import forecast, metrics, models, profile, splits, training
 from seriesworks.plans import jobs
 from seriesworks.session import cut_lineage
 
@@ -121,7 +121,7 @@ def test_series_training_isolates_failures(spark, make_panel):
     fit.fail = True
     broken = {r.drug_id: r for r in training.train_series(df, ["f"], fit=fit).collect()}
     assert broken["a"].message == "RuntimeError: broken series" and broken["a"].rmse is None
-    results = {r.drug_id: r for r in training.batch_results(df, trained, min_points=50, model_path="p").collect()}
+    results = {r.drug_id: r for r in training.batch_results(profile.series_status(df, min_points=50), trained, model_path="p").collect()}
     assert results["a"].model_path == "p" and results["c"].status == "failed"
     asked = spark.createDataFrame([("a", "x"), ("z", "x")], "drug_id string, hospital_id string")
     answers = training.batch_predictions(asked, scored)
