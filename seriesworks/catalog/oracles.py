@@ -300,6 +300,13 @@ _CHI2 = (
         FROM totals GROUP BY feature)"""
 )
 
+# upper tail by Simpson's rule over the density
+_CHI2_P = (
+    "1 - statistic / 4000 / 3 * list_sum([(CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+    "* pow(i * statistic / 4000, dof / 2 - 1) * exp(-i * statistic / 8000) FOR i IN range(0, 4001)]) "
+    "/ (pow(2, dof / 2) * gamma(dof / 2))"
+)
+
 _HISTORY = """product_history AS (
         SELECT gcode, event_timestamp, prod_cat1, dosage_form FROM (
             SELECT p_brand AS gcode, CAST(DATE '1995-01-01' + CAST(p_size * 30 AS INTEGER) AS DATE) AS event_timestamp,
@@ -617,6 +624,10 @@ def oracles() -> dict[str, str]:
             "dense",
         ),
         "compact_dates": _sql("SELECT date, strftime(date, '%Y%m%d') AS compact FROM (SELECT DISTINCT date FROM daily)", "daily"),
+        "date_spine": _sql(
+            "SELECT CAST(unnest(generate_series(min(create_dt), max(create_dt), INTERVAL 1 DAY)) AS DATE) AS date FROM sales", "sales"
+        ),
+        "model_file_names": "SELECT p_partkey, replace(substring(p_name || '/' || p_brand || '/' || p_type, 1, 20), '/', '_') AS file_name FROM part",
         "full_features": _sql("SELECT * FROM full_feats", "dense", extra=_FULL),
         "full_features_no_leak": _sql(
             "SELECT * FROM built WHERE sales_quantity_rolling_30_mean IS NOT NULL",
@@ -837,6 +848,12 @@ def oracles() -> dict[str, str]:
             "long_samples",
             extra=_KS_ALL,
         ),
+        "detect_drift_chi2": _sql(
+            f"SELECT feature, p_value < 0.05 AS is_drift, {_rounded(['statistic', 'p_value'])}, 'chi2' AS method, "
+            f"CAST(NULL AS VARCHAR) AS error FROM (SELECT feature, statistic, {_CHI2_P} AS p_value FROM chi2)",
+            "long_samples",
+            extra=_CHI2,
+        ),
         "drift_summary": _sql(
             "SELECT count(*) AS features, count(*) FILTER (p_value < 0.5) AS drifted, "
             f"{_r('count(*) FILTER (p_value < 0.5) / count(*)', 'drift_ratio')} FROM tested",

@@ -25,6 +25,7 @@ from seriesworks.operators import (
     training,
 )
 from seriesworks.plans import jobs
+from seriesworks.session import cut_lineage
 from seriesworks.sources import retail, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,6 +440,19 @@ def compact_dates(spark, sf_dir):
     return _daily(spark, sf_dir).select(DATE).distinct().withColumn("compact", dates.compact_date(F.col(DATE)))
 
 
+@query
+def date_spine(spark, sf_dir):
+    return dates.covered_days(retail.sales(spark, sf_dir).select(F.col("create_dt").alias(DATE)))
+
+
+@query
+def model_file_names(spark, sf_dir):
+    """File-safe short names of every part."""
+    parts = retail.table(spark, sf_dir, "part")
+    name = F.concat_ws("/", "p_name", "p_brand", "p_type")
+    return parts.select("p_partkey", cols.safe_name(name).alias("file_name"))
+
+
 @query
 def full_features(spark, sf_dir):
     return tidy(jobs.feature_matrix(retail.sales(spark, sf_dir)), 5)
@@ -722,8 +736,8 @@ def _product_history(spark, sf_dir):
     )
 
 
-def _sales_view(spark, sf_dir):
-    dense = _dense(spark, sf_dir)
+def _sales_view(daily):
+    dense = panel.densify(daily)
     rows = features.add_rolling(features.add_lags(dense, lags=[1, 7, 30]), windows=[7, 14, 30], statistics=["mean", "std"])
     rows = dates.add_calendar_features(rows)
     names = {"drug_id": "gcode", "hospital_id": "cust_name", DATE: "create_dt"}
@@ -733,7 +747,7 @@ def _sales_view(spark, sf_dir):
 @query
 def historical_features(spark, sf_dir):
     """Two views with different keys, looked up 45 days after each day with sales."""
-    daily = _daily(spark, sf_dir)
+    daily = cut_lineage(_daily(spark, sf_dir))  # feeds the requests and one of the views
     entities = daily.select(
         F.col("drug_id").alias("gcode"),
         F.col("hospital_id").alias("cust_name"),
@@ -746,14 +760,14 @@ def historical_features(spark, sf_dir):
         "drug_info_features:prod_cat1",
         "drug_info_features:dosage_form",
     ]
-    views = {"sales_features": _sales_view(spark, sf_dir), "drug_info_features": _product_history(spark, sf_dir)}
+    views = {"sales_features": _sales_view(daily), "drug_info_features": _product_history(spark, sf_dir)}
     found = store.historical_features(entities, views, refs)
     return tidy(found.withColumn("event_timestamp", F.col("event_timestamp").cast("date")), 5)
 
 
 @query
 def materialize(spark, sf_dir):
-    latest = store.materialize(_sales_view(spark, sf_dir), "sales_features", "1996-01-01", "1999-06-30")
+    latest = store.materialize(_sales_view(_daily(spark, sf_dir)), "sales_features", "1996-01-01", "1999-06-30")
     return tidy(latest, 3)
 
 
@@ -833,21 +847,21 @@ _SMALL_MODEL = {"num_boost_round": 8, "learning_rate": 0.3, "max_depth": 4}
 
 @query
 def boosted_trees(spark, sf_dir):
-    matrix = jobs.cut_lineage(_model_matrix(spark, sf_dir))
+    matrix = cut_lineage(_model_matrix(spark, sf_dir))
     model = models.fit_boosting(matrix, cols.feature_columns(matrix), TARGET, _SMALL_MODEL, categorical=["drug_id"])
     return tidy(metrics.forecast_metrics(models.predict(model, matrix), ["split"]), 4)
 
 
 @query
 def feature_importance(spark, sf_dir):
-    matrix = jobs.cut_lineage(_model_matrix(spark, sf_dir))
+    matrix = cut_lineage(_model_matrix(spark, sf_dir))
     model = models.fit_boosting(matrix, cols.feature_columns(matrix), TARGET, _SMALL_MODEL)
     return tidy(models.top_importance(models.feature_importance(model, spark)))
 
 
 @query
 def parameter_search(spark, sf_dir):
-    matrix = jobs.cut_lineage(_model_matrix(spark, sf_dir))
+    matrix = cut_lineage(_model_matrix(spark, sf_dir))
     trials = models.sample_params(2, {"learning_rate": (0.1, 0.4), "max_depth": (3, 5)})
     tried = models.search(matrix, cols.feature_columns(matrix), trials, num_boost_round=4)
     return tidy(metrics.running_best(tried), 4)

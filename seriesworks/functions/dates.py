@@ -106,6 +106,12 @@ def date_range(spark: SparkSession, start: str, end: str, name: str = config.DAT
     return spark.range(1).select(F.explode(days).alias(name))
 
 
+def covered_days(df: DataFrame, date: str = config.DATE) -> DataFrame:
+    """Every day from the first to the last date of a table."""
+    ends = df.agg(F.min(date).alias("_first"), F.max(date).alias("_last")).where(F.col("_first").isNotNull())
+    return ends.select(F.explode(F.sequence("_first", "_last")).alias(date))
+
+
 def period_end(d: Column, freq: str) -> Column:
     """Last day of the period a date falls in (weeks end on Sunday)."""
     if freq == "D":
