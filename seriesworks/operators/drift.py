@@ -97,7 +97,8 @@ def pooled_bins(baseline: DataFrame, current: DataFrame, columns: Sequence[str],
     )
     below = F.size(F.filter("edges", lambda e: e < F.col("value")))
     return (
-        counted.join(edges, "feature")
+        # one row per tested column with at most bins + 1 numbers: safe to broadcast
+        counted.join(F.broadcast(edges), "feature")
         .groupBy("feature", (F.size("edges") - 1).alias("bins"), F.greatest(below, F.lit(1)).alias("bin"))
         .agg(F.sum("n_baseline").alias("n_baseline"), F.sum("n_current").alias("n_current"))
     )

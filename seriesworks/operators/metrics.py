@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators.ranks import exact_quantiles, group_values, quantile_columns, value_counts
+from seriesworks.operators.ranks import (
+    attach_group_values,
+    exact_quantiles,
+    group_values,
+    quantile_columns,
+    value_counts,
+)
 
 METRICS = ["rmse", "mae", "r2", "mape"]
 
@@ -144,23 +150,32 @@ def residual_histogram(
 ) -> DataFrame:
     """Counts in equal-width bins over each group's residual range, empty bins included.
 
-    Residuals are counted per distinct value first; the join with the group's range
-    then handles few rows, however large a group is.
+    Residuals are counted per distinct value first, and the group's limits are attached
+    by (group, value range), so a hot group is binned by many tasks.
     """
-    residual = F.col(actual) - F.col(predicted)
-    counted = (
-        df.where(residual.isNotNull()).groupBy(*by, residual.alias("residual")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    low, high = F.min("residual"), F.max("residual")
-    flat = low == high
-    limits = counted.groupBy(*by).agg(
-        F.when(flat, low - 0.5).otherwise(low).alias("low"), F.when(flat, high + 0.5).otherwise(high).alias("high")
+    by = list(by)
+    rows = df.select(*by, (F.col(actual) - F.col(predicted)).alias("residual"))
+    counted = value_counts(group_values(rows, by, "residual"), by)
+    limited = attach_group_values(
+        counted,
+        by,
+        {"_low": F.min("value"), "_high": F.max("value")},
+        {"_first": F.min("_low"), "_last": F.max("_high")},
     )
+    flat = F.col("_first") == F.col("_last")
+    low = F.when(flat, F.col("_first") - 0.5).otherwise(F.col("_first"))
+    high = F.when(flat, F.col("_last") + 0.5).otherwise(F.col("_last"))
     width = (F.col("high") - F.col("low")) / bins
-    bin_number = F.least(F.floor((F.col("residual") - F.col("low")) / width), F.lit(bins - 1)).cast("int")
-    filled = counted.join(limits, list(by)).groupBy(*by, bin_number.alias("bin")).agg(F.sum("n").alias("count"))
-    frame = limits.select(*by, "low", "high", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return frame.join(filled, [*by, "bin"], "left").select(
+    place = F.least(F.floor((F.col("value") - F.col("low")) / width), F.lit(bins - 1)).cast("int")
+    filled = (
+        limited.withColumns({"low": low, "high": high})
+        .groupBy(*by, "low", "high", place.alias("bin"))
+        .agg(F.sum("n").alias("count"))
+    )
+    # at most ``bins`` rows per group from here on
+    frame = filled.select(*by, "low", "high").distinct()
+    frame = frame.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return frame.join(filled.drop("low", "high"), [*by, "bin"], "left").select(
         *by,
         "bin",
         (F.col("low") + F.col("bin") * width).alias("bin_start"),

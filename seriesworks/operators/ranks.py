@@ -146,19 +146,34 @@ def quantile_columns(quantiles: DataFrame, groups: Sequence[str], names: dict[fl
     )
 
 
+def attach_group_values(
+    counted: DataFrame, groups: Sequence[str], per_range: dict[str, Column], per_group: dict[str, Column]
+) -> DataFrame:
+    """Add values of the whole group to every row, without joining on the group alone.
+
+    ``per_range`` aggregates rows to (group, range); ``per_group`` combines those few
+    rows per group.  The join is on (group, range), so a hot group stays spread.
+    """
+    partial = counted.groupBy(*groups, RANGE).agg(*[e.alias(n) for n, e in per_range.items()])
+    whole = Window.partitionBy(*groups)
+    values = partial.select(*groups, RANGE, *[e.over(whole).alias(n) for n, e in per_group.items()])
+    return counted.join(values, [*groups, RANGE])
+
+
 def moments(counted: DataFrame, groups: Sequence[str]) -> DataFrame:
     """count, mean, std (sample), min and max per group from distinct values and counts."""
-    first = counted.groupBy(*groups).agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    n, v = F.col("n"), F.col("value")
+    rows = attach_group_values(
+        counted,
+        groups,
+        {"_n": F.sum(n), "_s": F.sum(v * n)},
+        {"_count": F.sum("_n"), "_sum": F.sum("_s")},
     )
-    away = F.col("value") - F.col("mean")
-    squares = (
-        counted.join(first.select(*groups, "mean"), list(groups))
-        .groupBy(*groups)
-        .agg(F.sum(away * away * F.col("n")).alias("_squares"))
+    away = v - F.col("_sum") / F.col("_count")
+    return rows.groupBy(*groups).agg(
+        F.max("_count").alias("count"),
+        F.max(F.col("_sum") / F.col("_count")).alias("mean"),
+        F.sqrt(F.try_divide(F.sum(away * away * n), F.max("_count") - 1)).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
     )
-    std = F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1))
-    return first.join(squares, list(groups)).select(*groups, "count", "mean", std.alias("std"), "min", "max")
