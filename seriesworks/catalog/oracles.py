@@ -242,13 +242,13 @@ _ENDS = {
 }
 
 
-def _resample(freq: str, aggregate: str, empty: str) -> str:
+def _resample(freq: str, aggregate: str, empty: str, source: str = "nation_daily") -> str:
     label, step = _ENDS[freq]
     # month and quarter ends are stepped from the first of the month
     first = "date_trunc('month', min(label))" if freq in "MQ" else "min(label)"
     day = "last_day(CAST(p AS DATE))" if freq in "MQ" else "CAST(p AS DATE)"
     extra = f"""grouped AS (
-        SELECT drug_id, hospital_id, {label} AS label, {aggregate} AS v FROM nation_daily GROUP BY 1, 2, 3),
+        SELECT drug_id, hospital_id, {label} AS label, {aggregate} AS v FROM {source} GROUP BY 1, 2, 3),
         periods AS (SELECT drug_id, hospital_id, {day} AS label FROM (
             SELECT drug_id, hospital_id, unnest(generate_series(CAST({first} AS TIMESTAMP), CAST(max(label) AS TIMESTAMP), {step})) AS p
             FROM grouped GROUP BY 1, 2))"""
@@ -256,7 +256,7 @@ def _resample(freq: str, aggregate: str, empty: str) -> str:
     return _sql(
         f"SELECT drug_id, hospital_id, label AS date, {_r(value, 'sales_quantity')} "
         "FROM periods LEFT JOIN grouped USING (drug_id, hospital_id, label)",
-        "nation_daily",
+        source,
         extra=extra,
     )
 
@@ -507,9 +507,9 @@ def oracles() -> dict[str, str]:
         "densified_series": _sql("SELECT * FROM dense", "dense"),
         "densified_zero": _sql(
             "SELECT s.drug_id, s.hospital_id, s.date, coalesce(d.sales_quantity, 0) AS sales_quantity "
-            "FROM nation_spine s LEFT JOIN nation_daily d USING (drug_id, hospital_id, date)",
-            "nation_spine",
-            "nation_daily",
+            "FROM spine s LEFT JOIN daily d USING (drug_id, hospital_id, date)",
+            "spine",
+            "daily",
         ),
         "missing_counts": _sql(
             " UNION ALL ".join(
@@ -562,7 +562,7 @@ def oracles() -> dict[str, str]:
             "FROM dense GROUP BY 1, 2) USING (drug_id, hospital_id) GROUP BY 1, 2",
             "dense",
         ),
-        "resample_day_sum": _resample("D", "sum(sales_quantity)", "0"),
+        "resample_day_sum": _resample("D", "sum(sales_quantity)", "0", "daily"),
         "resample_week_sum": _resample("W", "sum(sales_quantity)", "0"),
         "resample_week_max": _resample("W", "max(sales_quantity)", "NULL"),
         "resample_month_mean": _resample("M", "avg(sales_quantity)", "NULL"),
@@ -915,6 +915,33 @@ def oracles() -> dict[str, str]:
         ),
         # models
         "fourier_features": _sql(f"SELECT date, {_fourier()} FROM (SELECT DISTINCT date FROM daily)", "daily"),
+        "batch_training_status": _sql(
+            "SELECT drug_id, hospital_id, CASE WHEN data_points < 100 OR days < 140 THEN 'failed' ELSE 'success' END AS status, "
+            "CASE WHEN data_points < 100 THEN 'not enough data points (' || data_points || ' < 100)' "
+            "WHEN days < 140 THEN 'not enough rows after features (' || greatest(days - 90, 0) || ')' ELSE 'trained' END AS message, "
+            "data_points FROM (SELECT drug_id, hospital_id, count(*) AS data_points, date_diff('day', min(date), max(date)) + 1 AS days "
+            "FROM nation_series GROUP BY 1, 2)",
+            "nation_series",
+        ),
+        "batch_prediction_coverage": _sql(
+            "SELECT drug_id, hospital_id, coalesce(greatest(days - 90, 0), 0) AS predictions, "
+            "CAST(coalesce(days, 0) <= 90 AS BIGINT) AS errors "
+            "FROM (SELECT DISTINCT p_brand AS drug_id FROM part) CROSS JOIN (SELECT unnest(['AUTOMOBILE', 'BUILDING', "
+            "'FURNITURE', 'HOUSEHOLD', 'MACHINERY', 'WHOLESALE']) AS hospital_id) LEFT JOIN "
+            "(SELECT drug_id, hospital_id, CASE WHEN count(*) >= 100 THEN date_diff('day', min(date), max(date)) + 1 END AS days "
+            "FROM series GROUP BY 1, 2) USING (drug_id, hospital_id)",
+            "series",
+        ),
+        "stacking_weights": _sql(
+            f"SELECT feature, {_r('weight', 'weight', 4)} FROM (SELECT 'lag_1' AS feature, b1 AS weight FROM b "
+            "UNION ALL SELECT 'lag_7', b7 FROM b UNION ALL SELECT 'intercept', my - b1 * m1 - b7 * m7 FROM b)",
+            "lags",
+            extra="""c AS (SELECT var_pop(lag_1) AS s11, var_pop(lag_7) AS s77, covar_pop(lag_1, lag_7) AS s17,
+                    covar_pop(lag_1, sales_quantity) AS s1y, covar_pop(lag_7, sales_quantity) AS s7y,
+                    avg(lag_1) AS m1, avg(lag_7) AS m7, avg(sales_quantity) AS my FROM lags WHERE lag_7 IS NOT NULL),
+                b AS (SELECT *, (s77 * s1y - s17 * s7y) / (s11 * s77 - s17 * s17) AS b1,
+                    (s11 * s7y - s17 * s1y) / (s11 * s77 - s17 * s17) AS b7 FROM c)""",
+        ),
         "future_days": _sql(
             "SELECT drug_id, hospital_id, CAST(unnest(generate_series(max(date) + INTERVAL 1 DAY, max(date) + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS date, "
             "true AS is_future FROM daily GROUP BY 1, 2",

@@ -317,7 +317,7 @@ def densified_series(spark, sf_dir):
 
 @query
 def densified_zero(spark, sf_dir):
-    return panel.densify(_daily(spark, sf_dir, "nation"), fill="zero")
+    return panel.densify(_daily(spark, sf_dir), fill="zero")
 
 
 @query
@@ -351,11 +351,11 @@ def outlier_counts(spark, sf_dir):
     return prep.outlier_counts(_dense(spark, sf_dir))
 
 
-def _resampled(freq, how):
-    return lambda spark, sf_dir: tidy(panel.resample(_daily(spark, sf_dir, "nation"), freq=freq, how=how))
+def _resampled(freq, how, customer="nation"):
+    return lambda spark, sf_dir: tidy(panel.resample(_daily(spark, sf_dir, customer), freq=freq, how=how))
 
 
-_CATALOGUE["resample_day_sum"] = _resampled("D", "sum")
+_CATALOGUE["resample_day_sum"] = _resampled("D", "sum", "segment")
 _CATALOGUE["resample_week_sum"] = _resampled("W", "sum")
 _CATALOGUE["resample_week_max"] = _resampled("W", "max")
 _CATALOGUE["resample_month_mean"] = _resampled("M", "mean")
@@ -830,6 +830,45 @@ def batch_prediction(spark, sf_dir):
     return tidy(jobs.batch_predict(sales, trained, requests), 4)
 
 
+@query
+def batch_training_status(spark, sf_dir):
+    """Which series were trained, and why the others were not."""
+    results, _ = jobs.batch_train(retail.sales(spark, sf_dir, "nation"))
+    return results.select(*KEYS, "status", "message", "data_points")
+
+
+@query
+def batch_prediction_coverage(spark, sf_dir):
+    """Predictions and error rows per requested pair."""
+    sales = retail.sales(spark, sf_dir)
+    _, trained = jobs.batch_train(sales)
+    products = retail.products(spark, sf_dir).withColumnRenamed("gcode", "drug_id")
+    requests = profile.requested_combinations(products, "drug_id", REQUESTED_CUSTOMERS, "hospital_id")
+    answers = jobs.batch_predict(sales, trained, requests)
+    return answers.groupBy(*KEYS).agg(
+        F.count("predicted").alias("predictions"), F.count("error").alias("errors")
+    )
+
+
+@query
+def stacking_weights(spark, sf_dir):
+    """Linear meta-model on two naive forecasts."""
+    rows = features.add_lags(_dense(spark, sf_dir), lags=[1, 7]).na.drop()
+    rows = cut_lineage(rows.select(f"{TARGET}_lag_1", f"{TARGET}_lag_7", TARGET))
+    meta = models.fit_stacking(rows, [f"{TARGET}_lag_1", f"{TARGET}_lag_7"]).stages[-1]
+    weights = [("intercept", float(meta.intercept))]
+    weights += [(f"lag_{n}", float(w)) for n, w in zip((1, 7), meta.coefficients)]
+    return tidy(spark.createDataFrame(weights, "feature string, weight double"), 4)
+
+
+@query
+def pooled_job(spark, sf_dir):
+    """Train one boosted-tree model over all daily series, then predict with it."""
+    sales = retail.sales(spark, sf_dir)
+    model, _, _ = jobs.train_pooled(sales, {"num_boost_round": 3, "learning_rate": 0.5, "max_depth": 3})
+    return tidy(jobs.predict_pooled(sales, model)[1], 4)
+
+
 @query
 def additive_forecast(spark, sf_dir):
     return tidy(forecast.forecast(_dense(spark, sf_dir), 30), 4)
