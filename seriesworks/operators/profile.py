@@ -137,25 +137,31 @@ def auto_select(
 ) -> DataFrame:
     """Products with enough rows, the largest of them, and their largest customers.
 
-    One scan: counts per (product, customer) feed both top lists.
+    One scan and one roll-up to (product, customer).  A product's total and its ranked
+    customers share a window that holds one row per customer; only the kept customers,
+    at most ``top_customers``, travel with their product through the top list.
     """
     counts = (
         df.where(valid_key(F.col(product)))
         .groupBy(product, customer)
         .agg(F.count(F.lit(1)).alias("record_count"))
     )
+    per_product = Window.partitionBy(product)
+    ranked = counts.withColumns(
+        {
+            "total_records": F.sum("record_count").over(per_product),
+            "rank": F.row_number().over(per_product.orderBy(F.col("record_count").desc(), customer)),
+        }
+    )
+    kept = ranked.where((F.col("rank") <= top_customers) & (F.col("total_records") >= min_records))
     chosen = (
-        counts.groupBy(product)
-        .agg(F.sum("record_count").alias("total_records"))
-        .where(F.col("total_records") >= min_records)
+        kept.groupBy(product, "total_records")
+        .agg(F.collect_list(F.struct(customer, "record_count")).alias("_kept"))
         .orderBy(F.col("total_records").desc(), product)
         .limit(top_products)
     )
-    # at most top_products rows on the right: broadcast by size
-    best = top_per_group(
-        counts.join(chosen, product), [product], [F.col("record_count").desc(), F.col(customer)], top_customers
-    )
-    return best.where(valid_key(F.col(customer))).select(product, customer, "record_count", "total_records")
+    rows = chosen.select(product, "total_records", F.explode("_kept").alias("_k"))
+    return rows.select(product, f"_k.{customer}", "_k.record_count", "total_records").where(valid_key(F.col(customer)))
 
 
 def series_status(
