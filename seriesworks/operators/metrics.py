@@ -15,6 +15,7 @@ from seriesworks.operators.ranks import (
     quantile_columns,
     value_counts,
 )
+from seriesworks.session import cut_lineage
 
 METRICS = ["rmse", "mae", "r2", "mape"]
 
@@ -97,8 +98,13 @@ def horizon_metrics(
     """
     y, p = F.col(actual), F.col(predicted)
     error = F.abs(y - p)
-    rows = df.withColumn("_ape", F.try_divide(error, F.abs(y))).withColumn(
-        "_sape", F.coalesce(F.try_divide(2 * error, F.abs(y) + F.abs(p)), F.lit(0.0))
+    needed = [horizon, actual, predicted, *[c for c in (lower, upper) if c]]
+    # read twice below, for the averages and for the median
+    rows = cut_lineage(df.select(*needed)).withColumns(
+        {
+            "_ape": F.try_divide(error, F.abs(y)),
+            "_sape": F.coalesce(F.try_divide(2 * error, F.abs(y) + F.abs(p)), F.lit(0.0)),
+        }
     )
     aggregates = [
         F.count(F.lit(1)).alias("n"),
