@@ -59,7 +59,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM voted JOIN q{rules.ITERATIONS + 1} USING ({names})"""
 
 
+def url_filters() -> str:
+    from .queries import URL_RULES
+
+    rules = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    return rf"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+rest AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+), best AS (
+  SELECT page_id, host, path, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         max_by(rule_verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules(),
+        "op8_url_filters": url_filters(),
     }

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import rules
+from . import classifier, rules, urls
+from .words import bucket
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +22,33 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = classifier.classify(docs.select("doc_id", "text", "n_chars"), labels, bucket(F.col("doc_id"), 5) != 0)
+    return scored.select("doc_id", (bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+#: The rules of the query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filters = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), filters)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_quality_classifier": op2_quality_classifier,
+        "op8_url_filters": op8_url_filters,
     }
 
 
