@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, rules, urls
+from . import classifier, mixing, rules, simhash, urls
 from .words import bucket
 
 
@@ -28,6 +28,16 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, mixture = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixing.taken_words(documents, mixture).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 #: The rules of the query.
 URL_RULES = [
     ("org", "/", "allow"),
@@ -48,6 +58,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_mixing": op3_mixing,
+        "op7_simhash": op7_simhash,
         "op8_url_filters": op8_url_filters,
     }
 
