@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, mixing, rules, simhash, urls
+from . import classifier, langid, lm, mixing, rules, simhash, urls
 from .words import bucket
 
 
@@ -33,6 +33,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(documents, mixture).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = bucket(F.col("doc_id"), 7)
+    scored = lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), fold != 2)
+    return scored.select(
+        "doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -54,13 +62,21 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = bucket(F.col("doc_id"), 5)
+    named = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), fold != 0)
+    return named.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_quality_classifier": op2_quality_classifier,
         "op3_mixing": op3_mixing,
+        "op4_lm_scoring": op4_lm_scoring,
         "op7_simhash": op7_simhash,
         "op8_url_filters": op8_url_filters,
+        "op10_language_id": op10_language_id,
     }
 
 
