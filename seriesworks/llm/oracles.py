@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import rules
+from . import decontaminate, rules
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 
@@ -59,6 +59,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM voted JOIN q{rules.ITERATIONS + 1} USING ({names})"""
 
 
+def decontamination() -> str:
+    n, share = decontaminate.SHINGLE, decontaminate.CONTAINMENT
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = WORDS.replace("text,", f"{lower},")
+
+    def parts(key: str, source: str) -> str:
+        at = f"unnest(range(1, len(w) - {n - 2})) AS i"
+        return (
+            f"SELECT DISTINCT {key}, array_to_string(w[i : i + {n - 1}], ' ') AS shingle FROM "
+            f"(SELECT {key}, w, {at} FROM (SELECT {key}, {words} AS w FROM {source}) WHERE len(w) >= {n})"
+        )
+
+    return rf"""
+WITH item AS ({parts("item_id", "benchmark")}), doc AS ({parts("doc_id", "documents")}),
+sizes AS (SELECT item_id, count(*) AS shingles FROM item GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, any_value(shingles) AS shingles, count(*) / any_value(shingles) AS containment
+FROM item JOIN doc USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= {share} * any_value(shingles)"""
+
+
 def url_filters() -> str:
     from .queries import URL_RULES
 
@@ -84,5 +104,6 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM bes
 def oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules(),
+        "op5_decontamination": decontamination(),
         "op8_url_filters": url_filters(),
     }
