@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, langid, lm, mixing, rules, simhash, urls
+from . import classifier, decontaminate, langid, lm, mixing, rules, simhash, suffix, urls
 from .words import bucket
 
 
@@ -46,6 +46,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(docs, items).drop("text_hash")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(suffix.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -80,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mixing": op3_mixing,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_decontamination": op5_decontamination,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_simhash": op7_simhash,
         "op8_url_filters": op8_url_filters,
         "op10_language_id": op10_language_id,
