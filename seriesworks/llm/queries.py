@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, langid, lm, mixing, rules, simhash, suffix, urls
+from . import classifier, decontaminate, langid, lm, mixing, rules, simhash, suffix, urls, wrappers
 from .words import bucket
 
 
@@ -71,6 +71,10 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = bucket(F.col("doc_id"), 5)
     named = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), fold != 0)
@@ -87,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_simhash": op7_simhash,
         "op8_url_filters": op8_url_filters,
+        "op9_html_extraction": op9_html_extraction,
         "op10_language_id": op10_language_id,
     }
 
