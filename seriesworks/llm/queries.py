@@ -81,6 +81,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -93,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": op8_url_filters,
         "op9_html_extraction": op9_html_extraction,
         "op10_language_id": op10_language_id,
+        "pipeline": pipeline,
     }
 
 

@@ -86,18 +86,19 @@ def links(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
 def near_duplicates(
     docs: DataFrame, text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, segments: int = SEGMENTS
 ) -> DataFrame:
-    """The columns of ``docs`` but the text, with ``fp`` and ``component_id``.
+    """The columns of ``docs`` but the text, with ``fp``, ``component_id`` and ``root``.
 
     Documents whose fingerprints differ in at most ``distance`` bits are linked; a
-    component's id is its smallest ``doc_id`` (null if all are null).  Equal texts share
+    component's id is its smallest ``doc_id`` (null if all are null), its root the
+    smallest fingerprint.  Equal texts share
     a fingerprint, so links are sought between distinct fingerprints only and copies
     are never paired.  Null and empty texts have fingerprint zero and link like others.
     Every link is found: no bucket is capped.  Columns named like results are replaced.
     """
-    marked = cut_lineage(with_fingerprints(docs.drop("component_id"), text, shingle))
+    marked = cut_lineage(with_fingerprints(docs.drop("component_id", "root"), text, shingle))
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(nodes, distance, segments))
     joined = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = joined.join(smallest, "root").select("fp", "component_id")
+    labels = joined.join(smallest, "root").select("fp", "component_id", "root")
     return marked.join(labels, "fp")
