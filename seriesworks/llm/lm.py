@@ -22,7 +22,7 @@ from . import ppm
 from .arrow_text import LOWER, chunks, span_hashes, word_spans
 
 #: Longest context in bytes; least share of the training bytes that a node must have.
-DEPTH, LEAST = 6, 2.0**-22
+DEPTH, LEAST = 6, 2.0**-21
 FREQUENT = 2.0**-20
 
 
@@ -43,7 +43,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list = []
         for b in batches:
-            for _, _, raw, at in chunks(b["_text"]):
+            for _, _, raw, at in chunks(b["__sw_text"]):
                 parts.append(np.unique(word_hashes(raw, at)[0], return_counts=True))
                 if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
                     parts = [ppm.merged(parts)]
@@ -55,7 +55,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     [pa.array(words[part].view(np.int64)), pa.array(n[part].astype(np.int64))], names=["word", "n"]
                 )
 
-    plain = docs.select(F.col(text).alias("_text"))
+    plain = docs.select(F.col(text).alias("__sw_text"))
     return plain.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -75,10 +75,10 @@ def score(
     """
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     spark = docs.sparkSession
-    learned = docs.filter(training).select(F.lit(0).alias("_model"), F.col(text).alias("_text"))
-    nodes = ppm.learn(learned, depth, least, "_model", "_text")
+    learned = docs.filter(training).select(F.lit(0).alias("__sw_model"), F.col(text).alias("__sw_text"))
+    nodes = ppm.learn(learned, depth, least, "__sw_model", "__sw_text")
     trie = ppm.Trie(nodes, 1, depth)
-    counts = cut_lineage(word_counts(learned, "_text"))
+    counts = cut_lineage(word_counts(learned, "__sw_text"))
     ends = int(nodes["n"].to_numpy()[(nodes["order"].to_numpy() == 0) & (nodes["gram"].to_numpy() == ppm.EDGE)].sum())
     if not ends:  # the end may be too rare for a node
         ends = learned.count()
@@ -100,7 +100,7 @@ def score(
             size = b.num_rows
             own, known, base, logs = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
             rare_keys, rare_counts, rare_sizes = [], [], np.zeros(size, np.int64)
-            for lo, hi, raw, at in chunks(b["_text"]):
+            for lo, hi, raw, at in chunks(b["__sw_text"]):
                 logs[lo:hi] = trie.log_probability(raw, at)[:, 0]
                 hashes, row = word_hashes(raw, at)
                 place = table.find(hashes)
@@ -121,28 +121,28 @@ def score(
                 for part, kind in (([k.view(np.int64) for k in rare_keys], pa.int64()), (rare_counts, pa.int32()))
             ]
             yield pa.RecordBatch.from_arrays(
-                [*(b[c] for c in kept), b["_row"], pa.array(own + 1), pa.array(known), pa.array(base), pa.array(logs / np.log(10)), *lists],
-                names=[*kept, "_row", "n_tokens", "_known", "_base", "score", "_words", "_times"],
+                [*(b[c] for c in kept), b["__sw_row"], pa.array(own + 1), pa.array(known), pa.array(base), pa.array(logs / np.log(10)), *lists],
+                names=[*kept, "__sw_row", "n_tokens", "__sw_known", "__sw_base", "score", "__sw_words", "__sw_times"],
             )
 
-    plain = docs.select(*kept, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    plain = docs.select(*kept, F.col(text).alias("__sw_text"), F.monotonically_increasing_id().alias("__sw_row"))
     schema = docs.select(*kept).schema
-    for name, kind in (("_row", "long"), ("n_tokens", "long"), ("_known", "long"), ("_base", "double"), ("score", "double")):
+    for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double"), ("score", "double")):
         schema = schema.add(name, kind)
-    schema = schema.add("_words", ArrayType(LongType())).add("_times", ArrayType(IntegerType()))
+    schema = schema.add("__sw_words", ArrayType(LongType())).add("__sw_times", ArrayType(IntegerType()))
     scored = cut_lineage(plain.mapInArrow(read, schema))
-    rare = scored.select("_row", F.explode(F.arrays_zip("_words", "_times")).alias("w")).select(
-        "_row", F.col("w._words").alias("word"), F.col("w._times").alias("times")
+    rare = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_words", "__sw_times")).alias("w")).select(
+        "__sw_row", F.col("w.__sw_words").alias("word"), F.col("w.__sw_times").alias("times")
     )
-    costs = rare.join(counts, "word", "left").groupBy("_row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tokens + kinds + 1)))).alias("_rare"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("_rare_known"),
+    costs = rare.join(counts, "word", "left").groupBy("__sw_row").agg(
+        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tokens + kinds + 1)))).alias("__sw_rare"),
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("__sw_rare_known"),
     )
-    return scored.join(costs, "_row", "left").select(
+    return scored.join(costs, "__sw_row", "left").select(
         *kept,
         "n_tokens",
-        (F.col("_known") + F.coalesce("_rare_known", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
+        (F.col("__sw_known") + F.coalesce("__sw_rare_known", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_rare", F.lit(0.0)) + end_score).alias("base_score"),
+        (F.col("__sw_base") + F.coalesce("__sw_rare", F.lit(0.0)) + end_score).alias("base_score"),
         "score",
     )

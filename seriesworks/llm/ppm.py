@@ -27,14 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..session import cut_lineage
-from .arrow_text import LOWER, chunks
+from .arrow_text import LOWER, chunks, mixed
+from .packing import pack, pack_sorted, unpack, unpack_sorted
 
 EDGE = 255
 #: Taken off each kept symbol's count and given to the escape.
 DISCOUNT = 0.5
+#: Groups that the longest grams are dealt into; grams that a task holds at most.
+BUCKETS, HELD = 128, 1 << 23
+NODES = "model int, order int, gram long, n long, total long"
 EMPTY = np.uint64(2**64 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,58 +79,94 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def gram_counts(docs: DataFrame, depth: int, model: str, text: str = "text") -> DataFrame:
-    """(model, order, gram, n): occurrences of each symbol after each context of up to ``depth`` bytes.
+    """(bucket, model, grams, counts): packed counts of the longest grams, from each task.
 
     ``model`` is an integer column that tells which model learns from the row.  Letters
-    A to Z are lower-cased.  Each task sums up what it reads; the sums are added by key.
+    A to Z are lower-cased.  A bucket has all grams with the same two bytes before the
+    symbol, so contexts of two bytes and more lie in one bucket.
     """
 
+    def packed(m: int, parts: list) -> Iterator[pa.RecordBatch]:
+        keys, n = merged(parts)
+        bucket = (mixed((keys >> np.uint64(8)) & np.uint64(0xFFFF)) % np.uint64(BUCKETS)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        keys, n, bucket = keys[order], n[order], bucket[order]
+        cut = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+        spans = [(i, slice(lo, hi)) for i, (lo, hi) in enumerate(zip(cut, cut[1:], strict=False)) if hi > lo]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([i for i, _ in spans], pa.int32()), pa.array([m] * len(spans), pa.int32()),
+                pa.array([pack_sorted(keys[s]) for _, s in spans], pa.binary()),
+                pa.array([pack(n[s].astype(np.int64)) for _, s in spans], pa.binary()),
+            ],
+            names=["bucket", "model", "grams", "counts"],
+        )
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
         for b in batches:
-            owner = b["_model"].to_numpy(zero_copy_only=False)
+            owner = b["__sw_model"].to_numpy(zero_copy_only=False)
             for m in np.unique(owner):
-                rows = b["_text"].filter(pa.array(owner == m))
+                rows = b["__sw_text"].filter(pa.array(owner == m))
+                parts = held.setdefault(int(m), [])
                 for _, _, raw, at in chunks(rows):
-                    keys, n = np.unique(gram_keys(LOWER[raw], at, depth)[0], return_counts=True)
-                    parts = held.setdefault(int(m), [])
-                    parts.append((keys, n))
+                    parts.append(np.unique(gram_keys(LOWER[raw], at, depth)[0], return_counts=True))
                     if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
                         parts[:] = [merged(parts)]
+                        if len(parts[0][0]) > HELD:
+                            yield from packed(int(m), parts)
+                            parts.clear()
         for m, parts in held.items():
-            keys, n = merged(parts)
-            for order in range(depth, -1, -1):
-                keys, n = merged([(keys & mask(order), n)])
-                for lo in range(0, len(keys), 1 << 18):
-                    part = slice(lo, lo + (1 << 18))
-                    size = len(keys[part])
-                    columns = [
-                        pa.array(np.full(size, m, np.int32)), pa.array(np.full(size, order, np.int32)),
-                        pa.array(keys[part].view(np.int64)), pa.array(n[part].astype(np.int64)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["model", "order", "gram", "n"])
+            if parts:
+                yield from packed(m, parts)
 
-    plain = docs.select(F.col(model).cast("int").alias("_model"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    each = plain.mapInArrow(counted, "model int, order int, gram long, n long")
-    return each.groupBy("model", "order", "gram").agg(F.sum("n").alias("n"))
+    plain = docs.select(F.col(model).cast("int").alias("__sw_model"), F.coalesce(F.col(text), F.lit("")).alias("__sw_text"))
+    return plain.mapInArrow(counted, "bucket int, model int, grams binary, counts binary")
 
 
 def learn(docs: DataFrame, depth: int, least: float, model: str, text: str = "text") -> pa.Table:
     """The trie's nodes: (model, order, gram, n, total), n being at least ``least`` of the model's symbols.
 
-    ``total`` are the occurrences of the node's context, whatever symbol follows.  All documents are counted.  A threshold relative to the
-    corpus bounds the nodes of a model: at most ``1 / least`` for each order.
+    ``total`` are the occurrences of the node's context, whatever symbol follows.  All
+    documents are counted.  A threshold relative to the corpus bounds the nodes of a
+    model: at most ``1 / least`` for each order, and 65,536 for contexts of one byte.
     """
-    counts = cut_lineage(gram_counts(docs, depth, model, text))
-    own = Window.partitionBy("model", "order", F.shiftright("gram", 8))  # at most 256 symbols
-    sizes = counts.filter("order = 0").groupBy("model").agg(F.sum("n").alias("size"))  # one row a model
-    nodes = (
-        counts.withColumn("total", F.sum("n").over(own))
-        .join(F.broadcast(sizes), "model")
-        .filter(F.col("n") >= least * F.col("size"))
-        .drop("size")
-    )
-    return nodes.select("model", "order", "gram", "n", "total").toArrow()
+    size = F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long") + 1)
+    sizes = {r[model]: r["n"] for r in docs.groupBy(model).agg(size.alias("n")).collect()}  # one row a model
+
+    def nodes_of(group: pa.Table) -> pa.Table:
+        owner, out = group["model"].to_numpy(), []
+        for m in np.unique(owner):
+            rows = np.flatnonzero(owner == m).tolist()
+            keys, n = merged([
+                (unpack_sorted(group["grams"][i].as_py(), np.uint64), unpack(group["counts"][i].as_py(), np.int64)) for i in rows
+            ])
+            for order in range(depth, 0, -1):
+                keys, n = merged([(keys & mask(order), n)])
+                # a context of one byte may have symbols in other buckets
+                out.append(_nodes(int(m), order, keys, n, least * sizes[int(m)] if order > 1 else 0))
+        return pa.concat_tables(out)
+
+    found = gram_counts(docs, depth, model, text).groupBy("bucket").applyInArrow(nodes_of, NODES).toArrow()
+    short = found["order"].to_numpy() == 1
+    parts = [found.filter(pa.array(~short))]
+    for m, whole in sizes.items():
+        mine = short & (found["model"].to_numpy() == m)
+        keys, n = merged([(found["gram"].to_numpy()[mine].view(np.uint64), found["n"].to_numpy()[mine])])
+        for order in (1, 0) if depth else (0,):
+            keys, n = merged([(keys & mask(order), n)])
+            parts.append(_nodes(m, order, keys, n, least * whole))
+    return pa.concat_tables(parts)
+
+
+def _nodes(model: int, order: int, keys: np.ndarray, n: np.ndarray, least: float) -> pa.Table:
+    """Nodes of one order with at least ``least`` occurrences; keys are sorted and distinct."""
+    cut = np.flatnonzero(np.r_[True, (keys[1:] ^ keys[:-1]) > 255]) if len(keys) else np.zeros(0, np.int64)
+    total = np.repeat(np.add.reduceat(n, cut), np.diff(np.append(cut, len(keys)))) if len(cut) else n
+    kept = n >= least
+    rows = int(kept.sum())
+    columns = [np.full(rows, model, np.int32), np.full(rows, order, np.int32), keys[kept].view(np.int64), n[kept], total[kept]]
+    return pa.table(dict(zip(("model", "order", "gram", "n", "total"), columns, strict=True)))
 
 
 class Lookup:
@@ -211,8 +249,9 @@ class Trie:
             self.logs.append(logs.astype(np.float32))
             self.seen.append(n > 0)
             self.contexts.append(Lookup(contexts))
-            self.escape_seen.append(seen_up.astype(np.float32))
-            self.escape_past.append(past_up.astype(np.float32))
+            none = np.zeros((1, models))  # row -1: an unknown context costs nothing
+            self.escape_seen.append(np.concatenate([seen_up, none]).astype(np.float32))
+            self.escape_past.append(np.concatenate([past_up, none]).astype(np.float32))
             below = {"keys": keys, "n": n, "contexts": contexts, "kept": kept, "escape": escape, "seen": n > 0, "logs": logs}
 
     def _root(self, keys, n, kept, escape, types) -> dict:
@@ -270,9 +309,7 @@ class Trie:
                 out[todo[~hit]] += past_up[~hit]
             todo, mine = todo[~hit], mine[~hit]
             row = self.contexts[order].find(mine >> np.uint64(8))
-            known = (row >= 0)[:, None]
-            seen_up = np.where(known, self.escape_seen[order][row], np.float32(0))
-            past_up = np.where(known, self.escape_past[order][row], np.float32(0))
+            seen_up, past_up = self.escape_seen[order][row], self.escape_past[order][row]
         symbol = (keys[todo] & np.uint64(255)).astype(np.int64)
         last = self.logs[0][symbol]
         if seen_up is not None:
