@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time; a longer text is one piece by itself.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -103,9 +103,13 @@ class Machine:
 
 def fit(
     row: np.ndarray, inputs: np.ndarray, values: np.ndarray, label: np.ndarray, epochs: int = 12, batch: int = 256,
-    rate: float = 0.02, decay: float = 1e-4, seed: int = 7,
+    steps: int = 400, rate: float = 0.02, decay: float = 1e-4, seed: int = 7,
 ) -> Machine:
-    """Logistic loss by Adam over shuffled batches of rows."""
+    """Logistic loss by Adam over shuffled batches of rows.
+
+    A sample of a few hundred rows is gone through in smaller batches and more often,
+    so that there are at least ``steps`` steps.
+    """
     n = (1 << WORD_BITS) + BINS * len(STATISTICS)
     random = np.random.default_rng(seed)
     rows = len(label)
@@ -117,9 +121,10 @@ def fit(
     first = np.searchsorted(row, np.arange(rows + 1))
     table = np.concatenate([machine.linear[:, None], machine.vectors], axis=1)
     mean, square, step = np.zeros_like(table), np.zeros_like(table), 0
-    for _ in range(epochs):
+    lots = max(1, rows // min(batch, max(16, rows // 16)))
+    for _ in range(max(epochs, -(-steps // lots))):
         order = random.permutation(rows)
-        for lot in np.array_split(order, max(1, rows // batch)):
+        for lot in np.array_split(order, lots):
             sizes = first[lot + 1] - first[lot]
             cut = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             pick = np.repeat(first[lot] - cut, sizes) + np.arange(sizes.sum())
@@ -160,11 +165,11 @@ def train(
     """
     own_hash = F.xxhash64("doc_id")
     chosen = (
-        labels.select("doc_id", F.col(label).cast("double").alias("_label"))
+        labels.select("doc_id", F.col(label).cast("double").alias("__sw_label"))
         .dropna()
         .filter(usable)
         .groupBy("doc_id")
-        .agg((F.avg("_label") >= 0.5).cast("int").alias("_label"))
+        .agg((F.avg("__sw_label") >= 0.5).cast("int").alias("__sw_label"))
         .orderBy(own_hash, "doc_id")
         .limit(max_rows)
     )
@@ -172,7 +177,7 @@ def train(
     sample = (
         docs.select("doc_id", F.col(text).alias("text"), size.alias("n_chars"))
         .join(F.broadcast(chosen), "doc_id")  # at most max_rows rows
-        .withColumn("_hash", own_hash)
+        .withColumn("__sw_hash", own_hash)
     )
 
     def inputs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +187,7 @@ def train(
                 row, own, x = features(raw, at, sizes[lo:hi])
                 cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [b["_hash"][lo:hi], b["doc_id"][lo:hi], b["_label"][lo:hi], pa.ListArray.from_arrays(cut, pa.array(own, pa.int32())),
+                    [b["__sw_hash"][lo:hi], b["doc_id"][lo:hi], b["__sw_label"][lo:hi], pa.ListArray.from_arrays(cut, pa.array(own, pa.int32())),
                      pa.ListArray.from_arrays(cut, pa.array(x, pa.float32()))],
                     names=["h", "doc_id", "label", "inputs", "values"],
                 )
@@ -206,14 +211,14 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", threshold: floa
     model = docs.sparkSession.sparkContext.broadcast(parts)  # fixed size: inputs x (RANK + 1) floats
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     size = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    plain = docs.select(*kept, F.col(text).alias("_text"), size.alias("_size"))
+    plain = docs.select(*kept, F.col(text).alias("__sw_text"), size.alias("__sw_size"))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine(*model.value)
         for b in batches:
-            sizes = b["_size"].to_numpy(zero_copy_only=False).astype(float)
+            sizes = b["__sw_size"].to_numpy(zero_copy_only=False).astype(float)
             out = np.empty(b.num_rows)
-            for lo, hi, raw, at in chunks(b["_text"]):
+            for lo, hi, raw, at in chunks(b["__sw_text"]):
                 out[lo:hi] = machine.logits(*features(raw, at, sizes[lo:hi]))
             out = 1 / (1 + np.exp(-np.clip(out, -500, 500)))
             columns = [b[c] for c in kept] + [pa.array(out), pa.array((out >= threshold).astype(np.int32))]

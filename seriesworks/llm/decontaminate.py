@@ -68,14 +68,14 @@ def contained(
     words, null ones included, have no shingles and are not found.  Repeated rows count
     once; rows that share a ``doc_id`` but not the text are told apart by ``text_hash``.
     """
-    texts = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.col(text).alias("_text")).filter("_text IS NOT NULL")
-    worded = texts.withColumn("words", word_array(lower_ascii(F.col("_text"))))
+    texts = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.col(text).alias("__sw_text")).filter("__sw_text IS NOT NULL")
+    worded = texts.withColumn("words", word_array(lower_ascii(F.col("__sw_text"))))
     probes = cut_lineage(sketches(items, item, item_text, n, share))
     hashed = worded.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("words"), n)).alias("h"))
     candidates = cut_lineage(hashed.join(_small(probes), "h").select("doc_id", "text_hash", "item").distinct())
 
-    found = candidates.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = worded["doc_id"].eqNullSafe(F.col("_id")) & (worded["text_hash"] == F.col("_hash"))
+    found = candidates.select(F.col("doc_id").alias("__sw_id"), F.col("text_hash").alias("__sw_hash")).distinct()
+    same = worded["doc_id"].eqNullSafe(F.col("__sw_id")) & (worded["text_hash"] == F.col("__sw_hash"))
     suspects = worded.join(_small(found), same, "left_semi")
     parts = suspects.select("doc_id", "text_hash", F.explode(shingles(F.col("words"), n)).alias("shingle"))
     whole = items.select(F.col(item).alias("item"), shingles(word_array(lower_ascii(F.col(item_text))), n).alias("own"))
@@ -85,8 +85,8 @@ def contained(
         .groupBy("doc_id", "text_hash", "item", "shingles")
         .agg(F.countDistinct("shingle").alias("shared"))
     )
-    pairs = candidates.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("item").alias("_item"))
-    of_pair = shared["doc_id"].eqNullSafe(F.col("_id")) & (shared["text_hash"] == F.col("_hash")) & (shared["item"].eqNullSafe(F.col("_item")))
+    pairs = candidates.select(F.col("doc_id").alias("__sw_id"), F.col("text_hash").alias("__sw_hash"), F.col("item").alias("__sw_item"))
+    of_pair = shared["doc_id"].eqNullSafe(F.col("__sw_id")) & (shared["text_hash"] == F.col("__sw_hash")) & (shared["item"].eqNullSafe(F.col("__sw_item")))
     return (
         shared.join(pairs, of_pair, "left_semi")
         .withColumn("containment", F.col("shared") / F.col("shingles"))
@@ -97,6 +97,6 @@ def contained(
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    found = contained(docs, items, text, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    found = contained(docs, items, text, **options).select(F.col("doc_id").alias("__sw_id"), F.col("text_hash").alias("__sw_hash")).distinct()
     found = cut_lineage(found)
-    return docs.join(_small(found), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_hash")), "left_anti")
+    return docs.join(_small(found), docs["doc_id"].eqNullSafe(F.col("__sw_id")) & (F.xxhash64(docs[text]) == F.col("__sw_hash")), "left_anti")

@@ -35,11 +35,11 @@ def sample(docs: DataFrame, usable: Column, lang: str = "lang", text: str = "tex
     names = sorted(sizes)
     spark = docs.sparkSession
     shares = spark.createDataFrame(
-        [(name, i, min(1.0, rows / sizes[name])) for i, name in enumerate(names)], "_lang string, _model int, _share double"
+        [(name, i, min(1.0, rows / sizes[name])) for i, name in enumerate(names)], "__sw_lang string, __sw_model int, __sw_share double"
     )
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.join(F.broadcast(shares), F.col(lang) == F.col("_lang")).filter(place < F.col("_share"))
-    return names, chosen.select("_model", F.col(text).alias("_text"))
+    chosen = labelled.join(F.broadcast(shares), F.col(lang) == F.col("__sw_lang")).filter(place < F.col("__sw_share"))
+    return names, chosen.select("__sw_model", F.col(text).alias("__sw_text"))
 
 
 def identify(
@@ -55,7 +55,7 @@ def identify(
     columns of the same names.
     """
     names, chosen = sample(docs, usable, lang, text, rows)
-    trie = ppm.Trie(ppm.learn(chosen, depth, least, "_model", "_text"), len(names), depth) if names else None
+    trie = ppm.Trie(ppm.learn(chosen, depth, least, "__sw_model", "__sw_text"), len(names), depth) if names else None
     model = docs.sparkSession.sparkContext.broadcast((trie and trie.arrays(), names))
     kept = [c for c in docs.columns if c not in (text, lang, "lang_pred", "score")]
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
@@ -66,13 +66,13 @@ def identify(
         for b in batches:
             best, share = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
             if trie:
-                for lo, hi, raw, at in chunks(b["_text"]):
+                for lo, hi, raw, at in chunks(b["__sw_text"]):
                     logs = trie.log_probability(raw, at)
                     best[lo:hi] = logs.argmax(axis=1)
                     share[lo:hi] = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
-            good = b["_letters"].to_numpy(zero_copy_only=False).astype(bool) & bool(trie)
+            good = b["__sw_letters"].to_numpy(zero_copy_only=False).astype(bool) & bool(trie)
             found = pa.array([names[i] if ok else UNKNOWN for i, ok in zip(best, good, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), found, pa.array(np.where(good, share, 0.0))], names=[*kept, "lang_pred", "score"])
 
-    plain = docs.select(*kept, F.col(text).alias("_text"), letters.alias("_letters"))
+    plain = docs.select(*kept, F.col(text).alias("__sw_text"), letters.alias("__sw_letters"))
     return plain.mapInArrow(named, docs.select(*kept).schema.add("lang_pred", "string").add("score", "double"))

@@ -155,17 +155,17 @@ def positioned(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"), F.size(word_array(F.col(text))).cast("long").alias("size"))
     sized = cut_lineage(kept)
     groups = max(1, sized.count() // GROUP_ROWS)
-    sized = sized.withColumn("_group", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
-    inside = Window.partitionBy("source", "_group").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy("source").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    sized = sized.withColumn("__sw_group", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
+    inside = Window.partitionBy("source", "__sw_group").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source").orderBy("__sw_group").rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
-        sized.groupBy("source", "_group").agg(F.sum("size").alias("_words"))
-        .withColumn("_first", F.coalesce(F.sum("_words").over(before), F.lit(0)))
-        .select(F.col("source").alias("_source"), F.col("_group").alias("_g"), "_first")
+        sized.groupBy("source", "__sw_group").agg(F.sum("size").alias("__sw_words"))
+        .withColumn("__sw_first", F.coalesce(F.sum("__sw_words").over(before), F.lit(0)))
+        .select(F.col("source").alias("__sw_source"), F.col("__sw_group").alias("__sw_g"), "__sw_first")
     )
-    placed = sized.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    same = placed["source"].eqNullSafe(firsts["_source"]) & (placed["_group"] == firsts["_g"])
-    return placed.join(firsts, same).select("doc_id", "source", "text_hash", "size", (F.col("_first") + F.col("_inside")).alias("start"))
+    placed = sized.withColumn("__sw_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    same = placed["source"].eqNullSafe(firsts["__sw_source"]) & (placed["__sw_group"] == firsts["__sw_g"])
+    return placed.join(firsts, same).select("doc_id", "source", "text_hash", "size", (F.col("__sw_first") + F.col("__sw_inside")).alias("start"))
 
 
 def slot_table(spark: SparkSession, sources: list[Source], length: int, shards: int, seed: int) -> DataFrame:
@@ -213,9 +213,9 @@ def mix(
     for s in sources:
         plan_slots(s, block_words, s.sid + seed * 1_000_003)
     names = spark.createDataFrame(
-        [(s.sid, s.name, s.size, s.target) for s in sources], "sid int, _source string, source_size long, target double"
+        [(s.sid, s.name, s.size, s.target) for s in sources], "sid int, __sw_source string, source_size long, target double"
     )
-    documents = sized.join(F.broadcast(names), sized["source"].eqNullSafe(names["_source"])).drop("_source")  # a row per source
+    documents = sized.join(F.broadcast(names), sized["source"].eqNullSafe(names["__sw_source"])).drop("__sw_source")  # a row per source
     pieces = (
         documents.filter("size > 0")
         .withColumn("block", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
@@ -240,18 +240,18 @@ def mix(
 
 def taken_words(documents: DataFrame, mixture: DataFrame) -> DataFrame:
     """``documents`` with ``taken``, the words that the mixture takes of each, repeats counted."""
-    sums = mixture.groupBy("sid", "start").agg(F.sum("n_words").alias("_taken"))
+    sums = mixture.groupBy("sid", "start").agg(F.sum("n_words").alias("__sw_taken"))
     worded = documents.filter("size > 0").join(sums, ["sid", "start"], "left")
-    return worded.withColumn("taken", F.coalesce("_taken", F.lit(0))).drop("_taken").unionByName(
+    return worded.withColumn("taken", F.coalesce("__sw_taken", F.lit(0))).drop("__sw_taken").unionByName(
         documents.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
     )
 
 
 def mixed_text(docs: DataFrame, documents: DataFrame, mixture: DataFrame, text: str = "text") -> DataFrame:
     """The mixture's pieces with their words (shard, position, slot, start, piece)."""
-    key = docs.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    key = key.dropDuplicates(["_id", "_src", "_hash"])
-    same = documents["doc_id"].eqNullSafe(key["_id"]) & documents["source"].eqNullSafe(key["_src"]) & (documents["text_hash"] == key["_hash"])
-    words = documents.filter("size > 0").join(key, same).select("sid", "start", word_array(F.col("_text")).alias("_words"))
-    piece = F.array_join(F.slice("_words", F.col("from_word").cast("int") + 1, F.col("n_words").cast("int")), " ")
+    key = docs.select(F.col("doc_id").alias("__sw_id"), F.col("source").alias("__sw_src"), F.xxhash64(text).alias("__sw_hash"), F.col(text).alias("__sw_text"))
+    key = key.dropDuplicates(["__sw_id", "__sw_src", "__sw_hash"])
+    same = documents["doc_id"].eqNullSafe(key["__sw_id"]) & documents["source"].eqNullSafe(key["__sw_src"]) & (documents["text_hash"] == key["__sw_hash"])
+    words = documents.filter("size > 0").join(key, same).select("sid", "start", word_array(F.col("__sw_text")).alias("__sw_words"))
+    piece = F.array_join(F.slice("__sw_words", F.col("from_word").cast("int") + 1, F.col("n_words").cast("int")), " ")
     return mixture.join(words, ["sid", "start"]).select("shard", "position", "sid", "slot", "start", "from_word", piece.alias("piece"))

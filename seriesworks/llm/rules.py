@@ -48,34 +48,34 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     repeated if a neighbour has the same hash, and it covers three words, or fewer up to
     the start of the next repeated one.
     """
-    has_repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    has_repeats = F.size(F.array_distinct("__sw_windows")) < F.size("__sw_windows")
     pair = lambda h, i: F.struct(h.alias("h"), i.alias("i"))
-    same = lambda x, k: F.get(F.col("_sorted"), k)["h"] == x["h"]
+    same = lambda x, k: F.get(F.col("__sw_sorted"), k)["h"] == x["h"]
     repeated = F.filter(
-        "_sorted",
+        "__sw_sorted",
         lambda x, k: F.coalesce(same(x, k + 1), F.lit(False)) | ((k > 0) & F.coalesce(same(x, k - 1), F.lit(False))),
     )
-    next_start = lambda x, k: F.least(F.lit(3), F.coalesce(F.get(F.col("_starts"), k + 1), x + 3) - x)
-    covered = F.aggregate(F.transform("_starts", next_start), F.lit(0), lambda s, x: s + x)
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != "")
+    next_start = lambda x, k: F.least(F.lit(3), F.coalesce(F.get(F.col("__sw_starts"), k + 1), x + 3) - x)
+    covered = F.aggregate(F.transform("__sw_starts", next_start), F.lit(0), lambda s, x: s + x)
+    lines = F.filter(F.split("__sw_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != "")
     return (
-        docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("_words", word_array(F.col("_text")))
-        .withColumn("_lines", lines)
-        .withColumn("_windows", window_hashes(F.col("_words")))
-        .withColumn("_sorted", F.when(has_repeats, F.sort_array(F.transform("_windows", pair))))
-        .withColumn("_starts", F.sort_array(F.transform(repeated, lambda x: x["i"])))
+        docs.withColumn("__sw_text", F.coalesce(F.col(text), F.lit("")))
+        .withColumn("__sw_words", word_array(F.col("__sw_text")))
+        .withColumn("__sw_lines", lines)
+        .withColumn("__sw_windows", window_hashes(F.col("__sw_words")))
+        .withColumn("__sw_sorted", F.when(has_repeats, F.sort_array(F.transform("__sw_windows", pair))))
+        .withColumn("__sw_starts", F.sort_array(F.transform(repeated, lambda x: x["i"])))
         .withColumns({
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate("_text", " \t\n\x0b\f\r", "")).cast("long"),
-            "n_symbols": n_chars_of(F.col("_text"), "#*$%&|<>").cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_words": F.size("__sw_words").cast("long"),
+            "word_chars": F.length(F.translate("__sw_text", " \t\n\x0b\f\r", "")).cast("long"),
+            "n_symbols": n_chars_of(F.col("__sw_text"), "#*$%&|<>").cast("long"),
+            "n_lines": F.size("__sw_lines").cast("long"),
+            "n_dup_lines": (F.size("__sw_lines") - F.size(F.array_distinct("__sw_lines"))).cast("long"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-            "n_capitals": n_chars_of(F.col("_text"), CAPITALS).cast("long"),
-            "n_exclamations": n_chars_of(F.col("_text"), "!").cast("long"),
+            "n_capitals": n_chars_of(F.col("__sw_text"), CAPITALS).cast("long"),
+            "n_exclamations": n_chars_of(F.col("__sw_text"), "!").cast("long"),
         })
-        .drop("_text", "_words", "_lines", "_windows", "_sorted", "_starts")
+        .drop("__sw_text", "__sw_words", "__sw_lines", "__sw_windows", "__sw_sorted", "__sw_starts")
     )
 
 

@@ -55,11 +55,11 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGL
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = [fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b["_text"].cast(pa.binary())]
+            prints = [fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in b["__sw_text"].cast(pa.binary())]
             column = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), column], names=[*kept, "fp"])
 
-    plain = docs.select(*kept, F.col(text).alias("_text"))
+    plain = docs.select(*kept, F.col(text).alias("__sw_text"))
     return plain.mapInArrow(marked, docs.select(*kept).schema.add("fp", "long"))
 
 

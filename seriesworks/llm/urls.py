@@ -91,13 +91,13 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = D
         .filter("digest = rule_digest")
         .groupBy("url")
         .agg(F.max(F.struct(F.length("rule").alias("length"), "rule", "rule_verdict")).alias("best"))
-        .select(F.col("url").alias("_url"), F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("_verdict"))
+        .select(F.col("url").alias("__sw_url"), F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("__sw_verdict"))
     )
     return (
-        bare.join(found, bare[url] == found["_url"], "left")
-        .drop("_url")
+        bare.join(found, bare[url] == found["__sw_url"], "left")
+        .drop("__sw_url")
         .withColumn("host", host_of(F.col(url)))
         .withColumn("path", path_of(F.col(url)))
-        .withColumn("verdict", F.coalesce("_verdict", F.lit(default)))
-        .drop("_verdict")
+        .withColumn("verdict", F.coalesce("__sw_verdict", F.lit(default)))
+        .drop("__sw_verdict")
     )
