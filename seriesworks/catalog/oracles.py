@@ -504,6 +504,11 @@ def oracles() -> dict[str, str]:
         "pooled_samples": _sql("SELECT is_current, value, hour, k FROM samples", "samples"),
         # panel and preparation
         "daily_sales": _sql("SELECT * FROM daily", "daily"),
+        "daily_sales_from_timestamps": _sql(
+            f"SELECT drug_id, hospital_id, date, {_r('sum(CASE WHEN sales_quantity % 7 > 0 THEN sales_quantity ELSE 0 END)', 'sales_quantity')} "
+            "FROM series GROUP BY drug_id, hospital_id, date",
+            "series",
+        ),
         "densified_series": _sql("SELECT * FROM dense", "dense"),
         "densified_zero": _sql(
             "SELECT s.drug_id, s.hospital_id, s.date, coalesce(d.sales_quantity, 0) AS sales_quantity "
@@ -601,6 +606,13 @@ def oracles() -> dict[str, str]:
             f"SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_rolling(config.WINDOWS, config.STATISTICS)} FROM dense",
             "dense",
         ),
+        "rolling_after_spike": _sql(
+            "SELECT * EXCLUDE (since) FROM (SELECT drug_id, hospital_id, date, since, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, "
+            f"{_rolling(config.WINDOWS, config.STATISTICS)} FROM spiked) WHERE since > 90",
+            "dense",
+            extra=f"""spiked AS (SELECT drug_id, hospital_id, date, since, CASE WHEN since = 0 THEN 1e9 ELSE sales_quantity END AS sales_quantity
+                FROM (SELECT *, CAST(date - min(date) OVER ({_BY_SERIES}) AS INTEGER) AS since FROM dense))""",
+        ),
         "rolling_sparse": _sql(
             f"SELECT drug_id, hospital_id, date, round(sales_quantity + 1e-9, 5) + 0.0 AS sales_quantity, {_rolling([3], config.STATISTICS)} FROM gappy",
             "gappy",

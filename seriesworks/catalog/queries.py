@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date as Date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
@@ -305,6 +305,16 @@ def pooled_samples(spark, sf_dir):
 # ---------------------------------------------------------------- panel and preparation
 
 
+@query
+def daily_sales_from_timestamps(spark, sf_dir):
+    """Order lines at different times of a day are one day; unknown quantities add nothing."""
+    rows = jobs.series_rows(retail.sales(spark, sf_dir))
+    quantity = F.col(TARGET)
+    second = F.unix_seconds(F.col(DATE).cast("timestamp")) + (quantity * 1721).cast("long") % 86400
+    odd = F.when(quantity % 7 > 0, quantity).otherwise(F.lit(float("nan")))
+    return tidy(panel.daily_totals(rows.withColumn(DATE, F.timestamp_seconds(second)).withColumn(TARGET, odd)))
+
+
 @query
 def daily_sales(spark, sf_dir):
     return _daily(spark, sf_dir)
@@ -406,6 +416,16 @@ def rolling_features(spark, sf_dir):
     return tidy(features.add_rolling(_dense(spark, sf_dir)), 5)
 
 
+@query
+def rolling_after_spike(spark, sf_dir):
+    """A value of a billion must leave no trace once it has left the windows."""
+    dense = _dense(spark, sf_dir)
+    first = F.min(DATE).over(Window.partitionBy(*KEYS))
+    spiked = dense.withColumn("_first", first).withColumn(TARGET, F.when(F.col(DATE) == F.col("_first"), 1e9).otherwise(F.col(TARGET)))
+    rows = features.add_rolling(spiked).where(F.datediff(DATE, "_first") > 90).drop("_first")
+    return tidy(rows, 5)
+
+
 @query
 def rolling_sparse(spark, sf_dir):
     """Rolling windows over a series with NULLs: complete windows only."""
@@ -666,7 +686,6 @@ def aligned_bins(spark, sf_dir):
 def sales_ks_drift(spark, sf_dir):
     """Feature drift of the panel: first against second half of the years."""
     rows = features.add_rolling(features.add_lags(_dense(spark, sf_dir), lags=[7]), windows=[7, 30], statistics=["mean", "max"])
-    rows = tidy(rows)  # equal means must count as equal values
     cut = F.lit(SALES_MIDDLE).cast("date")
     tested = drift.ks_test(rows.where(F.col(DATE) < cut), rows.where(F.col(DATE) >= cut))
     return tidy(tested.select("feature", "statistic", "n_baseline", "n_current"))

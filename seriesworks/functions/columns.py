@@ -78,3 +78,14 @@ def add_forecast_errors(df: DataFrame, actual: str = "actual", predicted: str =
             "percentage_error": F.try_divide(F.abs(error), F.col(actual)) * 100,
         }
     )
+
+
+def known(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL; its type stays."""
+    kind = dict(df.dtypes)[name]
+    return F.nanvl(F.col(name), F.lit(None).cast(kind)) if kind in ("double", "float") else F.col(name)
+
+
+def nan_to_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` with NaN as NULL in the named columns."""
+    return df.withColumns({n: known(df, n) for n in names if dict(df.dtypes)[n] in ("double", "float")})

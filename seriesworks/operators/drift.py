@@ -24,13 +24,17 @@ _FEATURE = ["feature"]
 
 
 def baseline_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Mean, std, min, max, median and quartiles per feature; unknown columns are skipped."""
+    """Mean, std, min, max, median and quartiles per feature; unknown columns are skipped.
+
+    A column without a known value has a row of NULLs.
+    """
     columns = [c for c in columns or numeric_columns(df) if c in df.columns]
     counted = value_counts(long_values(df, columns), _FEATURE)
     quartiles = quantile_columns(exact_quantiles(counted, _FEATURE, list(_QUARTILES)), _FEATURE, _QUARTILES)
+    wanted = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
     return (
-        moments(counted, _FEATURE)
-        .join(quartiles, "feature")
+        wanted.join(moments(counted, _FEATURE), "feature", "left")
+        .join(quartiles, "feature", "left")
         .select("feature", "mean", "std", "min", "max", "median", "q25", "q75")
     )
 
@@ -232,7 +236,10 @@ def performance_drift(
     tolerance: float = config.PERFORMANCE_TOLERANCE,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Compare (metric, value) tables; metrics missing on a side are skipped."""
+    """Compare (metric, value) tables; metrics missing on a side are skipped.
+
+    A change that is no number, as between two infinite values, is no drift.
+    """
     on = [*keys, "metric"]
     joined = baseline.select(*on, F.col("value").alias("baseline")).join(
         current.select(*on, F.col("value").alias("current")), on
@@ -243,7 +250,7 @@ def performance_drift(
     )
     return joined.select(
         *on,
-        (relative > tolerance).alias("is_drift"),
+        ((relative > tolerance) & ~F.isnan(relative)).alias("is_drift"),
         "baseline",
         "current",
         relative.alias("relative_change"),

@@ -12,77 +12,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.functions.columns import feature_columns, feature_family
+from seriesworks.functions.columns import feature_columns, feature_family, nan_to_null
 from seriesworks.functions.dates import calendar_columns
-from seriesworks.operators.panel import series_window, whole_series
+from seriesworks.operators.panel import series_window
+
 
 def lag_columns(target: str, w, lags: Sequence[int] = tuple(config.LAGS)) -> dict[str, Column]:
     return {f"{target}_lag_{n}": F.lag(target, n).over(w) for n in lags}
 
 
-def _sliding_columns(w, windows: Sequence[int], statistics: Sequence[str], source: str) -> dict[str, Column]:
-    """Minimum, maximum and median as frames; the first two also tell flat windows."""
+def _rolling_columns(
+    target: str, w, windows: Sequence[int], statistics: Sequence[str], source: str, only_full: bool = False
+) -> dict[str, Column]:
+    """Statistics of the last n rows, from the rows themselves; NULL for incomplete windows.
+
+    Sums that run from the start of the series would cost the same for any n, but lose
+    all digits after a spike.  ``only_full`` says that incomplete windows are filtered
+    out by their count (``_n_*``) later on.
+    """
     unknown = [s for s in statistics if s not in config.STATISTICS]
     if unknown:
         raise ValueError(f"unknown statistics: {unknown}")
     new = {}
     for n in windows:
         frame = w.rowsBetween(1 - n, 0)
-        if "min" in statistics or "std" in statistics:
-            new[f"_min_{n}"] = F.min(source).over(frame)
-        if "max" in statistics or "std" in statistics:
-            new[f"_max_{n}"] = F.max(source).over(frame)
-        if "median" in statistics:
-            new[f"_median_{n}"] = F.percentile(source, F.lit(0.5)).over(frame)
-    return new
-
-
-def _running_columns(w, source: str) -> dict[str, Column]:
-    """Running count, sum and sum of squares of the centred values."""
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    centred = F.col(source) - F.col("_centre")
-    return {
-        "_n": F.count(source).over(running),
-        "_s": F.sum(centred).over(running),
-        "_q": F.sum(centred * centred).over(running),
-    }
-
-
-def _window_sums(df: DataFrame, w, windows: Sequence[int]) -> DataFrame:
-    """Count, sum and sum of squares inside each window: running sums minus their lag."""
-    zero = F.lit(0)
-    inside = {
-        f"{c}_{n}": F.coalesce(F.col(c), zero) - F.coalesce(F.lag(c, n).over(w), zero)
-        for n in windows
-        for c in ("_n", "_s", "_q")
-    }
-    return _add(df, inside)
-
-
-def _rolling_results(
-    target: str, windows: Sequence[int], statistics: Sequence[str], only_full: bool = False
-) -> dict[str, Column]:
-    """Finish the rolling columns; NULL for incomplete windows.
-
-    Mean and standard deviation come from two running sums, which costs the same for
-    any window length; centring on the series' mean keeps the squares small, and a flat
-    window is exactly 0.  ``only_full`` says incomplete windows are filtered out already.
-    """
-    new = {}
-    for n in windows:
-        mean = F.col(f"_s_{n}") / n
-        spread = F.try_divide(F.col(f"_q_{n}") - F.col(f"_s_{n}") * mean, F.lit(n - 1))
-        moving = F.col(f"_min_{n}") < F.col(f"_max_{n}")
         value = {
-            "mean": F.col("_centre") + mean,
-            "std": F.when(moving, F.sqrt(F.greatest(spread, F.lit(0.0)))).otherwise(spread * 0.0),
-            "min": F.col(f"_min_{n}"),
-            "max": F.col(f"_max_{n}"),
-            "median": F.col(f"_median_{n}"),
+            "mean": F.avg(source),
+            "std": F.stddev_samp(source),
+            "min": F.min(source),
+            "max": F.max(source),
+            "median": F.percentile(source, F.lit(0.5)),
         }
+        full = F.count(source).over(frame)
+        if only_full:
+            new[f"_n_{n}"] = full
         for s in statistics:
-            full = value[s] if only_full else F.when(F.col(f"_n_{n}") == n, value[s])
-            new[f"{target}_rolling_{n}_{s}"] = full
+            result = value[s].over(frame)
+            new[f"{target}_rolling_{n}_{s}"] = result if only_full else F.when(full == n, result)
     return new
 
 
@@ -107,7 +73,7 @@ def _add(df: DataFrame, new: dict[str, Column]) -> DataFrame:
 
 
 def add_lags(df, keys=config.KEYS, date=config.DATE, target=config.TARGET, lags=tuple(config.LAGS)):
-    return _add(df, lag_columns(target, series_window(keys, date), lags))
+    return _add(nan_to_null(df, [target]), lag_columns(target, series_window(keys, date), lags))
 
 
 def add_rolling(
@@ -120,18 +86,15 @@ def add_rolling(
 ):
     """Statistics over the last n rows, current one included; NULL unless all n are known."""
     w = series_window(keys, date)
-    rows = df.withColumn("_centre", F.avg(target).over(whole_series(keys, date)))
-    rows = _add(rows, _sliding_columns(w, windows, statistics, target) | _running_columns(w, target))
-    rolling = _rolling_results(target, windows, statistics)
-    return _window_sums(rows, w, windows).select(*df.columns, *[c.alias(n) for n, c in rolling.items()])
+    return _add(nan_to_null(df, [target]), _rolling_columns(target, w, windows, statistics, target))
 
 
 def add_diffs(df, keys=config.KEYS, date=config.DATE, target=config.TARGET, periods=tuple(config.DIFF_PERIODS)):
-    return _add(df, diff_columns(target, series_window(keys, date), periods))
+    return _add(nan_to_null(df, [target]), diff_columns(target, series_window(keys, date), periods))
 
 
 def add_expanding(df, keys=config.KEYS, date=config.DATE, target=config.TARGET):
-    return _add(df, expanding_columns(target, series_window(keys, date)))
+    return _add(nan_to_null(df, [target]), expanding_columns(target, series_window(keys, date)))
 
 
 def build_features(
@@ -153,29 +116,27 @@ def build_features(
     ``exclude_current`` makes them end on the row before, for honest forecasts.
     """
     w = series_window(keys, date)
-    source = target
-    base = {"_centre": F.avg(target).over(whole_series(keys, date))}
+    df = nan_to_null(df, [target])
+    source, matrix = target, df
     if exclude_current:
         source = "_previous"
-        base[source] = F.lag(target).over(w)
+        matrix = _add(df, {source: F.lag(target).over(w)})
     lagged = lag_columns(target, w, lags)
     differences = {f"{target}_diff_{p}": F.col(source) - F.lag(source, p).over(w) for p in periods}
     expanding = expanding_columns(target, w, source)
-    sliding = _sliding_columns(w, windows, statistics, source) | _running_columns(w, source)
-    matrix = _add(_add(df, base), lagged | differences | expanding | sliding)
-    matrix = _window_sums(matrix, w, windows)
+    rolling = _rolling_columns(target, w, windows, statistics, source, only_full=drop_incomplete)
+    matrix = _add(matrix, lagged | differences | expanding | rolling)
     if drop_incomplete:
         # a full window is known by its count, so 20 rolling columns need 4 tests
         for n in windows:
             matrix = matrix.where(F.col(f"_n_{n}") == n)
         matrix = matrix.na.drop(subset=[*df.columns, *lagged, *differences, *expanding])
-    rolling = _rolling_results(target, windows, statistics, only_full=drop_incomplete)
     # calendar columns come last, so that they are not carried through the windows
     return matrix.select(
         *df.columns,
         *[c.alias(n) for n, c in calendar_columns(date, date_features).items()],
         *lagged,
-        *[c.alias(n) for n, c in rolling.items()],
+        *[n for n in rolling if not n.startswith("_n_")],
         *differences,
         *expanding,
     )

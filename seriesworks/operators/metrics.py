@@ -12,6 +12,7 @@ from seriesworks.operators.ranks import (
     attach_group_values,
     exact_quantiles,
     group_values,
+    null_safe_join,
     quantile_columns,
     value_counts,
 )
@@ -53,11 +54,15 @@ def forecast_metrics(
     predicted: str = "predicted",
     details: bool = False,
 ) -> DataFrame:
-    """One row of metrics per group; partial aggregates do the work before the shuffle."""
+    """One row of metrics per group; partial aggregates do the work before the shuffle.
+
+    ``n`` counts the rows that the metrics see: those with both values known.
+    """
     exprs = metric_columns(actual, predicted)
     if details:
         exprs |= detail_columns(actual, predicted)
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[e.alias(n) for n, e in exprs.items()])
+    pairs = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
+    return df.groupBy(*by).agg(F.count_if(pairs).alias("n"), *[e.alias(n) for n, e in exprs.items()])
 
 
 def metrics_long(metrics: DataFrame, by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
@@ -119,7 +124,7 @@ def horizon_metrics(
         aggregates.append(F.avg(inside).alias("coverage"))
     counted = value_counts(group_values(rows, [horizon], "_ape"), [horizon])
     median = quantile_columns(exact_quantiles(counted, [horizon], [0.5]), [horizon], {0.5: "mdape"})
-    return rows.groupBy(horizon).agg(*aggregates).join(median, horizon, "left")
+    return null_safe_join(rows.groupBy(horizon).agg(*aggregates), median, [horizon], "left")
 
 
 def prediction_summary(
@@ -181,7 +186,7 @@ def residual_histogram(
     # at most ``bins`` rows per group from here on
     frame = filled.select(*by, "low", "high").distinct()
     frame = frame.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return frame.join(filled.drop("low", "high"), [*by, "bin"], "left").select(
+    return null_safe_join(frame, filled.drop("low", "high"), [*by, "bin"], "left").select(
         *by,
         "bin",
         (F.col("low") + F.col("bin") * width).alias("bin_start"),
@@ -221,8 +226,10 @@ def rmse_alert(results: DataFrame, threshold: float = config.RMSE_ALERT) -> Data
     return results.agg(average.alias("avg_rmse"), status.alias("status"))
 
 
-def running_best(trials: DataFrame, score: str = "score", trial: str = "trial", by: Sequence[str] = ()) -> DataFrame:
+def running_best(
+    trials: DataFrame, score: str = "score", trial: str = "trial", by: Sequence[str] = (), minimize: bool = True
+) -> DataFrame:
     """Best score so far; one row per trial, so the trial table is small."""
     w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     so_far = w.orderBy(trial).rowsBetween(Window.unboundedPreceding, 0)
-    return trials.withColumn("best_so_far", F.min(score).over(so_far))
+    return trials.withColumn("best_so_far", (F.min if minimize else F.max)(score).over(so_far))

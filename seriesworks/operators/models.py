@@ -9,7 +9,7 @@ import random
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,18 +17,26 @@ from pyspark.sql import functions as F
 from seriesworks import config
 from seriesworks.operators.metrics import METRICS, forecast_metrics
 
+#: Spark ML's limit, and the depth that stands for "unlimited" unless another is given.
 MAX_TREE_DEPTH = 30
-DEFAULT_TREE_DEPTH = 5
+UNLIMITED_DEPTH = 5
 
 
-def boosting_arguments(params: dict) -> tuple[dict, dict]:
-    """Arguments for GBTRegressor, and the parameters that have no counterpart there."""
+def boosting_arguments(params: dict, unlimited_depth: int = UNLIMITED_DEPTH) -> tuple[dict, dict]:
+    """Arguments for GBTRegressor, and the parameters that have no counterpart there.
+
+    Spark ML grows trees level by level and has no unlimited depth: a negative
+    ``max_depth`` becomes ``unlimited_depth``.  A depth above Spark's limit is an error.
+    """
     p = config.BOOSTING_PARAMS | params
-    depth = p["max_depth"]
+    depth = int(p["max_depth"])
+    depth = unlimited_depth if depth < 0 else depth
+    if depth > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {depth} is above {MAX_TREE_DEPTH}, the most that Spark ML can grow")
     arguments = {
         "maxIter": int(p["num_boost_round"]),
         "stepSize": float(p["learning_rate"]),
-        "maxDepth": DEFAULT_TREE_DEPTH if depth < 0 else min(int(depth), MAX_TREE_DEPTH),
+        "maxDepth": depth,
         "minInstancesPerNode": int(p["min_data_in_leaf"]),
         "featureSubsetStrategy": str(float(p["feature_fraction"])),
         "subsamplingRate": float(p["bagging_fraction"]),
@@ -49,31 +57,38 @@ def fit_boosting(
     params: dict | None = None,
     categorical: Sequence[str] = (),
     split: str = "split",
-    max_categories: int = 32,
+    unlimited_depth: int = UNLIMITED_DEPTH,
 ) -> PipelineModel:
-    """Gradient-boosted trees on the train rows, stopped early on the valid rows."""
-    arguments, _ = boosting_arguments(params or {})
+    """Gradient-boosted trees on the train rows, stopped early on the valid rows.
+
+    Only the columns named ``categorical`` are split by category, whatever the number
+    of their values; the values' names are part of the model.  Parameters without a
+    counterpart in Spark ML are kept as ``unused_params`` of the result.
+    """
+    arguments, unused = boosting_arguments(params or {}, unlimited_depth)
+    rows = df.where(F.col(split).isin("train", "valid")).withColumn("_is_valid", F.col(split) == "valid")
+    rows = rows.select(*features, *[c for c in categorical if c not in features], target, "_is_valid")
     indexed = [f"{c}_index" for c in categorical]
-    stages = []
-    if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"))
     numbers = [f for f in features if f not in categorical]
-    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="_assembled" if categorical else "_x"))
+    stages, bins = [], 32
     if categorical:
-        stages.append(
-            VectorIndexer(inputCol="_assembled", outputCol="_x", maxCategories=max_categories, handleInvalid="keep")
-        )
+        indexer = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep").fit(rows)
+        bins = max(bins, *[len(labels) + 1 for labels in indexer.labelsArray])  # a bin a category
+        stages.append(indexer)
+    stages.append(VectorAssembler(inputCols=[*numbers, *indexed], outputCol="_x"))
     stages.append(
         GBTRegressor(
             featuresCol="_x",
             labelCol=target,
             predictionCol="predicted",
             validationIndicatorCol="_is_valid",
+            maxBins=bins,
             **arguments,
         )
     )
-    rows = df.where(F.col(split).isin("train", "valid")).withColumn("_is_valid", F.col(split) == "valid")
-    return Pipeline(stages=stages).fit(rows.select(*features, *[c for c in categorical if c not in features], target, "_is_valid"))
+    model = Pipeline(stages=stages).fit(rows)
+    model.unused_params = unused
+    return model
 
 
 def predict(model: PipelineModel, df: DataFrame, target: str = config.TARGET) -> DataFrame:
@@ -178,11 +193,16 @@ def refit_best(df: DataFrame, features: Sequence[str], trials: DataFrame, target
 
 
 def weighted_ensemble(
-    predictions: DataFrame, by: Sequence[str], weights: dict[str, float] = config.ENSEMBLE_WEIGHTS
+    predictions: DataFrame, by: Sequence[str], weights: dict[str, float] | None = None
 ) -> DataFrame:
-    """Weighted average of (model, predicted) rows; weights are renormalised over the present models."""
-    table = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-    weight = F.when(F.col("predicted").isNotNull(), F.try_element_at(table, F.col("model")))
+    """Weighted average of (model, predicted) rows; weights are renormalised over the present models.
+
+    Without ``weights`` all models count alike (``config.ENSEMBLE_WEIGHTS`` has a set by name).
+    """
+    weight = F.lit(1.0)
+    if weights is not None:
+        weight = F.try_element_at(F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]), F.col("model"))
+    weight = F.when(F.col("predicted").isNotNull(), weight)
     return predictions.groupBy(*by).agg(
         F.try_divide(F.sum(weight * F.col("predicted")), F.sum(weight)).alias("predicted"),
         F.count(weight).alias("models"),

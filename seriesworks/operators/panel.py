@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
+from seriesworks.functions.columns import known, nan_to_null
 from seriesworks.functions.dates import next_periods, period_end, periods_between
 
 
@@ -24,16 +25,24 @@ def daily_totals(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    """Sum per series and day.
+    """Sum per series and day; NULL and NaN add nothing, so a day without a known value has 0.
 
-    Partial sums are formed before the shuffle on (keys, date), which spreads a
+    Dates are cut to days, so times of day do not split a day.  Partial sums are formed before the shuffle on (keys, date), which spreads a
     hot series over its days.  ``start``/``end`` drop stray dates first.
     """
+    rows = between(df, date, start, end).groupBy(*keys, F.col(date).cast("date").alias(date))
+    total = F.sum(known(df, target))
+    return rows.agg(F.coalesce(total, F.lit(0)).alias(target))
+
+
+def between(df: DataFrame, date: str, start: str | None, end: str | None) -> DataFrame:
+    """Rows from day ``start`` to day ``end``, both included; None sets no limit."""
+    day = F.col(date).cast("date")
     if start is not None:
-        df = df.where(F.col(date) >= F.lit(start).cast("date"))
+        df = df.where(day >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.where(F.col(date) <= F.lit(end).cast("date"))
-    return df.groupBy(*keys, date).agg(F.sum(target).alias(target))
+        df = df.where(day <= F.lit(end).cast("date"))
+    return df
 
 
 def by_series(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,22 +81,24 @@ def densify(
 ) -> DataFrame:
     """One row per day from the first to the last day of each series.
 
-    Needs unique (keys, date).  Each row is stretched up to the day before the
+    Each row is stretched up to the day before the
     next one, so there is a single shuffle on the keys and no join with a
     calendar.  ``fill="last"`` repeats the last known target on the added days
     (a leading NULL takes the first known one, an empty series 0);
     ``fill="zero"`` writes 0, ``fill=None`` leaves NULL.  Other columns are NULL
-    on added days.
+    on added days.  NaN counts as NULL.  Rows that share a day stay as they are, and no
+    day is added for them.
     """
+    df = nan_to_null(df, [target]).withColumn(date, F.col(date).cast("date"))
     w = series_window(keys, date)
     y = F.col(target)
     others = [c for c in df.columns if c not in (*keys, date, target)]
-    following = F.date_sub(F.lead(date).over(w), 1)
+    following = F.greatest(F.date_sub(F.lead(date).over(w), 1), F.col(date))
     value = y
     if fill == "last":
-        known = F.last(y, ignorenulls=True).over(so_far(keys, date))
+        last_known = F.last(y, ignorenulls=True).over(so_far(keys, date))
         first_known = F.first(y, ignorenulls=True).over(whole_series(keys, date))
-        value = F.coalesce(known, first_known, F.lit(0).cast(df.schema[target].dataType))
+        value = F.coalesce(last_known, first_known, F.lit(0).cast(df.schema[target].dataType))
     elif fill not in ("zero", None):
         raise ValueError(f"unknown fill: {fill}")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.functions.columns import numeric_columns
+from seriesworks.functions.columns import nan_to_null, numeric_columns
 from seriesworks.operators.panel import series_window, whole_series
 
 
@@ -39,13 +39,14 @@ def fill_missing(
     keys: Sequence[str] = config.KEYS,
     date: str = config.DATE,
 ) -> DataFrame:
-    """Fill NULLs within each series.
+    """Fill NULLs within each series; NaN counts as NULL.
 
     Methods: forward_fill, backward_fill, interpolate, mean, median, drop.
     Numeric values that stay NULL become 0; other types stay NULL.
     """
     numbers = set(numeric_columns(df))
     columns = list(columns or [c for c in df.columns if c not in (*keys, date)])
+    df = nan_to_null(df, columns)
     if method == "drop":
         return df.na.drop(subset=columns)
     up, down = series_window(keys, date), _descending(keys, date)
@@ -123,7 +124,7 @@ def treat_outliers(
     date: str = config.DATE,
 ) -> DataFrame:
     """iqr and clip pull values back to the bounds; zscore replaces them by the mean."""
-    bounded = _with_bounds(df, column, [method], threshold, keys, date)
+    bounded = _with_bounds(nan_to_null(df, [column]), column, [method], threshold, keys, date)
     x, low, high = F.col(column), F.col(f"_low_{method}"), F.col(f"_high_{method}")
     if method == "zscore":
         treated = F.when((x < low) | (x > high), F.col("_mean")).otherwise(x)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesworks import config
 from seriesworks.functions.columns import valid_key
-from seriesworks.operators.ranks import exact_quantiles, group_values, moments, quantile_columns, value_counts
+from seriesworks.operators.ranks import exact_quantiles, group_values, moments, null_safe_join, quantile_columns, value_counts
 
 
 def keep_valid_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -239,4 +239,4 @@ def describe_column(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataF
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
     counted = value_counts(group_values(rows, groups, "_x"), groups)
     quartiles = quantile_columns(exact_quantiles(counted, groups, list(names)), groups, names)
-    return moments(counted, groups).join(quartiles, groups).drop("_all")
+    return null_safe_join(moments(counted, groups), quartiles, groups).drop("_all")

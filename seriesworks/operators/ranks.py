@@ -20,11 +20,25 @@ from pyspark.sql import functions as F
 from seriesworks.session import cut_lineage
 
 RANGE = "_range"
+#: Rows that a range holds, about.
+ROWS_PER_RANGE = 100_000
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same names, NULL being a group like others; they come from the left."""
+    names = {c: f"_right_{c}" for c in on}
+    same = F.lit(True)
+    for c, renamed in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(renamed))
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())
 
 
 def cut_points(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Approximate quantiles of a column; at most one number per range reaches the driver."""
-    n = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Approximate quantiles of a column; at most one number per range reaches the driver.
+
+    The number of ranges follows the rows, so a range stays a task's work at any size.
+    """
+    n = ranges or max(2, -(-df.count() // ROWS_PER_RANGE))
     found = df.approxQuantile(column, [i / n for i in range(1, n)], 1.0 / (2 * n))
     return sorted(set(found)) or [0.0]
 
@@ -87,7 +101,7 @@ def cumulative_counts(counted: DataFrame, groups: Sequence[str], names: Sequence
     """Add ``cum_*`` (rows up to and including the value) and ``total_*`` per group."""
     offsets = _range_offsets(counted, groups, names)
     w = Window.partitionBy(*groups, RANGE).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    joined = counted.join(offsets, [*groups, RANGE])
+    joined = null_safe_join(counted, offsets, [*groups, RANGE])
     return joined.select(
         *groups,
         "value",
@@ -125,7 +139,7 @@ def exact_quantiles(counted: DataFrame, groups: Sequence[str], probs: Sequence[f
         F.size("_targets") > 0
     )
     w = Window.partitionBy(*groups, RANGE).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counted.join(targets, [*groups, RANGE]).select(
+    upto = null_safe_join(counted, targets, [*groups, RANGE]).select(
         *groups, "value", "n", "_targets", (F.col("_before_n") + F.sum("n").over(w)).alias("_upto")
     )
     here = F.filter(
@@ -157,7 +171,7 @@ def attach_group_values(
     partial = counted.groupBy(*groups, RANGE).agg(*[e.alias(n) for n, e in per_range.items()])
     whole = Window.partitionBy(*groups)
     values = partial.select(*groups, RANGE, *[e.over(whole).alias(n) for n, e in per_group.items()])
-    return counted.join(values, [*groups, RANGE])
+    return null_safe_join(counted, values, [*groups, RANGE])
 
 
 def moments(counted: DataFrame, groups: Sequence[str]) -> DataFrame:

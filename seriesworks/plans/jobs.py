@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.functions.columns import add_forecast_errors, feature_columns, rename_series_columns
+from seriesworks.functions.columns import add_forecast_errors, feature_columns, known, rename_series_columns
 from seriesworks.operators import features as feature_ops
 from seriesworks.operators import forecast as forecast_ops
 from seriesworks.operators import metrics, models, panel, prep, splits, training
@@ -45,19 +45,25 @@ def model_features(features: DataFrame) -> list[str]:
 
 
 def train_pooled(
-    sales: DataFrame, params: dict | None = None, test_size: float = config.TEST_SIZE
+    sales: DataFrame,
+    params: dict | None = None,
+    test_size: float = config.TEST_SIZE,
+    start: str | None = None,
+    end: str | None = None,
 ) -> tuple[models.PipelineModel, DataFrame, DataFrame]:
     """One boosted-tree model over all series: model, test metrics, importance."""
     # boosting reads its input once per tree, so the features are written once
-    matrix = cut_lineage(splits.three_way_split(feature_matrix(sales, exclude_current=True), test_size))
+    matrix = cut_lineage(splits.three_way_split(feature_matrix(sales, exclude_current=True, start=start, end=end), test_size))
     model = models.fit_boosting(matrix, model_features(matrix), TARGET, params)
     scored = models.predict(model, matrix.where(F.col("split") == "test"))
     return model, metrics.forecast_metrics(scored), models.feature_importance(model, sales.sparkSession)
 
 
-def predict_pooled(sales: DataFrame, model: models.PipelineModel) -> tuple[DataFrame, DataFrame]:
+def predict_pooled(
+    sales: DataFrame, model: models.PipelineModel, start: str | None = None, end: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Predictions with errors for every feature row, and their summary."""
-    matrix = feature_matrix(sales, outliers=False, exclude_current=True)
+    matrix = feature_matrix(sales, outliers=False, exclude_current=True, start=start, end=end)
     scored = models.predict(model, matrix).select(*KEYS, DATE, "actual", "predicted")
     errors = add_forecast_errors(scored)
     return errors, metrics.error_summary(errors)
@@ -69,14 +75,18 @@ def batch_train(
     test_size: float = config.TEST_SIZE,
     fit: training.Fit = training.fit_ridge,
     model_path: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One model per series with enough rows: result rows and the models.
 
-    The sales table is read once: the daily panel, with its row counts, is written and
+    Rows with a NULL key belong to no series and are left out.  The sales table is read once: the daily panel, with its row counts, is written and
     feeds both the status rows and the features.  The models are written once too.
     """
+    rows = panel.between(series_rows(sales).na.drop(subset=list(KEYS)), DATE, start, end)
+    day, total = F.col(DATE).cast("date").alias(DATE), F.sum(known(rows, TARGET))
     daily = cut_lineage(
-        series_rows(sales).groupBy(*KEYS, DATE).agg(F.sum(TARGET).alias(TARGET), F.count(F.lit(1)).alias("_rows"))
+        rows.groupBy(*KEYS, day).agg(F.coalesce(total, F.lit(0)).alias(TARGET), F.count(F.lit(1)).alias("_rows"))
     )
     status = point_status(daily.groupBy(*KEYS).agg(F.sum("_rows").alias("data_points")), min_points)
     ready = status.where(F.col("status") == "ready").select(*KEYS)
@@ -90,10 +100,12 @@ def batch_train(
     return training.batch_results(status, trained, model_path=model_path), trained
 
 
-def batch_predict(sales: DataFrame, trained: DataFrame, requests: DataFrame) -> DataFrame:
+def batch_predict(
+    sales: DataFrame, trained: DataFrame, requests: DataFrame, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """Predictions of the per-series models for the requested pairs."""
     wanted = series_rows(sales).join(requests.select(*KEYS).distinct(), list(KEYS), "left_semi")
-    dense = clean_panel(wanted, outliers=False)
+    dense = clean_panel(wanted, outliers=False, start=start, end=end)
     matrix = feature_ops.build_features(dense, exclude_current=True)
     scored = training.predict_series(matrix, trained, model_features(matrix))
     return training.batch_predictions(requests, scored)

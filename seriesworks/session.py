@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_REMOVED_AT_EXIT: set[str] = set()
+
 
 def local_session(cpus: int | str = 8, app: str = "seriesworks", **conf: str) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
@@ -29,7 +33,9 @@ def local_session(cpus: int | str = 8, app: str = "seriesworks", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, which every executor can read.
+    """The folder named by ``spark.checkpoint.dir``, which every executor must be able to read.
+
+    A path without a scheme belongs to the cluster's default file system.
 
     Only a local session without that setting gets a temporary one.
     """
@@ -42,13 +48,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder; the driver removes it when it ends."""
+    context = spark.sparkContext
+    path = f"{shared_folder(spark).rstrip('/')}/seriesworks-{context.applicationId}"
+    if path not in _REMOVED_AT_EXIT:
+        _REMOVED_AT_EXIT.add(path)
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        atexit.register(_remove, target, context._jsc.hadoopConfiguration())
+    return path
+
+
+def _remove(target, settings) -> None:
+    """Delete a folder, if the JVM is still there to do it."""
+    with contextlib.suppress(Exception):
+        target.getFileSystem(settings).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later stages then start from that table: an expensive input is not computed again,
     a lost executor costs no more than its own task, and the reader prunes columns and
-    knows the size.
+    knows the size.  The table goes when the application ends.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/seriesworks-{uuid.uuid4().hex}"
+    path = f"{application_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
