@@ -154,6 +154,12 @@ def _rolling(windows, statistics, source="sales_quantity", digits=5, ending=0) -
     return ", ".join(out)
 
 
+_CUTOFFS = """cutoffs AS (SELECT drug_id, hospital_id, CAST(unnest(generate_series(CAST(max(date) - INTERVAL 30 DAY AS TIMESTAMP),
+    CAST(min(date) + INTERVAL 365 DAY AS TIMESTAMP), INTERVAL (-90) DAY)) AS DATE) AS cutoff FROM daily GROUP BY 1, 2)"""
+#: Mean over the last ``size`` rows: the sums so far less those before the window.
+_WINDOWED = "({m}_total - (f_{m}_total - f_{m} + (total - size - f_total + f_n) * f_{m} / f_n)) / size"
+
+
 def _lag_list(lags, prefix="sales_quantity_lag_") -> str:
     return ", ".join(f"lag(sales_quantity, {n}) OVER {_W} AS {prefix}{n}" for n in lags)
 
@@ -716,7 +722,46 @@ def oracles() -> dict[str, str]:
             extra="""cutoffs AS (SELECT drug_id, hospital_id, CAST(unnest(generate_series(CAST(max(date) - INTERVAL 30 DAY AS TIMESTAMP),
                 CAST(min(date) + INTERVAL 365 DAY AS TIMESTAMP), INTERVAL (-90) DAY)) AS DATE) AS cutoff FROM daily GROUP BY 1, 2)""",
         ),
+        "additive_cross_validation": _sql(
+            "SELECT d.drug_id, d.hospital_id, cutoff, count(*) AS days, count(*) AS predicted_days, "
+            "CAST(min(date_diff('day', cutoff, d.date)) AS INTEGER) AS first_day, CAST(max(date_diff('day', cutoff, d.date)) AS INTEGER) AS last_day, "
+            "round(CAST(sum(sales_quantity) AS DOUBLE), 3) AS actual_total "
+            "FROM dense d JOIN cutoffs c ON d.drug_id = c.drug_id AND d.hospital_id = c.hospital_id "
+            "AND d.date > cutoff AND d.date <= CAST(cutoff + INTERVAL 30 DAY AS DATE) GROUP BY 1, 2, 3",
+            "dense",
+            extra=_CUTOFFS,
+        ),
+        "recursive_forecast": _sql(
+            f"SELECT drug_id, hospital_id, CAST(date + CAST(7 * weeks AS INTEGER) AS DATE) AS date, CAST(7 * weeks - back AS INTEGER) AS step, "
+            f"{_r('sales_quantity', 'predicted')} FROM (SELECT *, CAST(max(date) OVER ({_BY_SERIES}) - date AS INTEGER) AS back FROM dense) "
+            "CROSS JOIN (SELECT unnest(range(1, 6)) AS weeks) WHERE back < 7 AND 7 * weeks - back <= 30",
+            "dense",
+        ),
+        "csv_round_trip": _sql("SELECT * FROM daily", "daily"),
+        "parquet_round_trip": _sql("SELECT * FROM daily", "daily"),
         # metrics
+        "horizon_metrics_windowed": _sql(
+            "SELECT horizon, size AS n, "
+            + ", ".join(
+                _r(value, name)
+                for name, value in (
+                    ("mse", _WINDOWED.format(m="mse")), ("rmse", f"sqrt({_WINDOWED.format(m='mse')})"),
+                    ("mae", _WINDOWED.format(m="mae")), ("smape", _WINDOWED.format(m="smape")),
+                )
+            )
+            + " FROM (SELECT t.*, f.n AS f_n, f.total AS f_total, f.mse AS f_mse, f.mae AS f_mae, f.smape AS f_smape, f.mse_total AS f_mse_total, "
+            "f.mae_total AS f_mae_total, f.smape_total AS f_smape_total FROM upto t JOIN upto f ON f.total > t.total - t.size "
+            "AND f.total - f.n <= t.total - t.size)",
+            "dense",
+            extra=f"""lag30 AS (SELECT *, lag(sales_quantity, 30) OVER {_W} AS predicted FROM dense), {_CUTOFFS},
+                rows_ AS (SELECT CAST(date_diff('day', cutoff, d.date) AS INTEGER) AS horizon, sales_quantity AS y, predicted AS p
+                    FROM lag30 d JOIN cutoffs c ON d.drug_id = c.drug_id AND d.hospital_id = c.hospital_id
+                    AND d.date > cutoff AND d.date <= CAST(cutoff + INTERVAL 30 DAY AS DATE) WHERE predicted IS NOT NULL),
+                each_ AS (SELECT horizon, count(*) AS n, sum((y - p) * (y - p)) AS mse, sum(abs(y - p)) AS mae,
+                    sum(coalesce(2 * abs(y - p) / nullif(abs(y) + abs(p), 0), 0)) AS smape FROM rows_ GROUP BY horizon),
+                upto AS (SELECT *, sum(n) OVER o AS total, sum(mse) OVER o AS mse_total, sum(mae) OVER o AS mae_total, sum(smape) OVER o AS smape_total,
+                    CAST(greatest(floor(sum(n) OVER () * 0.1), 1) AS BIGINT) AS size FROM each_ WINDOW o AS (ORDER BY horizon))""",
+        ),
         "forecast_errors": _sql(
             f"SELECT drug_id, hospital_id, date, {_rounded(['actual', 'predicted'])}, {_r('actual - predicted', 'error')}, "
             f"{_r('abs(actual - predicted)', 'abs_error')}, {_r('abs(actual - predicted) / nullif(actual, 0) * 100', 'percentage_error')} FROM preds",

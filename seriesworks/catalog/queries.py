@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date as Date
 
@@ -25,8 +26,8 @@ from seriesworks.operators import (
     training,
 )
 from seriesworks.plans import jobs
-from seriesworks.session import cut_lineage
-from seriesworks.sources import retail, tables
+from seriesworks.session import application_folder, cut_lineage
+from seriesworks.sources import retail, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -539,6 +540,43 @@ def rolling_origin(spark, sf_dir):
     return splits.rolling_origin_rows(_dense(spark, sf_dir))
 
 
+@query
+def additive_cross_validation(spark, sf_dir):
+    """Fits and forecasts of every series and cutoff, counted."""
+    rows = forecast.cross_validate_additive(_dense(spark, sf_dir))
+    return rows.groupBy(*KEYS, "cutoff").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count("predicted").alias("predicted_days"),
+        F.min("horizon").alias("first_day"),
+        F.max("horizon").alias("last_day"),
+        F.round(F.sum("actual"), 3).alias("actual_total"),
+    )
+
+
+@query
+def recursive_forecast(spark, sf_dir):
+    """Thirty days from lag features: the value seven days before, forecasts included."""
+    return tidy(forecast.forecast_recursive(_dense(spark, sf_dir), forecast.seasonal_naive(7)))
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Daily sales written as CSV and read with date coercion."""
+    path = f"{application_folder(spark)}/csv-{uuid.uuid4().hex}"
+    sinks.write_csv(_daily(spark, sf_dir), path)
+    back = tables.read_csv(spark, path, date_columns=[DATE])
+    return back.select(*KEYS, F.col(DATE).cast("date").alias(DATE), F.col(TARGET).cast("double").alias(TARGET))
+
+
+@query
+def parquet_round_trip(spark, sf_dir):
+    """Daily sales written as Parquet, in a folder for each customer segment."""
+    path = f"{application_folder(spark)}/parquet-{uuid.uuid4().hex}"
+    sinks.write_parquet(_daily(spark, sf_dir), path, partition_by=["hospital_id"])
+    back = spark.read.parquet(path)
+    return back.select(*KEYS, DATE, TARGET)
+
+
 # ---------------------------------------------------------------- metrics
 
 
@@ -575,6 +613,14 @@ def cv_summary(spark, sf_dir):
     return tidy(metrics.cv_summary(per_fold, KEYS))
 
 
+@query
+def horizon_metrics_windowed(spark, sf_dir):
+    """Windows of a tenth of the rows, over the horizons of a lag-30 forecast."""
+    rows = splits.rolling_origin_rows(features.add_lags(_dense(spark, sf_dir), lags=[30]))
+    rows = rows.withColumnsRenamed({TARGET: "actual", f"{TARGET}_lag_30": "predicted"})
+    return tidy(metrics.rolling_horizon_metrics(rows, rolling_window=0.1))
+
+
 @query
 def horizon_metrics(spark, sf_dir):
     rows = features.add_lags(_dense(spark, sf_dir), lags=[30])
@@ -780,7 +826,7 @@ def historical_features(spark, sf_dir):
         "drug_info_features:dosage_form",
     ]
     views = {"sales_features": _sales_view(daily), "drug_info_features": _product_history(spark, sf_dir)}
-    found = store.historical_features(entities, views, refs)
+    found = store.historical_features(entities, views, refs, daily=["sales_features"])
     return tidy(found.withColumn("event_timestamp", F.col("event_timestamp").cast("date")), 5)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seriesworks import config
 from seriesworks.functions.dates import next_periods, period_end
+from seriesworks.operators.splits import rolling_cutoffs, rolling_origin_rows
 
 CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
@@ -161,3 +162,63 @@ def forecast(
     models = fit_additive(history, keys, date, target)
     frame = future_frame(history, periods, freq, include_history, keys, date)
     return predict_additive(frame, models, keys, date)
+
+
+def cross_validate_additive(
+    history: DataFrame,
+    keys: Sequence[str] = config.KEYS,
+    date: str = config.DATE,
+    target: str = config.TARGET,
+    seasonalities: Seasonalities = tuple(config.SEASONALITIES),
+    initial: int = config.CV_INITIAL_DAYS,
+    period: int = config.CV_PERIOD_DAYS,
+    horizon: int = config.CV_HORIZON_DAYS,
+) -> DataFrame:
+    """Rolling-origin forecasts: each series is fitted anew up to each of its cutoffs.
+
+    One row per (series, cutoff, day of the horizon) with ``actual`` and ``predicted``.
+    The fits are groups of (series, cutoff), so they run side by side.
+    """
+    keys = list(keys)
+    cutoffs = rolling_cutoffs(history, keys, date, initial, period, horizon).select(*keys, "cutoff")
+    training = history.join(cutoffs, keys).where(F.col(date) <= F.col("cutoff"))
+    models = fit_additive(training, [*keys, "cutoff"], date, target, seasonalities)
+    rows = rolling_origin_rows(history, keys, date, initial, period, horizon)
+    scored = predict_additive(rows, models, [*keys, "cutoff"], date, seasonalities)
+    return scored.select(*keys, "cutoff", date, "horizon", F.col(target).cast("double").alias("actual"), "predicted")
+
+
+def seasonal_naive(period: int = 7) -> Callable[[np.ndarray], float]:
+    """A model that repeats the value of ``period`` days before."""
+    return lambda past: past[-period] if len(past) >= period else float("nan")
+
+
+def forecast_recursive(
+    history: DataFrame,
+    model: Callable[[np.ndarray], float],
+    periods: int = config.FORECAST_HORIZON,
+    keys: Sequence[str] = config.KEYS,
+    date: str = config.DATE,
+    target: str = config.TARGET,
+) -> DataFrame:
+    """The next ``periods`` days of each daily series, each from the ones before it.
+
+    ``model`` gets the values so far, forecasts included, and returns the next one: that
+    is how models on lags see further than one day.  NaN becomes NULL.
+    """
+    keys = list(keys)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in history.select(*keys).schema.fields]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_t")
+        values = np.empty(len(pdf) + periods)
+        values[: len(pdf)] = pdf["_y"].to_numpy(dtype=float)
+        for i in range(len(pdf), len(values)):
+            values[i] = model(values[:i])
+        rows = {k: pdf[k].iloc[0] for k in keys} | {"_t": pdf["_t"].iloc[-1] + np.arange(1, periods + 1)}
+        return pd.DataFrame(rows | {"step": np.arange(1, periods + 1), "predicted": values[len(pdf) :]})
+
+    rows = history.select(*keys, _epoch_days(date).alias("_t"), F.col(target).cast("double").alias("_y"))
+    done = rows.groupBy(*keys).applyInPandas(one, ", ".join([*fields, "_t int, step int, predicted double"]))
+    value = F.nanvl(F.col("predicted"), F.lit(None).cast("double"))
+    return done.select(*keys, F.date_from_unix_date("_t").alias(date), "step", value.alias("predicted"))

@@ -127,6 +127,44 @@ def horizon_metrics(
     return null_safe_join(rows.groupBy(horizon).agg(*aggregates), median, [horizon], "left")
 
 
+def rolling_horizon_metrics(
+    df: DataFrame,
+    horizon: str = "horizon",
+    actual: str = "actual",
+    predicted: str = "predicted",
+    rolling_window: float = 0.1,
+) -> DataFrame:
+    """mse, rmse, mae and smape over a window of ``rolling_window`` of all rows up to each horizon.
+
+    The window takes the last rows by horizon; of the horizon that it enters it counts
+    a part, by that horizon's mean.  Horizons with too few rows up to them have no
+    result.  Rows are averaged per horizon first, so the windows run over horizons only.
+    """
+    y, p = F.col(actual), F.col(predicted)
+    error = F.abs(y - p)
+    sape = F.coalesce(F.try_divide(2 * error, F.abs(y) + F.abs(p)), F.lit(0.0))
+    sums = {"mse": F.sum(error * error), "mae": F.sum(error), "smape": F.sum(F.when(error.isNotNull(), sape))}
+    each = df.where(error.isNotNull()).groupBy(horizon).agg(F.count(F.lit(1)).alias("n"), *[e.alias(m) for m, e in sums.items()])
+    so_far = Window.orderBy(horizon).rowsBetween(Window.unboundedPreceding, 0)  # one row a horizon
+    upto = each.withColumns({"_total": F.sum("n").over(so_far)} | {f"_{m}": F.sum(m).over(so_far) for m in sums})
+    parts = F.struct("n", "_total", *sums, *[f"_{m}" for m in sums])
+    everything = Window.orderBy(horizon).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    size = F.greatest(F.floor(F.sum("n").over(everything) * rolling_window), F.lit(1))
+    windows = upto.withColumns({"_size": size, "_parts": F.collect_list(parts).over(so_far)}).where(F.col("_total") >= F.col("_size"))
+    skipped = F.col("_total") - F.col("_size")  # rows before the window
+    entered = F.get(F.filter("_parts", lambda x: x["_total"] > skipped), F.lit(0))
+    windows = windows.withColumn("_first", entered).withColumn("_skipped", skipped)
+    first = F.col("_first")
+    result = {}
+    for m in sums:
+        before = first[f"_{m}"] - first[m] + (F.col("_skipped") - first["_total"] + first["n"]) * first[m] / first["n"]
+        result[m] = (F.col(f"_{m}") - before) / F.col("_size")
+    return windows.select(
+        horizon, F.col("_size").cast("long").alias("n"), result["mse"].alias("mse"), F.sqrt(result["mse"]).alias("rmse"),
+        result["mae"].alias("mae"), result["smape"].alias("smape"),
+    )
+
+
 def prediction_summary(
     df: DataFrame, by: Sequence[str] = config.KEYS, predicted: str = "predicted", date: str = config.DATE
 ) -> DataFrame:

@@ -147,14 +147,18 @@ def historical_features(
     entity_ts: str = "event_timestamp",
     views: dict = config.FEATURE_VIEWS,
     ranges: int | None = None,
+    daily: Sequence[str] = (),
 ) -> DataFrame:
-    """Point-in-time values of features from several views, each with its keys and ttl."""
+    """Point-in-time values of features from several views, each with its keys and ttl.
+
+    The views named ``daily`` have one row per key and day and are not cut into ranges.
+    """
     result = entities
     for name, fields in parse_refs(refs).items():
         view = _view(name, views)
         # every view is looked up from the plain entity rows, not from earlier results
         found = _known_at(
-            entities, tables[name], view["keys"], fields, view["ttl_days"], entity_ts, view["timestamp"], (), ranges
+            entities, tables[name], view["keys"], fields, view["ttl_days"], entity_ts, view["timestamp"], (), 1 if name in daily else ranges
         )
         result = _attach(result, found, view["keys"], fields, entity_ts)
     return result
