@@ -413,6 +413,12 @@ def oracles() -> dict[str, str]:
             "AND trim(cust_name) NOT IN ('', 'None') GROUP BY 1, 2",
             "sales",
         ),
+        "valid_keys_with_blanks": _sql(
+            "SELECT gcode, cust_name, count(*) AS records FROM sales WHERE qty % 5 > 2 GROUP BY 1, 2", "sales"
+        ),
+        "snapshot_counts_by_month": _sql(
+            "SELECT last_day(create_dt) AS dt, count(*) AS count FROM sales GROUP BY 1 ORDER BY 1 DESC LIMIT 10", "sales"
+        ),
         "distinct_products": _sql("SELECT DISTINCT gcode FROM sales ORDER BY gcode", "sales"),
         "distinct_customers": _sql("SELECT DISTINCT cust_name FROM nation_sales ORDER BY cust_name", "nation_sales"),
         "series_profile": _sql(
@@ -917,6 +923,14 @@ def oracles() -> dict[str, str]:
             "long_samples",
             extra=_KS_ALL,
         ),
+        "drift_report_drifted": _sql(
+            "SELECT 'summary' AS section, 'all' AS feature, count(*) AS features, count(*) FILTER (p_value < 0.7) AS drifted, "
+            f"{_r('count(*) FILTER (p_value < 0.7) / count(*)', 'drift_ratio')}, CAST(NULL AS VARCHAR) AS method, "
+            "CAST(NULL AS DOUBLE) AS statistic, CAST(NULL AS DOUBLE) AS p_value FROM tested "
+            f"UNION ALL SELECT 'drifted', feature, NULL, NULL, NULL, 'ks', {_rounded(['statistic', 'p_value'])} FROM tested WHERE p_value < 0.7",
+            "long_samples",
+            extra=_KS_ALL,
+        ),
         "drift_report": _sql(
             "SELECT 'summary' AS section, 'all' AS feature, count(*) AS features, count(*) FILTER (p_value < 0.5) AS drifted, "
             f"{_r('count(*) FILTER (p_value < 0.5) / count(*)', 'drift_ratio')}, CAST(NULL AS VARCHAR) AS method, "

@@ -194,6 +194,15 @@ def valid_keys(spark, sf_dir):
     return rows.groupBy(*SALES_KEYS).agg(F.count(F.lit(1)).alias("records"))
 
 
+@query
+def valid_keys_with_blanks(spark, sf_dir):
+    """Some products are blank, "None" or NULL, by quantity."""
+    fifth = F.col("qty") % 5
+    odd = F.when(fifth == 0, " ").when(fifth == 1, " None").when(fifth == 2, F.lit(None)).otherwise(F.col("gcode"))
+    rows = profile.keep_valid_keys(retail.sales(spark, sf_dir).withColumn("gcode", odd), SALES_KEYS)
+    return rows.groupBy(*SALES_KEYS).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query
 def distinct_products(spark, sf_dir):
     return profile.distinct_keys(retail.sales(spark, sf_dir), "gcode")
@@ -219,6 +228,12 @@ def snapshot_counts(spark, sf_dir):
     return profile.snapshot_counts(retail.sales(spark, sf_dir))
 
 
+@query
+def snapshot_counts_by_month(spark, sf_dir):
+    """One snapshot a month: the last ten."""
+    return profile.snapshot_counts(retail.sales(spark, sf_dir).withColumn("dt", F.last_day("create_dt")))
+
+
 @query
 def filter_variant_counts(spark, sf_dir):
     in_range = F.col("create_dt").between(Date(1997, 1, 1), Date(2000, 12, 31))
@@ -753,6 +768,12 @@ def drift_summary(spark, sf_dir):
     return tidy(drift.drift_summary(drift.ks_test(*_samples(spark, sf_dir), level=0.5)))
 
 
+@query
+def drift_report_drifted(spark, sf_dir):
+    """A level at which some features count as drifted and others do not."""
+    return tidy(drift.drift_report(drift.detect_drift(*_samples(spark, sf_dir), level=0.7)))
+
+
 @query
 def drift_report(spark, sf_dir):
     return tidy(drift.drift_report(drift.detect_drift(*_samples(spark, sf_dir), level=0.5)))
