@@ -26,7 +26,9 @@ def matrix(spark):
 
 
 def test_parameter_map():
-    arguments, unused = models.boosting_arguments({"max_depth": 99})
+    with pytest.raises(ValueError):
+        models.boosting_arguments({"max_depth": 99})
+    arguments, unused = models.boosting_arguments({"max_depth": 30})
     assert arguments["maxDepth"] == 30 and arguments["maxIter"] == 1000 and arguments["seed"] == 42
     assert models.boosting_arguments({})[0]["maxDepth"] == 5
     assert {"num_leaves", "lambda_l1", "lambda_l2", "bagging_freq"} <= set(unused)
@@ -77,7 +79,7 @@ def test_cross_validation_trains_on_earlier_folds_only(spark, make_panel):
 def test_ensembles(spark):
     rows = [(1, "lightgbm", 10.0), (1, "xgboost", 20.0), (1, "prophet", 30.0), (2, "lightgbm", 10.0), (2, "prophet", None), (2, "other", 99.0)]
     df = spark.createDataFrame(rows, "id int, model string, predicted double")
-    got = {r.id: r for r in models.weighted_ensemble(df, ["id"]).collect()}
+    got = {r.id: r for r in models.weighted_ensemble(df, ["id"], config.ENSEMBLE_WEIGHTS).collect()}
     assert got[1].predicted == pytest.approx(17.0) and got[1].models == 3
     assert got[2].predicted == pytest.approx(10.0) and got[2].models == 1
     x = np.random.default_rng(0).normal(size=(50, 2))
