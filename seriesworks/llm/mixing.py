@@ -27,7 +27,7 @@ BLOCK_WORDS = 512
 WEIGHTS, SHARE, MOST_REPEATS = (3, 1, 2), 1.5, 2
 SHARDS, SEED = 64, 11
 #: Documents whose positions one task adds up, about; slots that one row expands to.
-GROUP_ROWS, RANGE = 2000, 1 << 16
+GROUP_ROWS, RANGE = 1000, 1 << 16
 
 
 @dataclass
@@ -149,13 +149,15 @@ def read_sources(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
 def positioned(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, source, text_hash, size, start): where each document starts among its source's words.
 
-    Documents are dealt into groups by a hash of the id, numbered within a source; a
-    group's start is the sum of the groups before it.  Null texts have no words.
+    Documents are dealt into groups by a hash of the id, as many as their source has
+    ``GROUP_ROWS`` rows; a group's start is the sum of its source's groups before it.
+    Null texts have no words.
     """
     kept = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"), F.size(word_array(F.col(text))).cast("long").alias("size"))
     sized = cut_lineage(kept)
-    groups = max(1, sized.count() // GROUP_ROWS)
-    sized = sized.withColumn("__sw_group", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)))
+    groups = sized.groupBy(F.col("source").alias("__sw_source")).agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("__sw_groups"))
+    counted = sized.join(F.broadcast(groups), sized["source"].eqNullSafe(F.col("__sw_source"))).drop("__sw_source")  # a row per source
+    sized = counted.withColumn("__sw_group", F.pmod(F.xxhash64("doc_id", "text_hash"), "__sw_groups")).drop("__sw_groups")
     inside = Window.partitionBy("source", "__sw_group").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("source").orderBy("__sw_group").rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
@@ -227,7 +229,8 @@ def mix(
     )
     slots = slot_table(spark, sources, block_words, shards, seed)
     mixture = (
-        slots.join(pieces, ["sid", "block"])
+        # the planner takes slots, made of a few ranges, for a small table: both sides grow with the words
+        slots.hint("merge").join(pieces, ["sid", "block"])
         .withColumn("n_words", F.least("hi", "take") - F.col("lo"))
         .filter("n_words > 0")
         .select(
