@@ -737,6 +737,28 @@ def oracles() -> dict[str, str]:
             "dense",
             extra=_CUTOFFS,
         ),
+        "additive_trend": _sql(
+            f"SELECT drug_id, hospital_id, 'trained' AS message, {_r('regr_intercept(sales_quantity, t)', 'intercept', 3)}, "
+            f"{_r('regr_slope(sales_quantity, t)', 'slope', 3)}, {_r('any_value(origin)', 'origin', 3)} FROM "
+            f"(SELECT *, date_diff('day', DATE '1970-01-01', min(date) OVER ({_BY_SERIES})) AS origin, "
+            f"date_diff('day', min(date) OVER ({_BY_SERIES}), date) AS t FROM dense) GROUP BY 1, 2",
+            "dense",
+        ),
+        "series_ridge": _sql(
+            "SELECT drug_id, hospital_id, CAST(n AS BIGINT) AS feature_rows, "
+            f"{_r('intercept', 'intercept')}, {_r('coefficient', 'coefficient')}, "
+            f"{_r('sqrt(avg((y - intercept - coefficient * x) * (y - intercept - coefficient * x)))', 'rmse')}, "
+            f"{_r('avg(abs(y - intercept - coefficient * x))', 'mae')} "
+            "FROM numbered JOIN fits USING (drug_id, hospital_id) WHERE i > train GROUP BY drug_id, hospital_id, n, intercept, coefficient",
+            "dense",
+            extra=f"""lagged AS (SELECT *, sales_quantity AS y, lag(sales_quantity, 7) OVER {_W} AS x FROM dense),
+                counted AS (SELECT *, row_number() OVER {_W} AS i, count(*) OVER ({_BY_SERIES}) AS n FROM lagged WHERE x IS NOT NULL),
+                numbered AS (SELECT *, floor(n * {1 - config.TEST_SIZE!r}::DOUBLE) AS train FROM counted WHERE n >= 100),
+                fits AS (SELECT drug_id, hospital_id, avg(y) - avg(x) * slope AS intercept, slope AS coefficient FROM (
+                    SELECT *, count(*) OVER s * covar_pop(y, x) OVER s / (var_pop(x) OVER s * (count(*) OVER s + 10)) AS slope FROM numbered
+                    WHERE i <= train - floor(train * {config.VALIDATION_SHARE!r}::DOUBLE) WINDOW s AS ({_BY_SERIES}))
+                    GROUP BY drug_id, hospital_id, slope)""",
+        ),
         "recursive_forecast": _sql(
             f"SELECT drug_id, hospital_id, CAST(date + CAST(7 * weeks AS INTEGER) AS DATE) AS date, CAST(7 * weeks - back AS INTEGER) AS step, "
             f"{_r('sales_quantity', 'predicted')} FROM (SELECT *, CAST(max(date) OVER ({_BY_SERIES}) - date AS INTEGER) AS back FROM dense) "

@@ -568,6 +568,26 @@ def additive_cross_validation(spark, sf_dir):
     )
 
 
+@query
+def additive_trend(spark, sf_dir):
+    """The additive fit without bends and seasons: a regression line for each series."""
+    fitted = forecast.fit_additive(_dense(spark, sf_dir), seasonalities=(), changepoints=0)
+    return tidy(fitted.select(*KEYS, "message", "intercept", "slope", "origin"), 3)
+
+
+@query
+def series_ridge(spark, sf_dir):
+    """One lag and a fixed penalty: coefficients and errors that have a closed form."""
+    rows = features.add_lags(_dense(spark, sf_dir), lags=[7]).na.drop()
+    fixed = lambda x, y, x_valid, y_valid: training.ridge(x, y, 10.0)
+    trained = training.train_series(rows, [f"{TARGET}_lag_7"], min_rows=100, fit=fixed)
+    return tidy(
+        trained.where("status = 'success'").select(
+            *KEYS, "feature_rows", "intercept", F.get("coefficients", F.lit(0)).alias("coefficient"), "rmse", "mae"
+        )
+    )
+
+
 @query
 def recursive_forecast(spark, sf_dir):
     """Thirty days from lag features: the value seven days before, forecasts included."""

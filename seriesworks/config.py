@@ -33,7 +33,6 @@ PRODUCT_COLUMNS = [
     "storage_condition", "usage", "status", "attr_json",
 ]
 
-CUSTOMER_COLUMNS = ["hospital_id", "hospital_name", "region", "level", "type"]
 
 CSV_DATE_COLUMNS = ["date", "create_dt", "prod_dt", "valid_dt"]
 
@@ -76,7 +75,6 @@ DRIFT_LEVEL = 0.05
 DRIFT_BINS = 10
 PERFORMANCE_TOLERANCE = 0.1
 RMSE_ALERT = 100.0
-MAPE_ALERT_PERCENT = 15.0
 RESIDUAL_BINS = 50
 STALE_YEAR = 2000
 

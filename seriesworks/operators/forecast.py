@@ -74,8 +74,13 @@ def fit_additive(
     date: str = config.DATE,
     target: str = config.TARGET,
     seasonalities: Seasonalities = tuple(config.SEASONALITIES),
+    changepoints: int = CHANGEPOINTS,
 ) -> DataFrame:
-    """One row of coefficients per series (ridge; a group is one daily series)."""
+    """One row of coefficients per series (ridge; a group is one daily series).
+
+    The trend may bend at ``changepoints`` places at most; without any, and without
+    seasonalities, the fit is a straight regression line.
+    """
     keys = list(keys)
     names = fourier_names(seasonalities)
     key_fields = [f"{f.name} {f.dataType.simpleString()}" for f in history.select(*keys).schema.fields]
@@ -100,7 +105,7 @@ def fit_additive(
             span, scale = t[-1] - t[0] or 1.0, np.abs(y).max() or 1.0
             u = (t - t[0]) / span
             inner = int(len(u) * CHANGEPOINT_RANGE)
-            count = min(CHANGEPOINTS, max(inner - 1, 0))
+            count = min(changepoints, max(inner - 1, 0))
             knots = u[np.linspace(0, max(inner - 1, 0), count + 1).round().astype(int)][1:]
             hinges = np.maximum(u[:, None] - knots[None, :], 0.0)
             x = np.column_stack([np.ones_like(u), u, hinges, pdf[names].to_numpy(dtype=float)])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from seriesworks import config
 from seriesworks.operators.metrics import METRICS, forecast_metrics
+from seriesworks.session import cut_lineage
 
 #: Spark ML's limit, and the depth that stands for "unlimited" unless another is given.
 MAX_TREE_DEPTH = 30
@@ -225,8 +226,11 @@ def cross_validate(
     n_splits: int = config.CV_FOLDS,
     params: dict | None = None,
 ) -> DataFrame:
-    """Metrics per expanding fold, one row each; ``folded`` comes from ``splits.cv_folds``."""
-    results = []
+    """Metrics per expanding fold, one row each; ``folded`` comes from ``splits.cv_folds``.
+
+    The rows are written once and read for each fold.
+    """
+    folded, results = cut_lineage(folded), []
     for f in range(1, n_splits + 1):
         role = F.when(F.col("fold") < f, "train").when(F.col("fold") == f, "valid")
         rows = folded.withColumn("split", role).where(F.col("split").isNotNull())

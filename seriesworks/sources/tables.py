@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from seriesworks import config
 
-# Longer key lists go through a semi join, so that they do not bloat the plan.
-MAX_IN_LIST = 1000
-
 
 def _as_date(value: str | date) -> Column:
     return F.lit(value).cast("date")
@@ -79,14 +76,12 @@ def scan_sales(
 
 
 def _keep_listed(df: DataFrame, column: str, wanted: Sequence[str] | DataFrame | None) -> DataFrame:
+    """Lists become part of the filter; keys by the thousand belong in a table, which is semi-joined."""
     if wanted is None:
         return df
     if isinstance(wanted, DataFrame):
         return df.join(wanted.select(column).distinct(), column, "left_semi")
-    if len(wanted) <= MAX_IN_LIST:
-        return df.where(F.col(column).isin(list(wanted)))
-    rows = df.sparkSession.createDataFrame([(w,) for w in wanted], f"{column} string")
-    return df.join(rows.distinct(), column, "left_semi")
+    return df.where(F.col(column).isin(list(wanted)))
 
 
 def scan_batch(
