@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Bytes of text worked on at a time; a longer text is one piece by itself.
 CHUNK = 1 << 19
@@ -17,6 +20,26 @@ LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
+#: Rows of whole documents that Spark sends to a worker at a time.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send documents by the thousand: a batch of whole texts is held several times on its way."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def lean(function: Callable) -> Callable:
+    """A worker function that gives freed memory back to the system when its task is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the offsets of its rows; null is empty."""
