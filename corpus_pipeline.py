@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesworks.llm import classifier, decontaminate, mixing, simhash, suffix
+from seriesworks.llm.arrow_text import small_batches
 from seriesworks.llm.words import bucket
 from seriesworks.session import cut_lineage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine predicts to be good."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = classifier.classify(docs, labels, bucket(F.col("doc_id"), 5) != 0)
     return scored.filter("predicted = 1").select(docs.columns)
@@ -24,6 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest id, of equal ids the smallest text hash."""
+    small_batches(spark)
     keys = {"_k1": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64("text", "doc_id")}
     found = simhash.near_duplicates(docs.select("doc_id", "text").withColumns(keys))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")).alias("first")
@@ -33,6 +36,7 @@ def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings of 50 bytes that a smaller id has; what is cut in a character goes whole."""
+    small_batches(spark)
     cut = suffix.cut_repeats(docs, as_text=True).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept")))
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import LOWER, chunks, mixed, row_counts, span_hashes, word_spans
+from .arrow_text import LOWER, chunks, lean, mixed, row_counts, span_hashes, word_spans
 
 #: Word buckets, bins a statistic, vector length.
 WORD_BITS, BINS, RANK = 16, 16, 8
@@ -193,7 +193,7 @@ def train(
                 )
 
     schema = f"h long, doc_id {dict(docs.dtypes)['doc_id']}, label int, inputs array<int>, values array<float>"
-    rows = sample.mapInArrow(inputs_of, schema).orderBy("h", "doc_id", "inputs").limit(max_rows).toArrow()
+    rows = sample.mapInArrow(lean(inputs_of), schema).orderBy("h", "doc_id", "inputs").limit(max_rows).toArrow()
     own, at = rows["inputs"].combine_chunks(), rows["inputs"].combine_chunks().offsets.to_numpy()
     where = np.repeat(np.arange(rows.num_rows), np.diff(at))
     values = rows["values"].combine_chunks().values.to_numpy()
@@ -225,7 +225,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", threshold: floa
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score", "predicted"])
 
     schema = docs.select(*kept).schema.add("score", "double").add("predicted", "integer")
-    return plain.mapInArrow(scored, schema)
+    return plain.mapInArrow(lean(scored), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, usable: Column, **options) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .arrow_text import lean
 from .components import components
 from .words import ASCII_LOWER
 
@@ -60,7 +61,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGL
             yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), column], names=[*kept, "fp"])
 
     plain = docs.select(*kept, F.col(text).alias("__sw_text"))
-    return plain.mapInArrow(marked, docs.select(*kept).schema.add("fp", "long"))
+    return plain.mapInArrow(lean(marked), docs.select(*kept).schema.add("fp", "long"))
 
 
 def _address(segment: int, value: Column) -> Column:
