@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType
 
 from ..session import cut_lineage
 from . import ppm
-from .arrow_text import LOWER, chunks, span_hashes, word_spans
+from .arrow_text import LOWER, chunks, lean, span_hashes, word_spans
 
 #: Longest context in bytes; least share of the training bytes that a node must have.
 DEPTH, LEAST = 6, 2.0**-21
@@ -45,7 +45,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         for b in batches:
             for _, _, raw, at in chunks(b["__sw_text"]):
                 parts.append(np.unique(word_hashes(raw, at)[0], return_counts=True))
-                if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
+                if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 19, len(parts[0][0])):
                     parts = [ppm.merged(parts)]
         if parts:
             words, n = ppm.merged(parts)
@@ -56,7 +56,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 )
 
     plain = docs.select(F.col(text).alias("__sw_text"))
-    return plain.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return plain.mapInArrow(lean(counted), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def score(
@@ -130,7 +130,7 @@ def score(
     for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double"), ("score", "double")):
         schema = schema.add(name, kind)
     schema = schema.add("__sw_words", ArrayType(LongType())).add("__sw_times", ArrayType(IntegerType()))
-    scored = cut_lineage(plain.mapInArrow(read, schema))
+    scored = cut_lineage(plain.mapInArrow(lean(read), schema))
     rare = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_words", "__sw_times")).alias("w")).select(
         "__sw_row", F.col("w.__sw_words").alias("word"), F.col("w.__sw_times").alias("times")
     )

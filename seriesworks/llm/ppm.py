@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import LOWER, chunks, mixed
+from .arrow_text import LOWER, chunks, lean, mixed
 from .packing import pack, pack_sorted, unpack, unpack_sorted
 
 EDGE = 255
 #: Taken off each kept symbol's count and given to the escape.
 DISCOUNT = 0.5
 #: Groups that the longest grams are dealt into; grams that a task holds at most.
-BUCKETS, HELD = 128, 1 << 23
+BUCKETS, HELD = 128, 1 << 21
 NODES = "model int, order int, gram long, n long, total long"
 EMPTY = np.uint64(2**64 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -111,7 +111,7 @@ def gram_counts(docs: DataFrame, depth: int, model: str, text: str = "text") ->
                 parts = held.setdefault(int(m), [])
                 for _, _, raw, at in chunks(rows):
                     parts.append(np.unique(gram_keys(LOWER[raw], at, depth)[0], return_counts=True))
-                    if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 20, len(parts[0][0])):
+                    if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 19, len(parts[0][0])):
                         parts[:] = [merged(parts)]
                         if len(parts[0][0]) > HELD:
                             yield from packed(int(m), parts)
@@ -121,7 +121,7 @@ def gram_counts(docs: DataFrame, depth: int, model: str, text: str = "text") ->
                 yield from packed(m, parts)
 
     plain = docs.select(F.col(model).cast("int").alias("__sw_model"), F.coalesce(F.col(text), F.lit("")).alias("__sw_text"))
-    return plain.mapInArrow(counted, "bucket int, model int, grams binary, counts binary")
+    return plain.mapInArrow(lean(counted), "bucket int, model int, grams binary, counts binary")
 
 
 def learn(docs: DataFrame, depth: int, least: float, model: str, text: str = "text") -> pa.Table:
@@ -170,10 +170,10 @@ def _nodes(model: int, order: int, keys: np.ndarray, n: np.ndarray, least: float
 
 
 class Lookup:
-    """Open addressing: the row of each key, or -1."""
+    """Open addressing, at most half full: the row of each key, or -1."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 4))))
+        self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 2))))
         self.slots = np.full((1 << self.bits) + 1, EMPTY, np.uint64)
         self.rows = np.full((1 << self.bits) + 1, -1, np.int32)
         todo = np.arange(len(keys))
