@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ppm
-from .arrow_text import chunks
+from .arrow_text import chunks, lean
 
 DEPTH, LEAST = 4, 2.0**-18
 #: Rows that a language's model learns from, about: those with the smallest hashes of their id.
@@ -75,4 +75,4 @@ def identify(
             yield pa.RecordBatch.from_arrays([*(b[c] for c in kept), found, pa.array(np.where(good, share, 0.0))], names=[*kept, "lang_pred", "score"])
 
     plain = docs.select(*kept, F.col(text).alias("__sw_text"), letters.alias("__sw_letters"))
-    return plain.mapInArrow(named, docs.select(*kept).schema.add("lang_pred", "string").add("score", "double"))
+    return plain.mapInArrow(lean(named), docs.select(*kept).schema.add("lang_pred", "string").add("score", "double"))
