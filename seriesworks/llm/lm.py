@@ -1,6 +1,8 @@
 """Language-model scoring: prediction by partial matching, with a word model beside it.
 
-The byte model is a trie of contexts learned from all training rows (module ``ppm``).
+The byte model is a table of all grams, learned from all training rows (module ``ppm``);
+it grows with the input.  The most frequent ones, at most ``HELD``, are looked up while
+the texts are read; the others of a document go through an equi-join with the table.
 The word model counts all training words.  Words that hold at least ``FREQUENT`` of
 the training tokens, of which there are at most ``1 / FREQUENT``, are looked up while
 the texts are read; the rarer words of a document go through an equi-join with the
@@ -21,8 +23,8 @@ from ..session import cut_lineage
 from . import ppm
 from .arrow_text import LOWER, chunks, lean, span_hashes, word_spans
 
-#: Longest context in bytes; least share of the training bytes that a node must have.
-DEPTH, LEAST = 6, 2.0**-21
+#: Longest context in bytes; grams that are looked up without a join, which changes no result.
+DEPTH, HELD = 6, 1 << 20
 FREQUENT = 2.0**-20
 
 
@@ -59,8 +61,28 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return plain.mapInArrow(lean(counted), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def per_row(keys: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys of each row, their times, number of them in each row)."""
+    order = np.lexsort((keys, row))
+    keys, row = keys[order], row[order]
+    cut = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])]) if len(keys) else np.zeros(0, np.int64)
+    return keys[cut], np.diff(np.append(cut, len(keys))), np.bincount(row[cut], minlength=rows)
+
+
+def often_held(table: DataFrame, held: int) -> DataFrame:
+    """The rows with the largest ``m``, from a power of two on, as many as fit into ``held``."""
+    power = F.floor(F.log2("m")).cast("int")
+    least = 64
+    for r in table.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():  # one row a power of two
+        held -= r["count"]
+        if held < 0:
+            break
+        least = r["power"]
+    return table.filter(power >= least)
+
+
 def score(
-    docs: DataFrame, training: Column, text: str = "text", depth: int = DEPTH, least: float = LEAST,
+    docs: DataFrame, training: Column, text: str = "text", depth: int = DEPTH, held: int = HELD,
     frequent: float = FREQUENT,
 ) -> DataFrame:
     """Score all documents with models of the rows for which ``training`` holds.
@@ -75,60 +97,60 @@ def score(
     """
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     spark = docs.sparkSession
-    learned = docs.filter(training).select(F.lit(0).alias("__sw_model"), F.col(text).alias("__sw_text"))
-    nodes = ppm.learn(learned, depth, least, "__sw_model", "__sw_text")
-    trie = ppm.Trie(nodes, 1, depth)
+    learned = docs.filter(training).select(F.col(text).alias("__sw_text"))
+    table, ends = ppm.log_probabilities(ppm.grams(docs, depth, training, text), depth)
+    grams = often_held(table, held).toArrow()  # at most ``held`` rows
     counts = cut_lineage(word_counts(learned, "__sw_text"))
-    ends = int(nodes["n"].to_numpy()[(nodes["order"].to_numpy() == 0) & (nodes["gram"].to_numpy() == ppm.EDGE)].sum())
-    if not ends:  # the end may be too rare for a node
-        ends = learned.count()
     words, kinds = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = (words or 0) + ends
     kinds += ends > 0
     often = counts.filter(F.col("n") >= frequent * tokens).toArrow()  # at most 1 / frequent rows
     model = spark.sparkContext.broadcast((
-        trie.arrays(), often["word"].to_numpy().view(np.uint64), often["n"].to_numpy(), float(tokens + kinds + 1),
+        grams["g"].to_numpy().view(np.uint64), grams["log"].to_numpy(), often["word"].to_numpy().view(np.uint64), often["n"].to_numpy(), float(tokens + kinds + 1),
     ))
     end_score = float(np.log10((ends + 1) / (tokens + kinds + 1)))
     kept = [c for c in docs.columns if c not in (text, *results)]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays, keys, n, whole = model.value
-        trie, table = ppm.Trie.from_arrays(arrays), ppm.Lookup(keys)
+        gram, gram_log, keys, n, whole = model.value
+        held_grams, table = ppm.Lookup(gram), ppm.Lookup(keys)
         cost = np.log10((n + 1) / whole)
         for b in batches:
             size = b.num_rows
             own, known, base, logs = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
-            rare_keys, rare_counts, rare_sizes = [], [], np.zeros(size, np.int64)
+            lists: list[list] = [[], []]
+            sizes = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
             for lo, hi, raw, at in chunks(b["__sw_text"]):
-                logs[lo:hi] = trie.log_probability(raw, at)[:, 0]
+                grams, offsets = ppm.gram_keys(LOWER[raw], at, depth)
+                place = held_grams.find(grams)
+                row = np.repeat(np.arange(hi - lo), np.diff(offsets))
+                found = place >= 0
+                logs[lo:hi] = np.bincount(row[found], gram_log[place[found]], minlength=hi - lo)
+                *rare, sizes[0][lo:hi] = per_row(grams[~found], row[~found], hi - lo)
+                lists[0].append(rare)
                 hashes, row = word_hashes(raw, at)
                 place = table.find(hashes)
                 found = place >= 0
                 own[lo:hi] = np.bincount(row, minlength=hi - lo)
                 known[lo:hi] = np.bincount(row[found], minlength=hi - lo)
                 base[lo:hi] = np.bincount(row[found], cost[place[found]], minlength=hi - lo)
-                rare, where = hashes[~found], row[~found]
-                order = np.lexsort((rare, where))
-                rare, where = rare[order], where[order]
-                cut = np.flatnonzero(np.r_[True, (rare[1:] != rare[:-1]) | (where[1:] != where[:-1])]) if len(rare) else np.zeros(0, np.int64)
-                rare_keys.append(rare[cut])
-                rare_counts.append(np.diff(np.append(cut, len(rare))))
-                rare_sizes[lo:hi] = np.bincount(where[cut], minlength=hi - lo)
-            edges = pa.array(np.concatenate([[0], np.cumsum(rare_sizes)]).astype(np.int32))
-            lists = [
-                pa.ListArray.from_arrays(edges, pa.array(np.concatenate(part) if part else np.zeros(0), kind))
-                for part, kind in (([k.view(np.int64) for k in rare_keys], pa.int64()), (rare_counts, pa.int32()))
-            ]
+                *rare, sizes[1][lo:hi] = per_row(hashes[~found], row[~found], hi - lo)
+                lists[1].append(rare)
+            arrays = []
+            for rare, n_rare in zip(lists, sizes, strict=True):
+                edges = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
+                for part, kind in (([k.view(np.int64) for k, _ in rare], pa.int64()), ([t for _, t in rare], pa.int32())):
+                    arrays.append(pa.ListArray.from_arrays(edges, pa.array(np.concatenate(part) if part else np.zeros(0), kind)))
             yield pa.RecordBatch.from_arrays(
-                [*(b[c] for c in kept), b["__sw_row"], pa.array(own + 1), pa.array(known), pa.array(base), pa.array(logs / np.log(10)), *lists],
-                names=[*kept, "__sw_row", "n_tokens", "__sw_known", "__sw_base", "score", "__sw_words", "__sw_times"],
+                [*(b[c] for c in kept), b["__sw_row"], pa.array(own + 1), pa.array(known), pa.array(base), pa.array(logs), *arrays],
+                names=[*kept, "__sw_row", "n_tokens", "__sw_known", "__sw_base", "__sw_logs", "__sw_grams", "__sw_gram_times", "__sw_words", "__sw_times"],
             )
 
     plain = docs.select(*kept, F.col(text).alias("__sw_text"), F.monotonically_increasing_id().alias("__sw_row"))
     schema = docs.select(*kept).schema
-    for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double"), ("score", "double")):
+    for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double"), ("__sw_logs", "double")):
         schema = schema.add(name, kind)
+    schema = schema.add("__sw_grams", ArrayType(LongType())).add("__sw_gram_times", ArrayType(IntegerType()))
     schema = schema.add("__sw_words", ArrayType(LongType())).add("__sw_times", ArrayType(IntegerType()))
     scored = cut_lineage(plain.mapInArrow(lean(read), schema))
     rare = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_words", "__sw_times")).alias("w")).select(
@@ -138,11 +160,15 @@ def score(
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tokens + kinds + 1)))).alias("__sw_rare"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("__sw_rare_known"),
     )
-    return scored.join(costs, "__sw_row", "left").select(
+    rare_grams = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_grams", "__sw_gram_times")).alias("w")).select(
+        "__sw_row", F.col("w.__sw_grams").alias("g"), F.col("w.__sw_gram_times").alias("times")
+    )
+    rare_logs = rare_grams.join(table.select("g", "log"), "g").groupBy("__sw_row").agg(F.sum(F.col("times") * F.col("log")).alias("__sw_rare_logs"))
+    return scored.join(costs, "__sw_row", "left").join(rare_logs, "__sw_row", "left").select(
         *kept,
         "n_tokens",
         (F.col("__sw_known") + F.coalesce("__sw_rare_known", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("__sw_base") + F.coalesce("__sw_rare", F.lit(0.0)) + end_score).alias("base_score"),
-        "score",
+        ((F.col("__sw_logs") + F.coalesce("__sw_rare_logs", F.lit(0.0))) / float(np.log(10))).alias("score"),
     )

@@ -16,7 +16,8 @@ text's start and ends it, so the probabilities of all texts sum to one.
 Since S(c) is a subset of the symbols of every shorter context, an escape's effect on
 the next context depends on the context alone.  All of that is worked out once: a
 lookup of the last bytes gives the logarithm of the probability.  Several models share
-one trie, with a column each.
+one trie, with a column each.  A single model with every gram of any corpus is a table
+instead (:func:`grams` and :func:`log_probabilities`), level by level from the empty context.
 """
 
 from __future__ import annotations
@@ -25,9 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..session import cut_lineage
 from .arrow_text import LOWER, chunks, lean, mixed
 from .packing import pack, pack_sorted, unpack, unpack_sorted
 
@@ -169,6 +173,76 @@ def _nodes(model: int, order: int, keys: np.ndarray, n: np.ndarray, least: float
     return pa.table(dict(zip(("model", "order", "gram", "n", "total"), columns, strict=True)))
 
 
+def grams(docs: DataFrame, depth: int, training: Column, text: str = "text") -> DataFrame:
+    """(g, n, m): every longest gram of all documents, its occurrences in training rows and in all rows."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list = []
+        for b in batches:
+            for learns in (True, False):
+                rows = b["__sw_text"].filter(pc.equal(b["__sw_learns"], learns))
+                for _, _, raw, at in chunks(rows):
+                    keys, n = np.unique(gram_keys(LOWER[raw], at, depth)[0], return_counts=True)
+                    parts.append((keys, np.stack([n * learns, n], 1)))
+                    if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 19, len(parts[0][0])):
+                        parts[:] = [merged(parts)]
+                        if len(parts[0][0]) > HELD:
+                            yield from batched(parts)
+                            parts.clear()
+        if parts:
+            yield from batched(parts)
+
+    def batched(parts: list) -> Iterator[pa.RecordBatch]:
+        keys, n = merged(parts)
+        for lo in range(0, len(keys), 1 << 18):
+            part = slice(lo, lo + (1 << 18))
+            columns = [keys[part].view(np.int64), *np.ascontiguousarray(n[part].T)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["g", "n", "m"])
+
+    plain = docs.select(F.coalesce(training, F.lit(False)).alias("__sw_learns"), F.coalesce(F.col(text), F.lit("")).alias("__sw_text"))
+    found = plain.mapInArrow(lean(counted), "g long, n long, m long")
+    return found.groupBy("g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def log_probabilities(found: DataFrame, depth: int) -> tuple[DataFrame, int]:
+    """((g, m, log), training rows) from the output of :func:`grams`, with no gram left out.
+
+    ``log`` is the natural logarithm of the probability of a gram's symbol after the
+    bytes before it.  Grams of one order are joined with those one byte shorter; each of
+    these has at most 256 longer ones, and a context at most 256 symbols, so no group is
+    large.  The driver holds the 256 byte values of the empty context.
+    """
+    spark, levels = found.sparkSession, [cut_lineage(found)]
+    for order in range(depth - 1, -1, -1):
+        shorter = F.col("g").bitwiseAND(F.lit(int(mask(order)))).alias("g")
+        levels.append(cut_lineage(levels[-1].groupBy(shorter).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))))
+    root = levels.pop().collect()
+    total, types = sum(r["n"] for r in root), sum(r["n"] > 0 for r in root)
+    left = np.log(DISCOUNT * types / total) if total else 0.0
+    past = float(left - np.log(max(256 - types, 1)))
+    escape = DISCOUNT * types
+    symbols = [(r["g"], r["n"], r["m"], float(np.log((r["n"] - DISCOUNT) / total)) if r["n"] else past, total - escape, escape) for r in root]
+    below = spark.createDataFrame(symbols, "g long, n long, m long, log double, kept double, escape double")
+    n, seen = F.col("n"), F.col("n") > 0
+    context = Window.partitionBy(F.shiftright("g", 8))
+    for order in range(1, depth + 1):
+        up = below.select(F.col("g").alias("p"), F.col("n").alias("pn"), F.col("log").alias("plog"), F.col("kept").alias("pkept"), F.col("escape").alias("pescape"))
+        rows = levels.pop().withColumn("p", F.col("g").bitwiseAND(F.lit(int(mask(order - 1))))).join(up, "p")
+        rows = rows.withColumns({
+            "total": F.sum("n").over(context), "types": F.sum(seen.cast("int")).over(context),
+            "excluded": F.sum(F.when(seen, F.col("pn") - DISCOUNT).otherwise(0.0)).over(context),
+        })
+        rows = rows.withColumns({"escape": DISCOUNT * F.col("types"), "kept": F.col("total") - DISCOUNT * F.col("types")})
+        open_ = F.greatest(F.col("pkept") - F.col("excluded"), F.lit(0.0))
+        rest = F.greatest(F.col("pescape") - F.col("escape"), F.lit(DISCOUNT / 2))
+        leave = F.log(F.col("escape") / F.col("total")) + F.log((F.col("pkept") + F.col("pescape")) / (open_ + rest))
+        leave += F.when(F.col("pn") > 0, 0.0).otherwise(F.log(rest / F.col("pescape")))
+        log = F.when(seen, F.log((n - DISCOUNT) / F.col("total"))).when(F.col("total") > 0, F.col("plog") + leave).otherwise(F.col("plog"))
+        rows = rows.withColumn("log", log)
+        below = cut_lineage(rows.select("g", "n", "m", "log", "kept", "escape") if order < depth else rows.select("g", "m", "log"))
+    return below, sum(r["n"] for r in root if r["g"] == EDGE)
+
+
 class Lookup:
     """Open addressing, at most half full: the row of each key, or -1."""
 

@@ -99,6 +99,24 @@ def test_word_model_equals_brute_force(spark):
         assert r["score"] < 0
 
 
+@pytest.mark.parametrize("depth,held", [(6, 0), (6, 40)])
+def test_scores_keep_every_gram_at_any_size(spark, depth, held):
+    # 4 MB of other text, so that one occurrence is below a share of 2**-21 of the bytes
+    few, filler, times = [*TEXTS, "the unseen zebra", "ÿ?", "a"], "filler words " * 20_000, 16
+    df = spark.createDataFrame(list(enumerate(few)) + [(100 + 2 * i, filler) for i in range(times)], "doc_id long, text string")
+    found, n = counts_of(few[::2], depth)
+    more, size = counts_of([filler], depth)
+    for mine, other in zip(found, more, strict=True):
+        for context, symbols in other.items():
+            for symbol, count in symbols.items():
+                mine[context][symbol] += times * count
+    assert n + times * size > 2**21
+    got = {r["doc_id"]: r["score"] for r in lm.score(df, F.col("doc_id") % 2 == 0, depth=depth, held=held).collect()}
+    assert len(got) == len(few) + times
+    for i, text in enumerate(few):
+        assert got[i] == pytest.approx(brute(found, n, depth, 0, text) / math.log(10), rel=1e-6)
+
+
 def test_scores_of_odd_rows(spark):
     docs = edge_docs(spark)
     out = lm.score(docs, F.col("doc_id").isNotNull())
