@@ -82,6 +82,19 @@ def word_spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(at, start, side="right") - 1
 
 
+def mask_spans(mask: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the maximal runs of marked bytes; runs end at the row's end."""
+    held = np.zeros(len(mask) + 2, bool)
+    held[1:-1] = mask
+    begins, ends = held[1:-1] & ~held[:-2], held[1:-1] & ~held[2:]
+    inner = at[1:-1]
+    cut = inner[(inner > 0) & (inner < len(mask))]
+    begins[cut] = mask[cut]
+    ends[cut - 1] = mask[cut - 1]
+    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return start, end, np.searchsorted(at, start, side="right") - 1
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Scrambled 64-bit values, so that any bits of them can be used."""
     h = h ^ (h >> np.uint64(30))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, decontaminate, langid, lm, mixing, rules, simhash, suffix, urls, wrappers
+from . import classifier, decontaminate, langid, lm, mixing, phrases, rules, simhash, spelling, suffix, toxicity, urls, wrappers
 from .arrow_text import small_batches
 from .words import bucket
 
@@ -83,6 +83,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = bucket(F.col("doc_id"), 5)
+    scored = toxicity.classify(docs.select("doc_id", "text"), labels, fold != 0)
+    return scored.select(
+        "doc_id", (fold == 0).alias("held_out"), "score", "predicted", "n_sentences", F.size("offending").alias("n_offending")
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,6 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filters": op8_url_filters,
         "op9_html_extraction": op9_html_extraction,
         "op10_language_id": op10_language_id,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_toxicity": op12_toxicity,
+        "op13_phrases": op13_phrases,
         "pipeline": pipeline,
     }
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from seriesworks.session import cut_lineage
 
-from .arrow_text import LOWER, chunks, lean, span_hashes
+from .arrow_text import LOWER, chunks, lean, mask_spans, span_hashes
 
 #: Groups of letters, and words of a block that are compared at a time.
 GROUPS, TILE, ROWS = 12, 4096, 512
@@ -49,19 +49,11 @@ def letter_runs(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
     Those code points above 127 are the byte C3 and one more.
     """
-    letter = np.zeros(len(raw) + 2, bool)
     low = raw | 32
     lead = raw == 0xC3
-    letter[1:-1] = ((low >= 97) & (low <= 122) & (raw < 128)) | lead
-    letter[2:-1] |= lead[:-1]
-    begins = letter[1:-1] & ~letter[:-2]
-    ends = letter[1:-1] & ~letter[2:]
-    inner = at[1:-1]
-    cut = inner[(inner > 0) & (inner < len(raw))]
-    begins[cut] = letter[cut + 1]
-    ends[cut - 1] = letter[cut]
-    start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return start, end, np.searchsorted(at, start, side="right") - 1
+    letter = ((low >= 97) & (low <= 122) & (raw < 128)) | lead
+    letter[1:] |= lead[:-1]
+    return mask_spans(letter, at)
 
 
 def noisy_words(raw: np.ndarray, at: np.ndarray, ids: list[bytes], noise: int = NOISE) -> tuple[list[bytes], np.ndarray]:
