@@ -101,9 +101,49 @@ rest AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best"""
 
 
+def phrases() -> str:
+    from . import phrases as op
+
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+), total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM places, (SELECT unnest(range(1, {op.LONGEST + 1})) AS k) WHERE i + k - 1 <= len(w)
+), f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {op.LEAST_COUNT}
+), cuts AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1
+), scored AS (
+  SELECT cuts.lang, cuts.k, cuts.phrase, cuts.a, c, x.a AS l, y.a AS r, n,
+         (1000::HUGEINT * cuts.a * n) // (x.a::HUGEINT * y.a) AS score
+  FROM cuts JOIN total USING (lang)
+  JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[:c], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[c + 1:], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inner_parts AS (
+  SELECT DISTINCT lang, a, array_to_string(w[s : s + size - 1], ' ') AS phrase
+  FROM (SELECT lang, a, k, string_split(phrase, ' ') AS w FROM f WHERE k > 2),
+       (SELECT unnest(range(2, {op.LONGEST})) AS size), (SELECT unnest(range(1, {op.LONGEST})) AS s)
+  WHERE size < k AND s + size - 1 <= k
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM best ANTI JOIN inner_parts USING (lang, phrase, a)
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= {op.TOP}"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op1_quality_rules": quality_rules(),
         "op5_decontamination": decontamination(),
         "op8_url_filters": url_filters(),
+        "op13_phrases": phrases(),
     }
