@@ -104,11 +104,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Powers that a worker keeps, by base; longer texts have theirs made anew.
+_KEPT: dict[int, np.ndarray] = {}
+_KEPT_SIZE = 1 << 21
+
+
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    """``base ** i`` modulo 2 ** 64 for i below ``n``."""
-    out = np.full(max(n, 1), base, np.uint64)
+    """``base ** i`` modulo 2 ** 64 for i below ``n``; not to be written to."""
+    if n <= _KEPT_SIZE and base in _KEPT:
+        return _KEPT[base][: max(n, 1)]
+    out = np.full(max(n, _KEPT_SIZE), base, np.uint64)
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    out = np.cumprod(out, dtype=np.uint64)
+    if n <= _KEPT_SIZE:
+        _KEPT[base] = out
+    return out[: max(n, 1)]
 
 
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:

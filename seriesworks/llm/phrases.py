@@ -10,7 +10,8 @@ frequency; an occurrence belongs to the chunk in whose own part (before the over
 begins, so each is counted once.
 
 Phrases of k words are counted only where both of their parts of k - 1 words are frequent.
-The workers see the frequent parts as a bitmap of hashes of bounded size: a false hit
+From three words on, only the runs of frequent pairs are looked at.  The workers see the
+frequent parts as a bitmap of hashes of bounded size: a false hit
 costs a row more in the shuffle, the counts themselves are of the texts and exact.
 """
 
@@ -34,7 +35,7 @@ LEAST_COUNT, TOP = 100, 2000
 #: Bits of the bitmap for each frequent phrase, and its largest size (16 MB); a fuller one lets more phrases pass.
 BITS_EACH, MAX_BITS = 16, 1 << 27
 #: Bytes of chunks that a worker counts at a time.
-HELD = 1 << 22
+HELD = 1 << 21
 #: Parts in which the rows of one key are dealt.
 SALTS = 32
 _BREAK = np.zeros(256, bool)
@@ -46,13 +47,24 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 def words_of(low: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row, linked) of the words; ``linked``: the next word is of the same piece."""
     start, end, row = mask_spans(_WORD[low], at)
-    breaks = np.concatenate([[0], np.cumsum(_BREAK[low])])
     linked = np.zeros(len(start), bool)
     if len(start):
-        linked[:-1] = (row[1:] == row[:-1]) & (breaks[start[1:]] == breaks[end[:-1]])
+        linked[:-1] = (row[1:] == row[:-1]) & ~_BREAK[low[end[:-1]]]
+        wide = np.flatnonzero(linked[:-1] & (start[1:] - end[:-1] > 1))  # a break may come after blanks
+        breaks = np.flatnonzero(_BREAK[low]) if len(wide) else wide
+        linked[wide] = np.searchsorted(breaks, start[wide + 1]) == np.searchsorted(breaks, end[wide])
     return start, end, row, linked
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values, where each is first, number of each value among them), by a hash table."""
+    coded = pa.array(values).dictionary_encode()
+    inverse = coded.indices.to_numpy()
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[inverse[::-1]] = np.arange(len(values) - 1, -1, -1)
+    return coded.dictionary.to_numpy(), first, inverse
+
+
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each position on; the last positions are of no use."""
     out = words.copy()
@@ -96,68 +108,102 @@ def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang", period:
     return plain.mapInArrow(lean(cut), "lang string, chunk string, own long").groupBy("lang", "chunk", "own").agg(F.count("*").alias("n"))
 
 
+class Held:
+    """The words of some chunks, with their hashes by language."""
+
+    def __init__(self, table: pa.Table):
+        self.raw, self.at = flat(table["chunk"])
+        langs = table["lang"].combine_chunks().dictionary_encode()
+        self.langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
+        self.start, self.end, self.row, self.linked = words_of(self.raw, self.at)
+        names = [name.as_py().encode() for name in self.langs.dictionary]
+        cut = np.cumsum([0, *map(len, names)])
+        # a word and a language may have the same letters
+        seeds = span_hashes(np.frombuffer(b"".join(names), np.uint8), cut[:-1], cut[1:]) * _STEP
+        self.words = mixed(span_hashes(self.raw, self.start, self.end) + seeds[self.langs.indices.to_numpy()[self.row]])
+        first = np.searchsorted(self.row, np.arange(len(self.at) - 1))
+        self.own_left = table["own"].to_numpy()[self.row] - (np.arange(len(self.start)) - first[self.row])
+        self.n = table["n"].to_numpy()
+
+    def frequent(self, size: int, bitmap: np.ndarray) -> np.ndarray:
+        """Where ``size`` words begin whose hash is in the bitmap."""
+        parts = gram_hashes(self.words, size)
+        bit = parts & np.uint64(len(bitmap) * 8 - 1)
+        return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+    def lang(self, place: np.ndarray) -> pa.Array:
+        return self.langs.dictionary.take(self.langs.indices.take(pa.array(self.row[place])))
+
+    def phrases(self, place: np.ndarray, size: np.ndarray) -> pa.Array:
+        """Words from each place on, joined by one blank; where the text has just that between them, a slice will do."""
+        start, end, raw = self.start, self.end, self.raw
+        odd = np.zeros(len(start) + 1, np.int64)
+        if len(start):
+            gap = (start[1:] - end[:-1] != 1) | (raw[np.minimum(end[:-1], len(raw) - 1)] != 32)
+            odd[2:] = np.cumsum(gap)
+            odd[1] = 0
+        text, last = raw.tobytes(), place + size - 1
+        out = [text[s:e] for s, e in zip(start[place].tolist(), end[last].tolist())]
+        for i in np.flatnonzero(odd[last + 1] != odd[place + 1]).tolist():
+            own = slice(place[i], last[i] + 1)
+            out[i] = b" ".join(text[s:e] for s, e in zip(start[own].tolist(), end[own].tolist()))
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+
 def _grams(table: pa.Table, size: int, bitmap: np.ndarray | None) -> pa.RecordBatch:
     """(lang, phrase, h, n) of the phrases of ``size`` words in some chunks, each once."""
-    raw, at = flat(table["chunk"])
-    langs = table["lang"].combine_chunks().dictionary_encode()
-    langs = langs.combine_chunks() if isinstance(langs, pa.ChunkedArray) else langs
-    names = [name.as_py().encode() for name in langs.dictionary]
-    seeds = np.frombuffer(b"".join(names), np.uint8)
-    ends = np.cumsum([0, *map(len, names)])
-    lang = langs.indices.to_numpy()
-    start, end, row, linked = words_of(raw, at)
-    seeds = span_hashes(seeds, ends[:-1], ends[1:]) * _STEP  # a word and a language may have the same letters
-    words = mixed(span_hashes(raw, start, end) + seeds[lang[row]])
-    first = np.searchsorted(row, np.arange(len(at) - 1))
-    good = np.arange(len(start)) - first[row] < table["own"].to_numpy()[row]
+    held = Held(table)
+    words = len(held.start)
+    good = held.own_left > 0
     for k in range(1, size):
-        good[: len(start) - k] &= linked[k - 1 : len(start) - 1]
-        good[max(0, len(start) - k) :] = False
+        good[: words - k] &= held.linked[k - 1 : words - 1]
+        good[max(0, words - k) :] = False
     if bitmap is not None:
-        parts = gram_hashes(words, size - 1)
-        bit = parts & np.uint64(len(bitmap) * 8 - 1)
-        frequent = (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        frequent = held.frequent(size - 1, bitmap)
         good[:-1] &= frequent[:-1] & frequent[1:]
     place = np.flatnonzero(good)
-    keys = gram_hashes(words, size)[place]
-    h, one, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    n = np.bincount(inverse, weights=table["n"].to_numpy()[row[place]], minlength=len(h)).astype(np.int64)
+    h, one, inverse = distinct(gram_hashes(held.words, size)[place])
+    n = np.bincount(inverse, weights=held.n[held.row[place]], minlength=len(h)).astype(np.int64)
     place = place[one]
-    text, last = raw.tobytes(), place + size - 1
-    # words are joined by one blank; where the text has just that between them, a slice will do
-    plain = np.ones(len(start), bool)
-    if len(start):
-        plain[:-1] = (start[1:] - end[:-1] == 1) & (raw[np.minimum(end[:-1], len(raw) - 1)] == 32)
-    sliced = np.ones(len(place), bool)
-    for k in range(size - 1):
-        sliced &= plain[place + k]
-    phrases = [text[s:e] for s, e in zip(start[place].tolist(), end[last].tolist())]
-    for i in np.flatnonzero(~sliced).tolist():
-        phrases[i] = b" ".join(text[s:e] for s, e in zip(start[place[i] : last[i] + 1].tolist(), end[place[i] : last[i] + 1].tolist()))
-    return pa.RecordBatch.from_arrays(
-        [langs.dictionary.take(langs.indices.take(pa.array(row[place]))), pa.array(phrases, pa.binary()).cast(pa.string()),
-         pa.array(h.view(np.int64)), pa.array(n)],
-        names=["lang", "phrase", "h", "n"],
-    )
+    columns = [held.lang(place), held.phrases(place, size), pa.array(h.view(np.int64)), pa.array(n)]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h", "n"])
+
+
+def _runs(table: pa.Table, pairs: np.ndarray) -> pa.RecordBatch:
+    """(lang, chunk, own, n) of the longest runs of three words and more in which each two neighbours are frequent."""
+    held = Held(table)
+    pair = held.linked & held.frequent(2, pairs)
+    begins = np.flatnonzero(pair & ~np.r_[False, pair[:-1]])
+    size = np.flatnonzero(pair & ~np.r_[pair[1:], False]) - begins + 2
+    own = np.minimum(held.own_left[begins], size)
+    kept = (size > 2) & (own > 0)
+    begins, size, own = begins[kept], size[kept], own[kept]
+    columns = [held.lang(begins), held.phrases(begins, size), pa.array(own, pa.int64()), pa.array(held.n[held.row[begins]], pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "own", "n"])
+
+
+def _by_lots(function, shared):
+    """A worker function that calls ``function`` on about ``HELD`` bytes of chunks at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot, size, known = [], 0, None if shared is None else shared.value
+        for b in batches:
+            lot.append(b)
+            size += b.nbytes
+            if size >= HELD:
+                yield function(pa.Table.from_batches(lot), known)
+                lot, size = [], 0
+        if sum(b.num_rows for b in lot):
+            yield function(pa.Table.from_batches(lot), known)
+
+    return lean(run)
 
 
 def count_phrases(chunk_table: DataFrame, size: int, bitmap: np.ndarray | None, least: int = LEAST_COUNT) -> DataFrame:
     """(lang, phrase, h, n, size) of the phrases of ``size`` words that occur ``least`` times or more."""
     shared = None if bitmap is None else chunk_table.sparkSession.sparkContext.broadcast(bitmap)  # MAX_BITS at most
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size_held = [], 0
-        known = None if shared is None else shared.value
-        for b in batches:
-            held.append(b)
-            size_held += b.nbytes
-            if size_held >= HELD:
-                yield _grams(pa.Table.from_batches(held), size, known)
-                held, size_held = [], 0
-        if sum(b.num_rows for b in held):
-            yield _grams(pa.Table.from_batches(held), size, known)
-
-    found = chunk_table.mapInArrow(lean(count), "lang string, phrase string, h long, n long")
+    count = _by_lots(lambda table, known: _grams(table, size, known), shared)
+    found = chunk_table.mapInArrow(count, "lang string, phrase string, h long, n long")
     total = found.groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n"))
     return total.filter(F.col("n") >= least).withColumn("size", F.lit(size))
 
@@ -175,6 +221,13 @@ def bitmap_of(frequent: DataFrame, rows: int) -> np.ndarray:
     return out.view(np.uint8)
 
 
+def frequent_runs(chunk_table: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """The dictionary without all that no frequent phrase of three words can be in, as a dictionary of runs."""
+    shared = chunk_table.sparkSession.sparkContext.broadcast(pairs)  # MAX_BITS at most
+    found = chunk_table.mapInArrow(_by_lots(_runs, shared), "lang string, chunk string, own long, n long")
+    return found.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n"))
+
+
 def frequent_phrases(chunk_table: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     """All phrases of up to ``LONGEST`` words that occur ``least`` times or more, level by level."""
     levels, bitmap = [], None
@@ -186,6 +239,8 @@ def frequent_phrases(chunk_table: DataFrame, least: int = LEAST_COUNT) -> DataFr
             break
         if size < LONGEST:
             bitmap = bitmap_of(level, rows)
+        if size == 2:
+            chunk_table = cut_lineage(frequent_runs(chunk_table, bitmap))
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
