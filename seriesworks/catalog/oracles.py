@@ -360,6 +360,95 @@ def _holiday_list() -> str:
     return "[" + ", ".join(f"DATE '{h}'" for h in HOLIDAYS) + "]"
 
 
+_CALENDAR_SPLIT = """rows_split AS (
+    SELECT *, CASE WHEN date < DATE '2000-01-01' THEN 'train' ELSE 'valid' END AS split FROM daily)"""
+
+
+def _boosting_first_split() -> str:
+    features = {"month": "month(date)", "quarter": "quarter(date)", "day": "day(date)", "dayofweek": "isodow(date) - 1"}
+    long = " UNION ALL ".join(
+        f"SELECT {i} AS pos, '{name}' AS feature, CAST({x} AS DOUBLE) AS x, g FROM train" for i, (name, x) in enumerate(features.items())
+    )
+
+    def value(g, n):
+        return f"sign({g}) * greatest(abs({g}) - 5, 0) / ({n} + 3)"
+
+    def gain(g, n):
+        return f"greatest(abs({g}) - 5, 0) * greatest(abs({g}) - 5, 0) / ({n} + 3)"
+
+    no = {"feature": "VARCHAR", "threshold": "DOUBLE", "left_node": "INTEGER", "right_node": "INTEGER", "gain": "DOUBLE"}
+    leaf = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in no.items())
+    extra = f"""{_CALENDAR_SPLIT},
+    train AS (SELECT date, sales_quantity - avg(sales_quantity) OVER () AS g FROM rows_split WHERE split = 'train'),
+    total AS (SELECT sum(g) AS tg, count(*) AS tn FROM train),
+    binned AS (SELECT pos, feature, x, sum(g) AS g, count(*) AS n FROM ({long}) GROUP BY ALL),
+    upto AS (SELECT pos, feature, x, sum(g) OVER w AS lg, sum(n) OVER w AS ln FROM binned
+             WINDOW w AS (PARTITION BY feature ORDER BY x)),
+    best AS (SELECT *, tg - lg AS rg, tn - ln AS rn, {gain("lg", "ln")} + {gain("tg - lg", "(tn - ln)")} - {gain("tg", "tn")} AS gain
+             FROM upto, total WHERE ln >= 20 AND tn - ln >= 20 ORDER BY gain DESC, pos, x LIMIT 1)"""
+    body = f"""
+    SELECT 0 AS node, feature, {_r("x", "threshold", 4)}, 1 AS left_node, 2 AS right_node, {_r("gain", "gain", 4)},
+           CAST(NULL AS DOUBLE) AS value, CAST(tn AS BIGINT) AS rows FROM best
+    UNION ALL SELECT 1, {leaf}, {_r(value("lg", "ln"), "value", 4)}, CAST(ln AS BIGINT) FROM best
+    UNION ALL SELECT 2, {leaf}, {_r(value("rg", "rn"), "value", 4)}, CAST(rn AS BIGINT) FROM best"""
+    return _sql(body, "daily", extra=extra)
+
+
+def _ordered_encoding() -> str:
+    def one(c):
+        before = f"PARTITION BY {c} ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING"
+        y = "CASE WHEN split = 'train' THEN sales_quantity END"
+        early = f"(coalesce(sum({y}) OVER ({before}), 0) + 10 * prior) / (count({y}) OVER ({before}) + 10)"
+        late = f"(coalesce(sum({y}) OVER (PARTITION BY {c}), 0) + 10 * prior) / (count({y}) OVER (PARTITION BY {c}) + 10)"
+        return _r(f"CASE WHEN split = 'train' THEN {early} ELSE {late} END", f"{c}_encoded")
+
+    body = f"""SELECT drug_id, hospital_id, date, split, {one("drug_id")}, {one("hospital_id")}
+    FROM rows_split, (SELECT avg(sales_quantity) AS prior FROM rows_split WHERE split = 'train')"""
+    return _sql(body, "daily", extra=_CALENDAR_SPLIT)
+
+
+def _trend_intervals() -> str:
+    extra = """points AS (SELECT *, CAST(date - DATE '1970-01-01' AS DOUBLE) AS t FROM daily),
+    line AS (SELECT drug_id, hospital_id, regr_slope(sales_quantity, t) AS slope, regr_intercept(sales_quantity, t) AS a,
+                    avg(t) AS mt, avg(sales_quantity) AS my, max(date) AS last, count(*) AS n FROM points GROUP BY ALL HAVING count(*) > 1),
+    spread AS (SELECT drug_id, hospital_id, sum(power(sales_quantity - my - slope * (t - mt), 2)) / (any_value(n) - 2) AS variance
+               FROM points JOIN line USING (drug_id, hospital_id) GROUP BY ALL),
+    ahead AS (SELECT *, CAST(last + CAST(h AS INTEGER) AS DATE) AS date FROM line, (SELECT unnest(range(1, 8)) AS h))"""
+    at = "(my + slope * (CAST(date - DATE '1970-01-01' AS DOUBLE) - mt))"
+    half = "1.9599639845400536 * sqrt(variance)"
+    body = f"""SELECT drug_id, hospital_id, date, {_r(at, "predicted", 3)}, {_r(f"{at} - {half}", "lower", 3)}, {_r(f"{at} + {half}", "upper", 3)}
+    FROM ahead JOIN spread USING (drug_id, hospital_id)"""
+    return _sql(body, "daily", extra=extra)
+
+
+def _ks_exact() -> str:
+    """Shares of lattice paths that have been as far off the diagonal as the statistic, one anti-diagonal after the other."""
+    return """
+WITH RECURSIVE long AS (
+    SELECT 's_acctbal' AS feature, s_acctbal AS x, s_suppkey % 2 AS c FROM supplier
+    UNION ALL SELECT 's_nationkey', CAST(s_nationkey AS DOUBLE), s_suppkey % 2 FROM supplier
+), sizes AS (SELECT feature, count(*) FILTER (c = 0) AS n1, count(*) FILTER (c = 1) AS n2 FROM long GROUP BY feature),
+steps AS (
+    SELECT DISTINCT feature, sum(1 - c) OVER w AS b, sum(c) OVER w AS d FROM long WINDOW w AS (PARTITION BY feature ORDER BY x)
+), ks AS (
+    SELECT feature, n1, n2, max(abs(b * n2 - d * n1)) AS far, max(abs(b / n1 - d / n2)) AS statistic
+    FROM steps JOIN sizes USING (feature) GROUP BY ALL
+), paths(feature, k, i, q) AS (
+    SELECT feature, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS DOUBLE) FROM ks
+    UNION ALL
+    SELECT feature, k, i, CASE WHEN abs(i * n2 - (k - i) * n1) >= any_value(far) THEN 1.0 ELSE sum(part) END
+    FROM (
+        SELECT feature, k + 1 AS k, i + s AS i, q * CASE WHEN s = 1 THEN i + 1 ELSE k + 1 - i END / (k + 1) AS part
+        FROM paths, (SELECT unnest([0, 1]) AS s) WHERE i >= 0
+    ) JOIN ks USING (feature)
+    WHERE i <= n1 AND k - i <= n2 AND k <= n1 + n2
+    GROUP BY feature, k, i, n1, n2
+), tested AS (SELECT feature, q AS p_value FROM paths JOIN ks USING (feature) WHERE k = n1 + n2 AND i = n1)
+SELECT feature, """ + _r("statistic", "statistic") + ", " + _r("p_value", "p_value") + """,
+       CAST(n1 AS BIGINT) AS n_baseline, CAST(n2 AS BIGINT) AS n_current, 'exact' AS method, p_value < 0.05 AS is_drift
+FROM ks JOIN tested USING (feature)"""
+
+
 def oracles() -> dict[str, str]:
     holidays = _holiday_list()
     nearest = f"least(list_min([abs(date_diff('day', h, date)) FOR h IN {holidays}]), 999)"
@@ -902,6 +991,10 @@ def oracles() -> dict[str, str]:
             "FROM long_samples WHERE NOT is_current GROUP BY feature",
             "long_samples",
         ),
+        "boosting_first_split": _boosting_first_split(),
+        "ordered_encoding": _ordered_encoding(),
+        "trend_intervals": _trend_intervals(),
+        "ks_exact": _ks_exact(),
         "ks_drift": _sql(
             f"SELECT feature, {_rounded(['statistic', 'p_value'])}, n_baseline, n_current, p_value < 0.05 AS is_drift FROM tested",
             "long_samples",

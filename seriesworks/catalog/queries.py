@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 from datetime import date as Date
@@ -13,7 +14,9 @@ from seriesworks import config
 from seriesworks.functions import columns as cols
 from seriesworks.functions import dates
 from seriesworks.operators import (
+    boosting,
     drift,
+    encoding,
     features,
     forecast,
     metrics,
@@ -967,14 +970,85 @@ def stacking_weights(spark, sf_dir):
     return tidy(spark.createDataFrame(weights, "feature string, weight double"), 4)
 
 
+#: Larger steps than the default and less patience, so that the valid rows end the training after some twenty trees.
+QUICK_STEPS = {"learning_rate": 0.3, "early_stopping_rounds": 5}
+
+
 @query
 def pooled_job(spark, sf_dir):
-    """Train one boosted-tree model over all daily series, then predict with it."""
+    """Train one boosted-tree model over all daily series until the valid rows stop it, then predict with it."""
     sales = retail.sales(spark, sf_dir)
-    model, _, _ = jobs.train_pooled(sales, {"num_boost_round": 3, "learning_rate": 0.5, "max_depth": 3})
+    model, _, _ = jobs.train_pooled(sales, QUICK_STEPS)
     return tidy(jobs.predict_pooled(sales, model)[1], 4)
 
 
+def _calendar_split(spark, sf_dir):
+    """Daily totals with calendar columns; the years before 2000 are for training."""
+    day = F.col(DATE)
+    rows = _daily(spark, sf_dir).withColumns(
+        {"month": F.month(day), "quarter": F.quarter(day), "day": F.dayofmonth(day), "dayofweek": F.weekday(day)}
+    )
+    return rows.withColumn("split", F.when(day < F.lit("2000-01-01").cast("date"), "train").otherwise("valid"))
+
+
+@query
+def boosting_first_split(spark, sf_dir):
+    """One tree with one split, with both regularisations: the split must be the best of all."""
+    params = {
+        "num_boost_round": 1, "num_leaves": 2, "learning_rate": 1.0, "lambda_l1": 5.0, "lambda_l2": 3.0,
+        "feature_fraction": 1.0, "bagging_freq": 0, "early_stopping_rounds": 0,
+    }
+    rows = _calendar_split(spark, sf_dir)
+    model = boosting.fit_trees(rows, ["month", "quarter", "day", "dayofweek"], TARGET, params, max_bins=255)
+    return tidy(dataclasses.replace(model, trees=model.grown).nodes(spark).drop("tree"), 4)
+
+
+@query
+def ordered_encoding(spark, sf_dir):
+    """Products as numbers: training rows see the mean of earlier days only."""
+    encoded = encoding.encode_ordered(_calendar_split(spark, sf_dir), ["drug_id", "hospital_id"])
+    return tidy(encoded.select(*KEYS, DATE, "split", "drug_id_encoded", "hospital_id_encoded"))
+
+
+@query
+def boosted_importance(spark, sf_dir):
+    """Gain and number of splits of each feature, products as encoded categories."""
+    matrix = cut_lineage(_model_matrix(spark, sf_dir))
+    model = boosting.fit_trees(matrix, cols.feature_columns(matrix), TARGET, QUICK_STEPS, categorical=["drug_id"])
+    both = model.importance(spark, "gain").withColumnRenamed("importance", "gain")
+    return tidy(both.join(model.importance(spark, "split").withColumnRenamed("importance", "splits"), "feature"), 2)
+
+
+@query
+def model_forecast(spark, sf_dir):
+    """Thirty days ahead by the trained model of each series, each day from the ones before it."""
+    sales = retail.sales(spark, sf_dir)
+    _, trained = jobs.batch_train(sales)
+    return tidy(jobs.batch_forecast(sales, trained, 30), 4)
+
+
+@query
+def forecast_intervals(spark, sf_dir):
+    """The additive forecast with the range that holds 80 % of the values."""
+    return tidy(forecast.forecast_with_interval(_dense(spark, sf_dir), 30).drop("is_future"), 4)
+
+
+@query
+def trend_intervals(spark, sf_dir):
+    """Straight-line forecasts: the interval is the spread around the regression line."""
+    line = {"seasonalities": (), "changepoints": 0}
+    found = forecast.forecast_with_interval(_daily(spark, sf_dir), 7, width=0.95, **line)
+    return tidy(found.select(*KEYS, DATE, "predicted", "lower", "upper"), 3)
+
+
+@query
+def ks_exact(spark, sf_dir):
+    """Exact p-values for two halves of the suppliers."""
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_acctbal", F.col("s_nationkey").cast("double").alias("s_nationkey"))
+    even = F.col("s_suppkey") % 2 == 0
+    return tidy(drift.ks_test(rows.where(even), rows.where(~even), ["s_acctbal", "s_nationkey"], exact=True))
+
+
 @query
 def additive_forecast(spark, sf_dir):
     return tidy(forecast.forecast(_dense(spark, sf_dir), 30), 4)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,3 +57,41 @@ def chi_square_p(statistic: Column, dof: Column) -> Column:
     Runs on one row per tested feature only.
     """
     return F.nanvl(_chi_square_p(statistic.cast("double"), dof.cast("double")), F.lit(None))
+
+
+def _exact_kolmogorov(d: float, n1: float, n2: float) -> float:
+    """Share of the orders of two samples in one another whose largest gap is ``d`` or more.
+
+    An order is a path over the grid of (values of one sample, values of the other) seen
+    so far.  ``q[i]`` is the share of the paths to that point that have been ``d`` away
+    from the diagonal, one anti-diagonal after the other.
+    """
+    if pd.isna(d) or pd.isna(n1) or pd.isna(n2) or min(n1, n2) < 1:
+        return float("nan")
+    m, n = sorted((int(n1), int(n2)))
+    g = math.gcd(m, n)
+    far = round(d * (m // g) * n)  # the statistic as a whole number of steps of 1 / lcm
+    if far <= 0:
+        return 1.0
+    i = np.arange(m + 1)
+    q = np.zeros(m + 1)
+    for k in range(1, m + n + 1):
+        q[1:] = q[1:] * (k - i[1:]) / k + q[:-1] * i[1:] / k
+        j = k - i
+        q[(np.abs(i * (n // g) - j * (m // g)) >= far) & (j >= 0) & (j <= n)] = 1.0
+        q[(j < 0) | (j > n)] = 0.0
+    return float(min(1.0, q[m]))
+
+
+@F.pandas_udf(DoubleType())
+def _exact_kolmogorov_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([_exact_kolmogorov(*row) for row in zip(d, n1, n2)], dtype="float64")
+
+
+def exact_kolmogorov_p(statistic: Column, n1: Column, n2: Column) -> Column:
+    """Exact p-value of the two-sample Kolmogorov-Smirnov statistic; work grows with n1 * n2.
+
+    Runs on one row per tested feature only.
+    """
+    p = _exact_kolmogorov_p(statistic.cast("double"), n1.cast("double"), n2.cast("double"))
+    return F.nanvl(p, F.lit(None))

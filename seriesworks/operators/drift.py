@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesworks import config
 from seriesworks.functions.columns import numeric_columns
-from seriesworks.functions.stats import chi_square_p, kolmogorov_p
+from seriesworks.functions.stats import chi_square_p, exact_kolmogorov_p, kolmogorov_p
 from seriesworks.operators.ranks import (
     cumulative_counts,
     exact_quantiles,
@@ -21,6 +21,8 @@ from seriesworks.operators.ranks import (
 
 _QUARTILES = {0.25: "q25", 0.5: "median", 0.75: "q75"}
 _FEATURE = ["feature"]
+#: Rows of either sample up to which an exact p-value is computed, if asked for.
+EXACT_ROWS = 10_000
 
 
 def baseline_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -66,10 +68,12 @@ def ks_test(
     current: DataFrame,
     columns: Sequence[str] | None = None,
     level: float = config.DRIFT_LEVEL,
+    exact: bool = False,
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature; NULLs are left out.
 
-    The p-value is the asymptotic one.
+    The p-value is the asymptotic one.  With ``exact`` it is exact for features with
+    ``EXACT_ROWS`` rows or fewer in both samples, and ``method`` says which one it is.
     """
     columns = _shared_columns(baseline, current, columns)
     names = ["n_baseline", "n_current"]
@@ -78,16 +82,23 @@ def ks_test(
         F.try_divide(F.col("cum_n_baseline"), F.col("total_n_baseline"))
         - F.try_divide(F.col("cum_n_current"), F.col("total_n_current"))
     )
-    return (
+    sizes = F.col("n_baseline"), F.col("n_current")
+    tested = (
         running.groupBy("feature")
         .agg(
             F.max(gap).alias("statistic"),
             F.max("total_n_baseline").alias("n_baseline"),
             F.max("total_n_current").alias("n_current"),
         )
-        .withColumn("p_value", kolmogorov_p(F.col("statistic"), F.col("n_baseline"), F.col("n_current")))
-        .withColumn("is_drift", F.col("p_value") < level)
+        .withColumn("p_value", kolmogorov_p(F.col("statistic"), *sizes))
     )
+    if exact:
+        small = F.greatest(*sizes) <= EXACT_ROWS
+        # large samples are not handed over
+        of_small = [F.when(small, c) for c in (F.col("statistic"), *sizes)]
+        tested = tested.withColumn("p_value", F.when(small, exact_kolmogorov_p(*of_small)).otherwise(F.col("p_value")))
+        tested = tested.withColumn("method", F.when(small, "exact").otherwise("asymptotic"))
+    return tested.withColumn("is_drift", F.col("p_value") < level)
 
 
 def pooled_bins(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:

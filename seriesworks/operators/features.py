@@ -142,6 +142,24 @@ def build_features(
     )
 
 
+def feature_names(
+    target: str = config.TARGET,
+    lags: Sequence[int] = tuple(config.LAGS),
+    windows: Sequence[int] = tuple(config.WINDOWS),
+    statistics: Sequence[str] = tuple(config.STATISTICS),
+    periods: Sequence[int] = tuple(config.DIFF_PERIODS),
+    date_features: Sequence[str] = tuple(config.DATE_FEATURES),
+) -> list[str]:
+    """The features of ``build_features`` with the same arguments, in its order."""
+    return [
+        *date_features, "month_sin", "month_cos", "dayofweek_sin", "dayofweek_cos",
+        *[f"{target}_lag_{n}" for n in lags],
+        *[f"{target}_rolling_{n}_{s}" for n in windows for s in statistics],
+        *[f"{target}_diff_{n}" for n in periods],
+        *[f"{target}_{s}" for s in ("cumsum", "cummean", "cumstd")],
+    ]
+
+
 def feature_catalogue(df: DataFrame, keys=config.KEYS, date=config.DATE, target=config.TARGET) -> DataFrame:
     """Feature, its family and how many rows have it."""
     names = feature_columns(df, keys, date, target)

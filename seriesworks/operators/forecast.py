@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -12,11 +13,14 @@ from pyspark.sql import functions as F
 from seriesworks import config
 from seriesworks.functions.dates import next_periods, period_end
 from seriesworks.operators.splits import rolling_cutoffs, rolling_origin_rows
+from seriesworks.session import cut_lineage
 
 CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8
 CHANGEPOINT_SCALE = 0.05
 SEASONAL_SCALE = 10.0
+#: Share of the values that an interval is to hold.
+INTERVAL_WIDTH = 0.8
 
 Seasonalities = Sequence[tuple[str, float, int]]
 
@@ -89,6 +93,7 @@ def fit_additive(
             *key_fields,
             "message string, intercept double, slope double, origin double",
             "changepoints array<double>, changes array<double>, seasonal array<double>",
+            "last double, variance double, bend_rate double, bend_spread double",
         ]
     )
 
@@ -96,6 +101,7 @@ def fit_additive(
         row = {k: pdf[k].iloc[0] for k in keys} | {
             "message": "", "intercept": None, "slope": None, "origin": None,
             "changepoints": None, "changes": None, "seasonal": None,
+            "last": None, "variance": None, "bend_rate": None, "bend_spread": None,
         }
         try:
             pdf = pdf.dropna(subset=[target]).sort_values("_t")
@@ -112,15 +118,23 @@ def fit_additive(
             penalty = np.concatenate(
                 [[1e-9, 1e-6], np.full(count, CHANGEPOINT_SCALE**-2), np.full(len(names), SEASONAL_SCALE**-2)]
             )
-            beta = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ (y / scale)) * scale
+            square = x.T @ x
+            beta = np.linalg.solve(square + np.diag(penalty), x.T @ (y / scale)) * scale
+            # rows less what the fit has used up of them (the trace of the matrix that smooths y)
+            free = len(y) - np.trace(np.linalg.solve(square + np.diag(penalty), square))
+            changes = beta[2 : 2 + count] / span
             row |= {
                 "message": "trained",
                 "intercept": float(beta[0]),
                 "slope": float(beta[1] / span),
                 "origin": float(t[0]),
                 "changepoints": [float(v) for v in t[0] + knots * span],
-                "changes": [float(v) for v in beta[2 : 2 + count] / span],
+                "changes": [float(v) for v in changes],
                 "seasonal": [float(v) for v in beta[2 + count :]],
+                "last": float(t[-1]),
+                "variance": float(((y - x @ beta) ** 2).sum() / max(free, 1.0)),
+                "bend_rate": count / span,
+                "bend_spread": float(np.abs(changes).mean()) if count else 0.0,
             }
         except Exception as problem:  # one bad series must not stop the job
             row["message"] = f"{type(problem).__name__}: {problem}"
@@ -155,6 +169,47 @@ def predict_additive(
     )
 
 
+def add_interval(
+    predictions: DataFrame,
+    models: DataFrame,
+    width: float = INTERVAL_WIDTH,
+    keys: Sequence[str] = config.KEYS,
+    date: str = config.DATE,
+) -> DataFrame:
+    """Add ``lower`` and ``upper``: ``width`` of the values are expected between them.
+
+    The variance is the residuals' plus, for days after the series' end, the trend's.  The
+    trend goes on bending as often as in the past and by changes of the same mean size
+    (double exponential): h days ahead that adds ``rate * 2 * size ** 2 * h ** 3 / 3``.
+    """
+    z = NormalDist().inv_cdf(0.5 + width / 2)
+    spread = models.select(*keys, "last", "variance", "bend_rate", "bend_spread")
+    joined = predictions.join(spread, list(keys), "left")
+    ahead = F.greatest(_epoch_days(date) - F.col("last"), F.lit(0.0))
+    trend = F.col("bend_rate") * 2 * F.col("bend_spread") * F.col("bend_spread") * ahead * ahead * ahead / 3
+    half = z * F.sqrt(F.col("variance") + trend)
+    lower, upper = (F.col("predicted") - half).alias("lower"), (F.col("predicted") + half).alias("upper")
+    return joined.select(*predictions.columns, lower, upper)
+
+
+def forecast_with_interval(
+    history: DataFrame,
+    periods: int = config.FORECAST_HORIZON,
+    freq: str = "D",
+    width: float = INTERVAL_WIDTH,
+    include_history: bool = False,
+    keys: Sequence[str] = config.KEYS,
+    date: str = config.DATE,
+    target: str = config.TARGET,
+    **options,
+) -> DataFrame:
+    """The additive forecast with its interval; ``options`` go to the fit."""
+    models = cut_lineage(fit_additive(history, keys, date, target, **options))  # read for the forecast and for its interval
+    frame = future_frame(history, periods, freq, include_history, keys, date)
+    seasonalities = {k: options[k] for k in ("seasonalities",) if k in options}
+    return add_interval(predict_additive(frame, models, keys, date, **seasonalities), models, width, keys, date)
+
+
 def forecast(
     history: DataFrame,
     periods: int = config.FORECAST_HORIZON,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesworks import config
+from seriesworks.operators.boosting import BoostedTrees
 from seriesworks.operators.metrics import METRICS, forecast_metrics
 from seriesworks.session import cut_lineage
 
@@ -92,7 +93,7 @@ def fit_boosting(
     return model
 
 
-def predict(model: PipelineModel, df: DataFrame, target: str = config.TARGET) -> DataFrame:
+def predict(model: PipelineModel | BoostedTrees, df: DataFrame, target: str = config.TARGET) -> DataFrame:
     scored = model.transform(df)
     helpers = [c for c in scored.columns if c not in df.columns and c != "predicted"]
     return scored.drop(*helpers).withColumn("actual", F.col(target).cast("double"))
@@ -103,8 +104,13 @@ def _feature_names(model: PipelineModel) -> list[str]:
     return assembler.getInputCols()
 
 
-def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """Importance per feature, largest first: gain of trees, |coefficient| of linear models."""
+def feature_importance(model: PipelineModel | BoostedTrees, spark: SparkSession, kind: str = "gain") -> DataFrame:
+    """Importance per feature, largest first: gain of trees, |coefficient| of linear models.
+
+    Boosted trees of :mod:`boosting` also know ``kind="split"``, the number of splits.
+    """
+    if isinstance(model, BoostedTrees):
+        return model.importance(spark, kind)
     last = model.stages[-1]
     if hasattr(last, "featureImportances"):
         values = last.featureImportances.toArray()

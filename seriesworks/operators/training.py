@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesworks import config
+from seriesworks.functions.dates import cyclic_parts, date_parts
 
 PENALTIES = (0.1, 1.0, 10.0, 100.0)
 
@@ -148,6 +149,85 @@ def predict_series(
     )
 
 
+def next_features(values: np.ndarray, names: Sequence[str], target: str = config.TARGET) -> np.ndarray:
+    """Features of the day after ``values``, as ``build_features(exclude_current=True)`` has them; NaN for calendar names."""
+    out = np.full(len(names), np.nan)
+    for i, name in enumerate(names):
+        kind, *rest = name.removeprefix(f"{target}_").split("_")
+        if not name.startswith(f"{target}_"):
+            continue
+        if kind == "lag":
+            out[i] = values[-int(rest[0])]
+        elif kind == "rolling":
+            last = values[-int(rest[0]) :]
+            out[i] = {"mean": np.mean, "min": np.min, "max": np.max, "median": np.median}.get(rest[1], lambda x: np.std(x, ddof=1))(last)
+        elif kind == "diff":
+            out[i] = values[-1] - values[-1 - int(rest[0])]
+        else:
+            out[i] = {"cumsum": np.sum, "cummean": np.mean}.get(kind, lambda x: np.std(x, ddof=1))(values)
+    return out
+
+
+def forecast_series(
+    history: DataFrame,
+    models: DataFrame,
+    names: Sequence[str],
+    periods: int = config.FORECAST_HORIZON,
+    keys: Sequence[str] = config.KEYS,
+    date: str = config.DATE,
+    target: str = config.TARGET,
+) -> DataFrame:
+    """The next ``periods`` days of each daily series by its trained model, (keys, date, step, predicted).
+
+    Models on lags see one day ahead, so each forecast becomes a value that the later ones
+    are computed from.  ``names`` are the features in the order of the coefficients.  A
+    series is one row here: its values, its coefficients and the calendar features of the
+    days to come; series without a model, or shorter than the longest look-back, give NULL.
+    """
+    keys, names = list(keys), list(names)
+    calendar = [n for n in names if not n.startswith(f"{target}_")]
+    day = F.col(date).cast("date")
+    past = history.where(F.col(target).isNotNull()).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(day.alias("d"), F.col(target).cast("double").alias("y")))).alias("_past")
+    )
+    joined = past.join(models.where(F.col("status") == "success").select(*keys, "intercept", "coefficients"), keys, "left")
+    last = F.element_at("_past", -1)["d"]
+    ahead = F.sequence(F.date_add(last, 1), F.date_add(last, periods))
+
+    def parts(d):
+        own = date_parts(d) | cyclic_parts(d)
+        return F.array(*[own[n].cast("double") for n in calendar], F.lit(0.0))
+
+    rows = joined.select(
+        *keys, ahead.alias("_dates"), F.transform(ahead, parts).alias("_calendar"), F.transform("_past", lambda p: p["y"]).alias("_values"),
+        "intercept", "coefficients",
+    )
+    place = [names.index(n) for n in calendar]
+    back = max([int(n) for name in names for n in name.split("_") if n.isdigit() and name.startswith(f"{target}_")] or [0]) + 1
+
+    @F.pandas_udf("array<double>")
+    def run(past: pd.Series, calendar_rows: pd.Series, intercept: pd.Series, coefficients: pd.Series) -> pd.Series:
+        out = []
+        for own, days, a, b in zip(past, calendar_rows, intercept, coefficients):
+            if b is None or a is None or len(own) < back:
+                out.append([None] * periods)
+                continue
+            values, weights = np.empty(len(own) + periods), np.asarray(b, float)
+            values[: len(own)] = own
+            for step in range(periods):
+                end = len(own) + step
+                x = next_features(values[:end], names, target)
+                x[place] = np.asarray(days[step], float)[:-1]
+                values[end] = a + x @ weights
+            out.append(values[len(own) :].tolist())
+        return pd.Series(out)
+
+    done = rows.withColumn("_predicted", run("_values", "_calendar", "intercept", "coefficients"))
+    return done.select(*keys, F.posexplode(F.arrays_zip("_dates", "_predicted")).alias("step", "_day")).select(
+        *keys, F.col("_day._dates").alias(date), (F.col("step") + 1).alias("step"), F.col("_day._predicted").alias("predicted")
+    )
+
+
 def batch_predictions(requests: DataFrame, predictions: DataFrame, keys: Sequence[str] = config.KEYS) -> DataFrame:
     """Predictions for the requested pairs; a pair without any becomes an error row."""
     joined = requests.join(predictions, list(keys), "left")

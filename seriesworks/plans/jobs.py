@@ -12,7 +12,7 @@ from seriesworks import config
 from seriesworks.functions.columns import add_forecast_errors, feature_columns, known, rename_series_columns
 from seriesworks.operators import features as feature_ops
 from seriesworks.operators import forecast as forecast_ops
-from seriesworks.operators import metrics, models, panel, prep, splits, training
+from seriesworks.operators import boosting, metrics, models, panel, prep, splits, training
 from seriesworks.operators.profile import point_status
 from seriesworks.session import cut_lineage
 from seriesworks.sources.tables import scan_sales
@@ -50,17 +50,21 @@ def train_pooled(
     test_size: float = config.TEST_SIZE,
     start: str | None = None,
     end: str | None = None,
-) -> tuple[models.PipelineModel, DataFrame, DataFrame]:
-    """One boosted-tree model over all series: model, test metrics, importance."""
-    # boosting reads its input once per tree, so the features are written once
+) -> tuple[boosting.BoostedTrees, DataFrame, DataFrame]:
+    """One boosted-tree model over all series: model, test metrics, importance.
+
+    All of ``config.BOOSTING_PARAMS`` count; training ends ``early_stopping_rounds`` after
+    the best round on the valid rows.
+    """
+    # the test rows are read again, so the features are written once
     matrix = cut_lineage(splits.three_way_split(feature_matrix(sales, exclude_current=True, start=start, end=end), test_size))
-    model = models.fit_boosting(matrix, model_features(matrix), TARGET, params)
+    model = boosting.fit_trees(matrix, model_features(matrix), TARGET, params)
     scored = models.predict(model, matrix.where(F.col("split") == "test"))
     return model, metrics.forecast_metrics(scored), models.feature_importance(model, sales.sparkSession)
 
 
 def predict_pooled(
-    sales: DataFrame, model: models.PipelineModel, start: str | None = None, end: str | None = None
+    sales: DataFrame, model: boosting.BoostedTrees | models.PipelineModel, start: str | None = None, end: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions with errors for every feature row, and their summary."""
     matrix = feature_matrix(sales, outliers=False, exclude_current=True, start=start, end=end)
@@ -111,6 +115,20 @@ def batch_predict(
     return training.batch_predictions(requests, scored)
 
 
+def batch_forecast(
+    sales: DataFrame,
+    trained: DataFrame,
+    periods: int = config.FORECAST_HORIZON,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """The next days of every series that has a model, each day from the ones before it."""
+    good = trained.where(F.col("status") == "success").select(*KEYS)
+    wanted = series_rows(sales).join(good, list(KEYS), "left_semi")
+    history = clean_panel(wanted, outliers=False, start=start, end=end)
+    return training.forecast_series(history, trained, feature_ops.feature_names(), periods)
+
+
 def daily_run(
     sales: DataFrame,
     as_of: Date,

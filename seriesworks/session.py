@@ -70,8 +70,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Later stages then start from that table: an expensive input is not computed again,
     a lost executor costs no more than its own task, and the reader prunes columns and
-    knows the size.  The table goes when the application ends.
+    knows the size.  The table goes when the application ends, or by :func:`release`.
     """
     path = f"{application_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table of :func:`cut_lineage` that nothing reads any more, as when its successor is written."""
+    context = df.sparkSession.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    _remove(target, context._jsc.hadoopConfiguration())
