@@ -104,24 +104,28 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-#: Powers that a worker keeps, by base; longer texts have theirs made anew.
+def powers(n: int, base: int = BASE) -> np.ndarray:
+    """``base ** i`` modulo 2 ** 64 for i below ``n``."""
+    out = np.full(max(n, 1), base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+#: Powers that a worker keeps, 16 MB a base; longer texts have theirs made anew.
+KEPT = 1 << 21
 _KEPT: dict[int, np.ndarray] = {}
-_KEPT_SIZE = 1 << 21
 
 
-def powers(n: int, base: int = BASE) -> np.ndarray:
-    """``base ** i`` modulo 2 ** 64 for i below ``n``; not to be written to."""
-    if n <= _KEPT_SIZE and base in _KEPT:
-        return _KEPT[base][: max(n, 1)]
-    out = np.full(max(n, _KEPT_SIZE), base, np.uint64)
-    out[0] = 1
-    out = np.cumprod(out, dtype=np.uint64)
-    if n <= _KEPT_SIZE:
-        _KEPT[base] = out
-    return out[: max(n, 1)]
+def kept_powers(n: int, base: int = BASE) -> np.ndarray:
+    """Like :func:`powers`, for operators that need them all the time; not to be written to."""
+    if n > KEPT:
+        return powers(n, base)
+    if base not in _KEPT:
+        _KEPT[base] = powers(KEPT, base)
+    return _KEPT[base][: max(n, 1)]
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Callable = powers) -> np.ndarray:
     """64-bit hashes of the byte spans; equal spans have equal hashes."""
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(len(raw)), out=total[1:])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from seriesworks.session import cut_lineage
 
-from .arrow_text import IS_SPACE, LOWER, chunks, flat, lean, mask_spans, mixed, span_hashes
+from .arrow_text import IS_SPACE, LOWER, chunks, flat, kept_powers, lean, mask_spans, mixed, span_hashes
 
 #: Longest phrase, words that chunks share, one window in so many is a cut.
 LONGEST, OVERLAP, PERIOD = 5, 4, 32
@@ -80,7 +80,7 @@ def parse(raw: np.ndarray, at: np.ndarray, period: int = PERIOD) -> tuple[np.nda
     n = len(start)
     if not n:
         return row, start, end, row
-    windows = gram_hashes(span_hashes(low, start, end), OVERLAP)
+    windows = gram_hashes(span_hashes(low, start, end, kept_powers), OVERLAP)
     whole = np.zeros(n, bool)
     whole[: n - OVERLAP + 1] = row[: n - OVERLAP + 1] == row[OVERLAP - 1 :]
     cut = whole & (windows % np.uint64(period) == 0)
@@ -120,7 +120,7 @@ class Held:
         cut = np.cumsum([0, *map(len, names)])
         # a word and a language may have the same letters
         seeds = span_hashes(np.frombuffer(b"".join(names), np.uint8), cut[:-1], cut[1:]) * _STEP
-        self.words = mixed(span_hashes(self.raw, self.start, self.end) + seeds[self.langs.indices.to_numpy()[self.row]])
+        self.words = mixed(span_hashes(self.raw, self.start, self.end, kept_powers) + seeds[self.langs.indices.to_numpy()[self.row]])
         first = np.searchsorted(self.row, np.arange(len(self.at) - 1))
         self.own_left = table["own"].to_numpy()[self.row] - (np.arange(len(self.start)) - first[self.row])
         self.n = table["n"].to_numpy()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from seriesworks.session import cut_lineage
 
-from .arrow_text import LOWER, chunks, lean, mask_spans, span_hashes
+from .arrow_text import LOWER, chunks, kept_powers, lean, mask_spans, span_hashes
 
 #: Groups of letters, and words of a block that are compared at a time.
 GROUPS, TILE, ROWS = 12, 4096, 512
@@ -66,7 +66,7 @@ def noisy_words(raw: np.ndarray, at: np.ndarray, ids: list[bytes], noise: int =
     start, end, row = letter_runs(low, at)
     if not len(start):
         return [], np.zeros(0, np.int64)
-    _, first, word = np.unique(span_hashes(low, start, end), return_index=True, return_inverse=True)
+    _, first, word = np.unique(span_hashes(low, start, end, kept_powers), return_index=True, return_inverse=True)
     pair, times = np.unique(row * len(first) + word, return_counts=True)
     row, word = pair // len(first), pair % len(first)
     text = low.tobytes()

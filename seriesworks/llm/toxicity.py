@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow_text import LOWER, chunks, lean, mask_spans, span_hashes
+from .arrow_text import LOWER, chunks, kept_powers, lean, mask_spans, span_hashes
 
 #: Buckets of words and word beginnings, and the lengths in bytes of those beginnings.
 BITS, BEGINNINGS = 20, (4, 6, 8)
@@ -52,11 +52,11 @@ def sentences(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     sentence = np.cumsum(new) - 1
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    slots, owner = [span_hashes(low, start, end)], [sentence]
+    slots, owner = [span_hashes(low, start, end, kept_powers)], [sentence]
     for size in BEGINNINGS:
         longer = end - start > size
         # a beginning is another input than the whole word with the same letters
-        slots.append(span_hashes(low, start[longer], start[longer] + size) * np.uint64(3) + np.uint64(size))
+        slots.append(span_hashes(low, start[longer], start[longer] + size, kept_powers) * np.uint64(3) + np.uint64(size))
         owner.append(sentence[longer])
     slot = (np.concatenate(slots) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
     pair = np.unique((np.concatenate(owner).astype(np.uint64) << np.uint64(BITS)) | slot)
