@@ -991,6 +991,43 @@ def oracles() -> dict[str, str]:
             "FROM long_samples WHERE NOT is_current GROUP BY feature",
             "long_samples",
         ),
+        "sales_first_rows": _sql(
+            f"SELECT {_SALES_COLUMNS} FROM sales WHERE gcode = 'Brand#2' ORDER BY create_dt, "
+            + ", ".join(c.strip() for c in _SALES_COLUMNS.split(",") if c.strip() != "create_dt")
+            + " LIMIT 200",
+            "sales",
+        ),
+        "sales_date_parts": _sql(
+            "SELECT part, CAST(count(create_dt) AS BIGINT) AS rows FROM ("
+            "SELECT 'part_' || i AS part, CAST(DATE '1995-01-01' + CAST(1826 * i // 7 AS INTEGER) AS DATE) AS a, "
+            "CAST(DATE '1995-01-01' + CAST(1826 * (i + 1) // 7 AS INTEGER) AS DATE) AS b FROM (SELECT unnest(range(0, 7)) AS i)"
+            ") LEFT JOIN sales ON create_dt >= a AND create_dt < b GROUP BY part",
+            "sales",
+        ),
+        "table_sink": _sql(f"SELECT drug_id, hospital_id, date, {_r('sales_quantity', 'sales_quantity')} FROM nation_daily", "nation_daily"),
+        "expected_columns": _sql(
+            "SELECT 'gcode' AS column_name, true AS present, '' AS suggestions, count(gcode) AS non_null FROM sales "
+            "UNION ALL SELECT 'cust_name', true, '', count(cust_name) FROM sales "
+            "UNION ALL SELECT 'price', false, 'invoice_price', NULL UNION ALL SELECT 'CREATE_DT', false, 'create_dt', NULL "
+            "UNION ALL SELECT 'nothing', false, '', NULL",
+            "sales",
+        ),
+        "described_table": _sql(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS column_name, '{t}' AS data_type, false AS is_partition, count(DISTINCT {c}) AS distinct_values FROM sales"
+                for c, t in (("gcode", "string"), ("create_dt", "date"), ("qty", "double"), ("cust_name", "string"))
+            ),
+            "sales",
+        ),
+        "run_log": _sql(
+            " UNION ALL ".join(
+                f"SELECT 'lag_{n}' AS run, metric, {_r('value', 'value', 4)}, '{{\"lag\": {n}}}' AS params FROM ("
+                f"UNPIVOT (SELECT rmse, mae, r2 FROM (SELECT {_METRICS} FROM (SELECT sales_quantity AS actual, lag_{n} AS predicted FROM lags WHERE lag_{n} IS NOT NULL))) "
+                "ON rmse, mae, r2 INTO NAME metric VALUE value)"
+                for n in (1, 7)
+            ),
+            "lags",
+        ),
         "boosting_first_split": _boosting_first_split(),
         "ordered_encoding": _ordered_encoding(),
         "trend_intervals": _trend_intervals(),

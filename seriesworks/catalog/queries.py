@@ -24,13 +24,14 @@ from seriesworks.operators import (
     panel,
     prep,
     profile,
+    sketches,
     splits,
     store,
     training,
 )
 from seriesworks.plans import jobs
 from seriesworks.session import application_folder, cut_lineage
-from seriesworks.sources import retail, sinks, tables
+from seriesworks.sources import jdbc, retail, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +116,73 @@ def sales_scan(spark, sf_dir):
     return tables.scan_sales(sales, start="1996-01-01", end="1998-12-31", columns=retail.SALES_VIEW_COLUMNS)
 
 
+@query
+def sales_first_rows(spark, sf_dir):
+    """The earliest rows of one product, in order."""
+    sales = retail.sales(spark, sf_dir)
+    return tables.scan_sales(sales, "Brand#2", columns=retail.SALES_VIEW_COLUMNS, ordered=True, limit=200)
+
+
+@query
+def sales_date_parts(spark, sf_dir):
+    """Rows behind each predicate of a partitioned JDBC read: together the whole range, once."""
+    sales = retail.sales(spark, sf_dir)
+    parts = jdbc.date_predicates("create_dt", Date(1995, 1, 1), Date(1999, 12, 31), 7)
+    counts = sales.agg(*[F.count_if(F.expr(p)).alias(f"part_{i}") for i, p in enumerate(parts)])
+    return counts.unpivot([], [f"part_{i}" for i in range(len(parts))], "part", "rows")
+
+
+@query
+def table_sink(spark, sf_dir):
+    """Daily totals written to a catalog table, replaced, and read back."""
+    name = f"seriesworks_{uuid.uuid4().hex}"
+    daily = _daily(spark, sf_dir, "nation")
+    sinks.write_table(daily.limit(0), name)
+    sinks.write_table(daily, name)
+    out = cut_lineage(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return tidy(out)
+
+
+@query
+def expected_columns(spark, sf_dir):
+    """Which expected columns the sales have, what looks like the missing ones, and how full they are."""
+    sales = retail.sales(spark, sf_dir).select(*retail.SALES_VIEW_COLUMNS)
+    checked = tables.check_columns(sales, ["gcode", "cust_name", "price", "CREATE_DT", "nothing"])
+    known = tables.column_report(sales).select("column_name", "non_null")
+    return checked.join(known, "column_name", "left").withColumn("suggestions", F.array_join("suggestions", ","))
+
+
+@query
+def described_table(spark, sf_dir):
+    """Columns of a view as the catalog has them, with their distinct values."""
+    name = f"sales_{uuid.uuid4().hex}"
+    sales = retail.sales(spark, sf_dir).select("gcode", "create_dt", "qty", "cust_name")
+    sales.createOrReplaceTempView(name)
+    described = tables.describe_table(spark, name).select("column_name", "data_type", "is_partition")
+    spark.catalog.dropTempView(name)
+    counts = sales.agg(*[F.count_distinct(c).alias(c) for c in sales.columns]).unpivot([], sales.columns, "column_name", "distinct_values")
+    return described.join(counts, "column_name")
+
+
+@query
+def run_log(spark, sf_dir):
+    """Metrics of two naive forecasts, appended to a run table and read back."""
+    path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
+    for lag in (1, 7):
+        found = metrics.forecast_metrics(_predictions(spark, sf_dir, lag)).select("rmse", "mae", "r2")
+        models.log_run(found.unpivot([], ["rmse", "mae", "r2"], "metric", "value"), path, f"lag_{lag}", {"lag": lag})
+    return tidy(spark.read.parquet(path), 4)
+
+
+@query
+def sketch_drift(spark, sf_dir):
+    """Events of the month's halves, compared by sketches kept per day; rows-only check, the exact way is ks_drift."""
+    baseline, current = _samples(spark, sf_dir)
+    kept = [sketches.sketch_features(half, ["value", "hour", "k"], by=["hour"]) for half in (baseline, current)]
+    return sketches.sketch_drift(*[sketches.merge_sketches(k) for k in kept])
+
+
 @query
 def sales_one_series(spark, sf_dir):
     sales = retail.sales(spark, sf_dir)
@@ -1086,6 +1154,16 @@ def parameter_search(spark, sf_dir):
     return tidy(metrics.running_best(tried), 4)
 
 
+@query
+def halving_search(spark, sf_dir):
+    """Twenty trials over all six dimensions; the best third of a rung trains three times as long."""
+    matrix = cut_lineage(_model_matrix(spark, sf_dir))
+    path = f"{application_folder(spark)}/{uuid.uuid4().hex}"
+    trials = models.sample_params(20)
+    tried = models.search_halving(matrix, cols.feature_columns(matrix), trials, path, rungs=(1, 3, 9))
+    return tidy(tried.select("rung", "trial", "rounds", "params", "score"), 4)
+
+
 @query
 def daily_run(spark, sf_dir):
     found = jobs.daily_run(retail.sales(spark, sf_dir), AS_OF)

@@ -7,7 +7,9 @@ import json
 import math
 import random
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesworks import config
-from seriesworks.operators.boosting import BoostedTrees
+from seriesworks.operators.boosting import BoostedTrees, fit_trees
 from seriesworks.operators.metrics import METRICS, forecast_metrics
 from seriesworks.session import cut_lineage
 
@@ -189,6 +191,69 @@ def search(
     return df.sparkSession.createDataFrame(rows, "trial int, params string, score double")
 
 
+def search_halving(
+    df: DataFrame,
+    features: Sequence[str],
+    trials: Sequence[dict],
+    path: str,
+    rungs: Sequence[int] = (8, 32, 128),
+    keep: float = 1 / 3,
+    target: str = config.TARGET,
+    metric: str = "rmse",
+    fit: Callable = fit_trees,
+    split: str = "split",
+    at_once: int = 4,
+    **fixed,
+) -> DataFrame:
+    """Successive halving: (rung, trial, params, rounds, score), one row per fit.
+
+    All trials train for the first rung's rounds; the best ``keep`` of them, by their
+    error on the valid rows, go on to the next rung's, and so on.  Up to ``at_once`` fits
+    run at a time, each a distributed job in a pool of its own.  Every fit's result is
+    appended to the rung table at ``path`` when it is done: a search that was cut off
+    goes on where it ended, and a finished one gives the same rows without any fit.
+    Ties go to the earlier trial.
+    """
+    spark = df.sparkSession
+    valid = df.where(F.col(split) == "valid")
+    schema = "rung int, trial int, params string, rounds int, score double"
+
+    def known() -> dict[tuple[int, int], tuple[str, float]]:
+        rows = spark.read.schema(schema).parquet(path).collect()  # one row per fit
+        return {(r.rung, r.trial): (r.params, r.score) for r in rows}
+
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    done = known()
+
+    def run(job: tuple[int, int, int]) -> None:
+        rung, trial, rounds = job
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{trial}")
+        params = trials[trial]
+        model = fit(df, features, target, params=fixed | params | {"num_boost_round": rounds}, split=split)
+        score = float(forecast_metrics(predict(model, valid, target)).first()[metric])
+        row = [(rung, trial, json.dumps(params), rounds, score)]
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(path)
+
+    alive = list(range(len(trials)))
+    for rung, rounds in enumerate(rungs):
+        changed = [t for t in alive if (rung, t) in done and done[rung, t][0] != json.dumps(trials[t])]
+        if changed:
+            raise ValueError(f"the rung table at {path} is of other trials")
+        with ThreadPoolExecutor(at_once) as pool:
+            jobs = [pool.submit(inheritable_thread_target(spark)(run), (rung, t, rounds)) for t in alive if (rung, t) not in done]
+            for job in jobs:
+                job.result()
+        done = known()
+        alive.sort(key=lambda t: (done[rung, t][1], t))
+        alive = sorted(alive[: max(1, math.ceil(len(alive) * keep))])
+    return spark.read.schema(schema).parquet(path)
+
+
+def halving_winner(rungs: DataFrame) -> dict:
+    """Parameters of the best trial of the last rung; the earlier one on ties."""
+    return json.loads(rungs.orderBy(F.col("rung").desc(), "score", "trial").first().params)
+
+
 def best_params(trials: DataFrame, minimize: bool = True) -> dict:
     """Parameters of the best trial; the earlier one on ties."""
     order = F.col("score").asc() if minimize else F.col("score").desc()

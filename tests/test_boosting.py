@@ -190,3 +190,29 @@ def test_intervals_hold_their_share(spark, make_panel):
     assert 0.7 < share < 0.95 and scored.where("lower >= predicted OR upper <= predicted").count() == 0
     wide = found.groupBy("drug_id").agg(F.max_by(F.col("upper") - F.col("lower"), "date").alias("w"), F.min_by(F.col("upper") - F.col("lower"), "date").alias("v"))
     assert wide.where("w < v").count() == 0
+
+
+def test_halving_keeps_the_best_and_resumes(spark, table, tmp_path):
+    path, calls = str(tmp_path / "rungs"), []
+    trials = [{"learning_rate": r, "num_leaves": n} for r in (0.01, 0.2, 0.5) for n in (2, 8)]
+
+    def fit(df, names, target, params, split):
+        calls.append((params["learning_rate"], params["num_boost_round"]))
+        if len(calls) == 5 and not fit.resumed:
+            raise RuntimeError("driver lost")
+        return boosting.fit_trees(df, names, target, PLAIN | params, split=split)
+
+    fit.resumed = False
+    with pytest.raises(RuntimeError):
+        models.search_halving(table, ["a", "b"], trials, path, rungs=(1, 4), keep=0.4, fit=fit, at_once=1)
+    fit.resumed = True
+    tried = models.search_halving(table, ["a", "b"], trials, path, rungs=(1, 4), keep=0.4, fit=fit, at_once=2)
+    rows = tried.orderBy("rung", "trial").collect()
+    assert [(r.rung, r.rounds) for r in rows] == [(0, 1)] * 6 + [(1, 4)] * 3
+    best = sorted(rows[:6], key=lambda r: (r.score, r.trial))[:3]
+    assert {r.trial for r in rows[6:]} == {r.trial for r in best}
+    done = len(calls)
+    again = models.search_halving(table, ["a", "b"], trials, path, rungs=(1, 4), keep=0.4, fit=fit)
+    assert len(calls) == done <= 11 and models.halving_winner(again) == models.halving_winner(tried)
+    with pytest.raises(ValueError):
+        models.search_halving(table, ["a", "b"], trials[::-1], path, rungs=(1, 4), fit=fit)
