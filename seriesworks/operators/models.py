@@ -210,19 +210,21 @@ def search_halving(
     All trials train for the first rung's rounds; the best ``keep`` of them, by their
     error on the valid rows, go on to the next rung's, and so on.  Up to ``at_once`` fits
     run at a time, each a distributed job in a pool of its own.  Every fit's result is
-    appended to the rung table at ``path`` when it is done: a search that was cut off
-    goes on where it ended, and a finished one gives the same rows without any fit.
-    Ties go to the earlier trial.
+    written to its own part of the rung table at ``path`` when it is done: a search that
+    was cut off goes on where it ended, and a finished one gives the same rows without
+    any fit.  Ties go to the earlier trial.
     """
     spark = df.sparkSession
     valid = df.where(F.col(split) == "valid")
-    schema = "rung int, trial int, params string, rounds int, score double"
+    result = "params string, rounds int, score double"
+    schema = f"{result}, rung int, trial int"
 
     def known() -> dict[tuple[int, int], tuple[str, float]]:
         rows = spark.read.schema(schema).parquet(path).collect()  # one row per fit
         return {(r.rung, r.trial): (r.params, r.score) for r in rows}
 
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    # an empty part, so that there is a table to read from the start
+    spark.createDataFrame([], result).write.mode("overwrite").parquet(f"{path}/rung=-1/trial=-1")
     done = known()
 
     def run(job: tuple[int, int, int]) -> None:
@@ -231,8 +233,8 @@ def search_halving(
         params = trials[trial]
         model = fit(df, features, target, params=fixed | params | {"num_boost_round": rounds}, split=split)
         score = float(forecast_metrics(predict(model, valid, target)).first()[metric])
-        row = [(rung, trial, json.dumps(params), rounds, score)]
-        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(path)
+        row = spark.createDataFrame([(json.dumps(params), rounds, score)], result)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{path}/rung={rung}/trial={trial}")
 
     alive = list(range(len(trials)))
     for rung, rounds in enumerate(rungs):
@@ -246,7 +248,7 @@ def search_halving(
         done = known()
         alive.sort(key=lambda t: (done[rung, t][1], t))
         alive = sorted(alive[: max(1, math.ceil(len(alive) * keep))])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select("rung", "trial", "params", "rounds", "score")
 
 
 def halving_winner(rungs: DataFrame) -> dict:
