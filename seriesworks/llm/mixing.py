@@ -58,14 +58,20 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float =
     return out
 
 
+def _half_bits(n: np.ndarray) -> np.ndarray:
+    """Half the bits that the Feistel network for 0..n-1 works on."""
+    bits = np.maximum(1, np.ceil(np.log2(np.maximum(n, 2)) / 2)).astype(np.uint64)
+    while np.any(small := (np.uint64(1) << (2 * bits)) < n.astype(np.uint64)):
+        bits = bits + small
+    return bits
+
+
 def permuted(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     """A pseudorandom permutation of 0..n-1 for each key, applied to ``k``.
 
     Four Feistel rounds on the next even number of bits; values beyond n go round again.
     """
-    bits = np.maximum(1, np.ceil(np.log2(np.maximum(n, 2)) / 2)).astype(np.uint64)
-    while np.any(small := (np.uint64(1) << (2 * bits)) < n.astype(np.uint64)):
-        bits = bits + small
+    bits = _half_bits(n)
     low = (np.uint64(1) << bits) - np.uint64(1)
     out, todo = k.astype(np.uint64), np.arange(len(k))
     while len(todo):
@@ -78,6 +84,22 @@ def permuted(k: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def place_of(block: int, blocks: int, key: int) -> int:
+    """The k that ``permuted`` takes to ``block``: the rounds backwards, whatever the number of blocks."""
+    one = np.array([blocks])
+    bits = _half_bits(one)
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    out = np.array([block], np.uint64)
+    while True:
+        left, right = out >> bits, out & low
+        for r in range(4, 0, -1):
+            spin = mixed(left + mixed(np.array([key]).astype(np.uint64) * np.uint64(8) + np.uint64(r)))
+            left, right = right ^ (spin & low), left
+        out = (left << bits) | right
+        if out[0] < blocks:
+            return int(out[0])
+
+
 def plan_slots(source: Source, length: int, seed: int) -> None:
     """How many slots reach the target, and how many words the last of them takes.
 
@@ -94,11 +116,7 @@ def plan_slots(source: Source, length: int, seed: int) -> None:
         source.slots, source.last = rounds * blocks, length
         return
     tail = source.size - (blocks - 1) * length
-    order = np.arange(blocks) if blocks <= 1 << 16 else None
-    if order is not None:
-        at = int(np.flatnonzero(permuted(order, np.full(blocks, blocks), np.full(blocks, seed)) == blocks - 1)[0])
-    else:
-        at = _place_of(blocks - 1, blocks, seed)
+    at = place_of(blocks - 1, blocks, seed)
     full = -(-rest // length)
     if at >= full:  # the short block comes later
         source.slots, source.last = rounds * blocks + full, rest - (full - 1) * length
@@ -109,16 +127,6 @@ def plan_slots(source: Source, length: int, seed: int) -> None:
         source.slots, source.last = rounds * blocks + used, taken
 
 
-def _place_of(block: int, blocks: int, seed: int) -> int:
-    """Where the permutation puts ``block``, found in slices of the block numbers."""
-    for lo in range(0, blocks, 1 << 20):
-        part = np.arange(lo, min(blocks, lo + (1 << 20)))
-        found = np.flatnonzero(permuted(part, np.full(len(part), blocks), np.full(len(part), seed)) == block)
-        if len(found):
-            return lo + int(found[0])
-    raise AssertionError("a permutation takes every value")
-
-
 def draw(slots: list[int], shards: int, seed: int) -> np.ndarray:
     """Slots of each source in each shard.
 
@@ -150,8 +158,8 @@ def positioned(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, source, text_hash, size, start): where each document starts among its source's words.
 
     Documents are dealt into groups by a hash of the id, as many as their source has
-    ``GROUP_ROWS`` rows; a group's start is the sum of its source's groups before it.
-    Null texts have no words.
+    ``GROUP_ROWS`` rows; a group's start is the sum of its source's groups before it, added
+    up first over ranges of ``GROUP_ROWS`` groups, then inside each range.  Null texts have no words.
     """
     kept = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"), F.size(word_array(F.col(text))).cast("long").alias("size"))
     sized = cut_lineage(kept)
@@ -159,11 +167,18 @@ def positioned(docs: DataFrame, text: str = "text") -> DataFrame:
     counted = sized.join(F.broadcast(groups), sized["source"].eqNullSafe(F.col("__sw_source"))).drop("__sw_source")  # a row per source
     sized = counted.withColumn("__sw_group", F.pmod(F.xxhash64("doc_id", "text_hash"), "__sw_groups")).drop("__sw_groups")
     inside = Window.partitionBy("source", "__sw_group").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy("source").orderBy("__sw_group").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = (
-        sized.groupBy("source", "__sw_group").agg(F.sum("size").alias("__sw_words"))
-        .withColumn("__sw_first", F.coalesce(F.sum("__sw_words").over(before), F.lit(0)))
-        .select(F.col("source").alias("__sw_source"), F.col("__sw_group").alias("__sw_g"), "__sw_first")
+    span = F.expr(f"__sw_group div {GROUP_ROWS}").alias("__sw_range")
+    words = sized.groupBy("source", span, "__sw_group").agg(F.sum("size").alias("__sw_words"))
+    earlier = Window.partitionBy("source").orderBy("__sw_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (  # a row for a million documents of a source
+        words.groupBy("source", "__sw_range").agg(F.sum("__sw_words").alias("__sw_all"))
+        .withColumn("__sw_base", F.coalesce(F.sum("__sw_all").over(earlier), F.lit(0)))
+        .select(F.col("source").alias("__sw_src"), F.col("__sw_range").alias("__sw_r"), "__sw_base")
+    )
+    before = Window.partitionBy("source", "__sw_range").orderBy("__sw_group").rowsBetween(Window.unboundedPreceding, -1)
+    within = words.withColumn("__sw_first", F.coalesce(F.sum("__sw_words").over(before), F.lit(0)))
+    firsts = within.join(ranges, within["source"].eqNullSafe(ranges["__sw_src"]) & (within["__sw_range"] == ranges["__sw_r"])).select(
+        F.col("source").alias("__sw_source"), F.col("__sw_group").alias("__sw_g"), (F.col("__sw_base") + F.col("__sw_first")).alias("__sw_first")
     )
     placed = sized.withColumn("__sw_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     same = placed["source"].eqNullSafe(firsts["__sw_source"]) & (placed["__sw_group"] == firsts["__sw_g"])

@@ -64,3 +64,13 @@ def test_odd_rows_and_empty_table(spark):
     assert len(out) == 10 and out.loc[out["doc_id"] == 1, "taken"].tolist() == [0]
     documents, mixture = mixing.mix(empty_docs(spark))
     assert documents.count() == 0 and mixture.count() == 0 and mixing.taken_words(documents, mixture).count() == 0
+
+
+def test_the_place_of_a_block_is_found_backwards():
+    for blocks in (1, 2, 3, 5, 64, 1000, 4097):
+        for key in (0, 11, 1_000_014):
+            order = mixing.permuted(np.arange(blocks), np.full(blocks, blocks), np.full(blocks, key))
+            assert [mixing.place_of(b, blocks, key) for b in (0, blocks // 2, blocks - 1)] == [int(np.flatnonzero(order == b)[0]) for b in (0, blocks // 2, blocks - 1)]
+    huge = 2 * 10**10
+    at = mixing.place_of(huge - 1, huge, 3)
+    assert mixing.permuted(np.array([at]), np.array([huge]), np.array([3]))[0] == huge - 1
