@@ -224,7 +224,7 @@ def search_halving(
         return {(r.rung, r.trial): (r.params, r.score) for r in rows}
 
     # an empty part, so that there is a table to read from the start
-    spark.createDataFrame([], result).write.mode("overwrite").parquet(f"{path}/rung=-1/trial=-1")
+    spark.createDataFrame([], result).write.mode("ignore").parquet(f"{path}/rung=-1/trial=-1")
     done = known()
 
     def run(job: tuple[int, int, int]) -> None:
