@@ -394,6 +394,40 @@ def _boosting_first_split() -> str:
     return _sql(body, "daily", extra=extra)
 
 
+def _series_first_splits() -> str:
+    features = {"month": "month(date)", "day": "day(date)", "dayofweek": "isodow(date) - 1"}
+    keys = "drug_id, hospital_id"
+    long = " UNION ALL ".join(
+        f"SELECT {keys}, {i} AS pos, '{name}' AS feature, CAST({x} AS DOUBLE) AS x, g FROM train" for i, (name, x) in enumerate(features.items())
+    )
+
+    def shrunk(g):
+        return f"greatest(abs({g}) - 5, 0)"
+
+    def value(g, n):
+        return f"sign({g}) * {shrunk(g)} / ({n} + 3)"
+
+    def gain(g, n):
+        return f"{shrunk(g)} * {shrunk(g)} / ({n} + 3)"
+
+    extra = f"""{_CALENDAR_SPLIT},
+    train AS (SELECT {keys}, date, sales_quantity - avg(sales_quantity) OVER (PARTITION BY {keys}) AS g FROM rows_split WHERE split = 'train'),
+    total AS (SELECT {keys}, sum(g) AS tg, count(*) AS tn FROM train GROUP BY {keys}),
+    binned AS (SELECT {keys}, pos, feature, x, sum(g) AS g, count(*) AS n FROM ({long}) GROUP BY ALL),
+    upto AS (SELECT {keys}, pos, feature, x, sum(g) OVER w AS lg, sum(n) OVER w AS ln FROM binned
+             WINDOW w AS (PARTITION BY {keys}, feature ORDER BY x)),
+    best AS (SELECT *, tg - lg AS rg, tn - ln AS rn, {gain("lg", "ln")} + {gain("(tg - lg)", "(tn - ln)")} - {gain("tg", "tn")} AS gain
+             FROM upto JOIN total USING ({keys}) WHERE ln >= 20 AND tn - ln >= 20
+             QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY gain DESC, pos, x) = 1),
+    split AS (SELECT * FROM best WHERE gain > 1e-9)"""
+    no = "CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS threshold, CAST(NULL AS DOUBLE) AS gain"
+    body = f"""
+    SELECT {keys}, 1 AS node, feature, {_r("x", "threshold", 4)}, {_r("gain", "gain", 4)}, CAST(NULL AS DOUBLE) AS value, CAST(tn AS BIGINT) AS rows FROM split
+    UNION ALL SELECT {keys}, 2, {no}, {_r(value("lg", "ln"), "value", 4)}, CAST(ln AS BIGINT) FROM split
+    UNION ALL SELECT {keys}, 3, {no}, {_r(value("rg", "rn"), "value", 4)}, CAST(rn AS BIGINT) FROM split"""
+    return _sql(body, "daily", extra=extra)
+
+
 def _ordered_encoding() -> str:
     def one(c):
         before = f"PARTITION BY {c} ORDER BY date RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING"
@@ -1029,6 +1063,7 @@ def oracles() -> dict[str, str]:
             "lags",
         ),
         "boosting_first_split": _boosting_first_split(),
+        "series_first_splits": _series_first_splits(),
         "ordered_encoding": _ordered_encoding(),
         "trend_intervals": _trend_intervals(),
         "ks_exact": _ks_exact(),

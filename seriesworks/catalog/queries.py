@@ -25,6 +25,7 @@ from seriesworks.operators import (
     prep,
     profile,
     sketches,
+    series_boosting,
     splits,
     store,
     training,
@@ -1070,6 +1071,25 @@ def boosting_first_split(spark, sf_dir):
     return tidy(dataclasses.replace(model, trees=model.grown).nodes(spark).drop("tree"), 4)
 
 
+@query
+def series_first_splits(spark, sf_dir):
+    """One tree with one split for each series, with both regularisations: the split must be the best of all."""
+    params = {
+        "num_boost_round": 1, "num_leaves": 2, "max_depth": 1, "learning_rate": 1.0, "lambda_l1": 5.0, "lambda_l2": 3.0,
+        "feature_fraction": 1.0, "bagging_freq": 0, "early_stopping_rounds": 0,
+    }
+    rows = _calendar_split(spark, sf_dir).where("split = 'train'")
+    model = series_boosting.fit_series_trees(rows, ["month", "day", "dayofweek"], TARGET, params)
+    return tidy(model.nodes.drop("tree"), 4)
+
+
+@query
+def batch_training_boosted(spark, sf_dir):
+    """Boosted trees, three levels deep, for every series until its own valid rows stop it."""
+    results, _ = jobs.batch_train_boosted(retail.sales(spark, sf_dir), QUICK_STEPS | {"max_depth": 3})
+    return tidy(results, 4)
+
+
 @query
 def ordered_encoding(spark, sf_dir):
     """Products as numbers: training rows see the mean of earlier days only."""

@@ -12,7 +12,7 @@ from seriesworks import config
 from seriesworks.functions.columns import add_forecast_errors, feature_columns, known, rename_series_columns
 from seriesworks.operators import features as feature_ops
 from seriesworks.operators import forecast as forecast_ops
-from seriesworks.operators import boosting, metrics, models, panel, prep, splits, training
+from seriesworks.operators import boosting, metrics, models, panel, prep, series_boosting, splits, training
 from seriesworks.operators.profile import point_status
 from seriesworks.session import cut_lineage
 from seriesworks.sources.tables import scan_sales
@@ -73,6 +73,20 @@ def predict_pooled(
     return errors, metrics.error_summary(errors)
 
 
+def _series_matrix(sales: DataFrame, min_points: int, start: str | None, end: str | None) -> tuple[DataFrame, DataFrame]:
+    """Status of every series, and the features of those with enough rows."""
+    rows = panel.between(series_rows(sales).na.drop(subset=list(KEYS)), DATE, start, end)
+    day, total = F.col(DATE).cast("date").alias(DATE), F.sum(known(rows, TARGET))
+    daily = cut_lineage(
+        rows.groupBy(*KEYS, day).agg(F.coalesce(total, F.lit(0)).alias(TARGET), F.count(F.lit(1)).alias("_rows"))
+    )
+    status = point_status(daily.groupBy(*KEYS).agg(F.sum("_rows").alias("data_points")), min_points)
+    ready = status.where(F.col("status") == "ready").select(*KEYS)
+    panel_rows = daily.drop("_rows").join(ready, list(KEYS), "left_semi")
+    dense = prep.treat_outliers(panel.densify(panel_rows))
+    return status, feature_ops.build_features(dense, exclude_current=True)
+
+
 def batch_train(
     sales: DataFrame,
     min_points: int = config.MIN_POINTS,
@@ -87,16 +101,7 @@ def batch_train(
     Rows with a NULL key belong to no series and are left out.  The sales table is read once: the daily panel, with its row counts, is written and
     feeds both the status rows and the features.  The models are written once too.
     """
-    rows = panel.between(series_rows(sales).na.drop(subset=list(KEYS)), DATE, start, end)
-    day, total = F.col(DATE).cast("date").alias(DATE), F.sum(known(rows, TARGET))
-    daily = cut_lineage(
-        rows.groupBy(*KEYS, day).agg(F.coalesce(total, F.lit(0)).alias(TARGET), F.count(F.lit(1)).alias("_rows"))
-    )
-    status = point_status(daily.groupBy(*KEYS).agg(F.sum("_rows").alias("data_points")), min_points)
-    ready = status.where(F.col("status") == "ready").select(*KEYS)
-    panel_rows = daily.drop("_rows").join(ready, list(KEYS), "left_semi")
-    dense = prep.treat_outliers(panel.densify(panel_rows))
-    matrix = feature_ops.build_features(dense, exclude_current=True)
+    status, matrix = _series_matrix(sales, min_points, start, end)
     names = model_features(matrix)
     trained = cut_lineage(
         training.train_series(matrix, names, test_size=test_size, min_rows=min_points // 2, fit=fit)
@@ -104,6 +109,37 @@ def batch_train(
     return training.batch_results(status, trained, model_path=model_path), trained
 
 
+def batch_train_boosted(
+    sales: DataFrame,
+    params: dict | None = None,
+    min_points: int = config.MIN_POINTS,
+    test_size: float = config.TEST_SIZE,
+    model_path: str | None = None,
+    start: str | None = None,
+    end: str | None = None,
+) -> tuple[DataFrame, series_boosting.SeriesTrees]:
+    """As :func:`batch_train`, with boosted trees for each series, all trained in the same passes.
+
+    Params are those of ``config.BOOSTING_PARAMS``.
+    """
+    status, matrix = _series_matrix(sales, min_points, start, end)
+    # the test rows are read again, so the features are written once
+    matrix = cut_lineage(splits.three_way_split(matrix, test_size))
+    sizes = matrix.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("feature_rows"))
+    enough = F.col("feature_rows") >= min_points // 2
+    ready = matrix.join(sizes.where(enough).select(*KEYS), list(KEYS), "left_semi")
+    model = series_boosting.fit_series_trees(ready, model_features(matrix), TARGET, params)
+    scored = models.predict(model, ready.where(F.col("split") == "test"))
+    measured = metrics.forecast_metrics(scored, list(KEYS)).select(*KEYS, "rmse", "mae", "mape", "r2")
+    has_model = F.coalesce("_model", F.lit(False))
+    short = F.concat(F.lit("not enough rows after features ("), F.col("feature_rows").cast("string"), F.lit(")"))
+    trained = sizes.join(measured, list(KEYS), "left").join(model.series.select(*KEYS, F.lit(True).alias("_model")), list(KEYS), "left").select(
+        *KEYS, F.when(has_model, "success").otherwise("failed").alias("status"), F.when(has_model, "trained").otherwise(short).alias("message"),
+        "feature_rows", "rmse", "mae", "mape", "r2",
+    )
+    return training.batch_results(status, trained, model_path=model_path), model
+
+
 def batch_predict(
     sales: DataFrame, trained: DataFrame, requests: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:
