@@ -776,6 +776,12 @@ def oracles() -> dict[str, str]:
         ),
         "model_file_names": "SELECT p_partkey, replace(substring(p_name || '/' || p_brand || '/' || p_type, 1, 20), '/', '_') AS file_name FROM part",
         "full_features": _sql("SELECT * FROM full_feats", "dense", extra=_FULL),
+        "increment_features": _sql(
+            "SELECT full_feats.* FROM full_feats LEFT JOIN known USING (drug_id, hospital_id) WHERE date > coalesce(until, DATE '0001-01-01')",
+            "dense", "daily",
+            extra=_FULL.replace(_CLIPPED, "clipped AS (SELECT * FROM dense)")
+            + ", known AS (SELECT drug_id, hospital_id, max(date) AS until FROM daily WHERE date < DATE '2000-01-01' GROUP BY ALL)",
+        ),
         "full_features_no_leak": _sql(
             "SELECT * FROM built WHERE sales_quantity_rolling_30_mean IS NOT NULL",
             "dense",

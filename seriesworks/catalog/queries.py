@@ -19,6 +19,7 @@ from seriesworks.operators import (
     encoding,
     features,
     forecast,
+    increments,
     metrics,
     models,
     panel,
@@ -565,6 +566,16 @@ def full_features(spark, sf_dir):
     return tidy(jobs.feature_matrix(retail.sales(spark, sf_dir)), 5)
 
 
+@query
+def increment_features(spark, sf_dir):
+    """Features of the days from 2000 on, from bucketed states of the days before."""
+    daily = _daily(spark, sf_dir)
+    name = f"states_{uuid.uuid4().hex}"
+    old = daily.where(F.col(DATE) < F.lit("2000-01-01").cast("date"))
+    sinks.write_bucketed(increments.series_state(old), name, KEYS, 8, path=f"{application_folder(spark)}/{name}")
+    return tidy(increments.new_features(spark.table(name), daily.where(F.col(DATE) >= F.lit("2000-01-01").cast("date"))), 5)
+
+
 @query
 def full_features_no_leak(spark, sf_dir):
     """Rolling, difference and expanding features that end on the row before."""
