@@ -1,8 +1,10 @@
 """Language-model scoring: prediction by partial matching, with a word model beside it.
 
-The byte model is a table of all grams, learned from all training rows (module ``ppm``);
-it grows with the input.  The most frequent ones, at most ``HELD``, are looked up while
-the texts are read; the others of a document go through an equi-join with the table.
+The byte model has all grams of all training rows (module ``ppm``) and grows with the
+input.  Documents are read in blocks; a block sends its distinct grams, with their
+training counts, to the buckets of their contexts, gets their log probabilities back
+and adds them up for each of its texts.  Rows sent are blocks times buckets, both in
+proportion to the input: 16 MB of text a bucket, some MB of it a block.
 The word model counts all training words.  Words that hold at least ``FREQUENT`` of
 the training tokens, of which there are at most ``1 / FREQUENT``, are looked up while
 the texts are read; the rarer words of a document go through an equi-join with the
@@ -17,14 +19,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from ..session import cut_lineage
 from . import ppm
-from .arrow_text import LOWER, chunks, lean, span_hashes, word_spans
-
-#: Longest context in bytes; grams that are looked up without a join, which changes no result.
-DEPTH, HELD = 6, 1 << 20
+from .arrow_text import CHUNK, LOWER, chunks, lean, span_hashes, word_spans
+from .packing import pack, unpack
+
+#: Longest context in bytes; distinct grams and bytes of text that end a block, which changes no result.
+DEPTH, HELD, BLOCK = 6, 1 << 21, 1 << 23
+#: Bytes of text for each bucket of grams, and the least number of buckets.
+BUCKET, BUCKETS = 1 << 24, 32
+#: The bucket number of a block's own texts.
+TEXTS = -1
 FREQUENT = 2.0**-20
 
 
@@ -69,16 +76,60 @@ def per_row(keys: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, n
     return keys[cut], np.diff(np.append(cut, len(keys))), np.bincount(row[cut], minlength=rows)
 
 
-def often_held(table: DataFrame, held: int) -> DataFrame:
-    """The rows with the largest ``m``, from a power of two on, as many as fit into ``held``."""
-    power = F.floor(F.log2("m")).cast("int")
-    least = 64
-    for r in table.groupBy(power.alias("power")).count().orderBy(F.desc("power")).collect():  # one row a power of two
-        held -= r["count"]
-        if held < 0:
-            break
-        least = r["power"]
-    return table.filter(power >= least)
+class Block:
+    """Documents of a task whose grams are sent together."""
+
+    def __init__(self, depth: int):
+        self.depth, self.rows, self.sizes, self.raw, self.grams = depth, [], [], [], []
+
+    def add(self, rows: np.ndarray, learns: np.ndarray, raw: np.ndarray, at: np.ndarray) -> None:
+        """``raw`` is lower-cased."""
+        keys, offsets = ppm.gram_keys(raw, at, self.depth)
+        keys, trained = ppm.reversed_contexts(keys), np.repeat(learns, np.diff(offsets))
+        found, n = np.unique(keys[trained], return_counts=True)
+        self.grams.append((found, n))
+        found = np.unique(keys[~trained])
+        self.grams.append((found, np.zeros(len(found), np.int64)))
+        if len(self.grams) >= 16 and sum(len(k) for k, _ in self.grams[1:]) > max(1 << 19, len(self.grams[0][0])):
+            self.grams = [ppm.merged(self.grams)]
+        self.rows.append(rows)
+        self.sizes.append(np.diff(at))
+        self.raw.append(raw)
+
+    def full(self, held: int) -> bool:
+        return len(self.grams[0][0]) > held or sum(len(r) for r in self.raw) > BLOCK
+
+    def packets(self, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """(bucket, keys, counts), and the texts as bucket ``TEXTS``: their bytes, their rows and sizes."""
+        yield from ppm.block_packets(*ppm.merged(self.grams), buckets)
+        shape = np.concatenate([*self.rows, *self.sizes]).astype(np.int64)
+        yield TEXTS, pack(np.concatenate(self.raw)), pack(shape)
+
+
+def block_scores(packets: DataFrame, logs: DataFrame, buckets: int, depth: int) -> DataFrame:
+    """(__sw_row, __sw_logs): natural log probability of each text, from its block's grams."""
+
+    def added(group: pa.Table) -> pa.Table:
+        numbers = group["bucket"].to_numpy()
+        texts = int(np.flatnonzero(numbers == TEXTS)[0])
+        raw = unpack(group["data"][texts].as_py(), np.uint8)
+        rows, sizes = unpack(group["shape"][texts].as_py(), np.int64).reshape(2, -1)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        keys, offsets = ppm.gram_keys(raw, at, depth)
+        keys = ppm.reversed_contexts(keys)
+        held = np.unique(keys)
+        bucket = ppm.bucket_of(held, buckets)
+        held = held[np.argsort(bucket, kind="stable")]
+        order = [i for i in np.argsort(numbers, kind="stable") if i != texts]
+        log = np.concatenate([unpack(group["data"][int(i)].as_py(), np.float32) for i in order])
+        table, out = ppm.Lookup(held), np.zeros(len(keys))
+        for lo in range(0, len(keys), CHUNK):
+            out[lo : lo + CHUNK] = log[table.find(keys[lo : lo + CHUNK])]
+        return pa.table({"__sw_row": rows, "__sw_logs": np.add.reduceat(out, offsets[:-1])})
+
+    texts = packets.filter(F.col("bucket") == TEXTS).select("block", "bucket", F.col("keys").alias("data"), F.col("counts").alias("shape"))
+    back = logs.select("block", "bucket", F.col("logs").alias("data"), F.lit(None).cast("binary").alias("shape"))
+    return texts.unionByName(back).groupBy("block").applyInArrow(added, "__sw_row long, __sw_logs double")
 
 
 def score(
@@ -96,63 +147,79 @@ def score(
     columns replace columns of the same names.
     """
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    spark = docs.sparkSession
+    spark, body = docs.sparkSession, F.coalesce(F.col(text), F.lit(""))
     learned = docs.filter(training).select(F.col(text).alias("__sw_text"))
-    table, ends = ppm.log_probabilities(ppm.grams(docs, depth, training, text), depth)
-    grams = often_held(table, held).toArrow()  # at most ``held`` rows
+    volume = docs.agg(F.sum(F.octet_length(body).cast("long")).alias("n"), F.count(F.when(training, 1)).alias("ends")).first()
+    ends, buckets = volume["ends"], max(BUCKETS, (volume["n"] or 0) // BUCKET)
     counts = cut_lineage(word_counts(learned, "__sw_text"))
     words, kinds = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens = (words or 0) + ends
     kinds += ends > 0
     often = counts.filter(F.col("n") >= frequent * tokens).toArrow()  # at most 1 / frequent rows
-    model = spark.sparkContext.broadcast((
-        grams["g"].to_numpy().view(np.uint64), grams["log"].to_numpy(), often["word"].to_numpy().view(np.uint64), often["n"].to_numpy(), float(tokens + kinds + 1),
-    ))
+    model = spark.sparkContext.broadcast((often["word"].to_numpy().view(np.uint64), often["n"].to_numpy(), float(tokens + kinds + 1)))
     end_score = float(np.log10((ends + 1) / (tokens + kinds + 1)))
     kept = [c for c in docs.columns if c not in (text, *results)]
 
+    plain = docs.select(
+        *kept, body.alias("__sw_text"), F.coalesce(training, F.lit(False)).alias("__sw_learns"), F.monotonically_increasing_id().alias("__sw_row")
+    )
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.select(*kept).schema.fields])
+    for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double")):
+        schema = schema.add(name, kind)
+    schema = schema.add("__sw_words", ArrayType(LongType())).add("__sw_times", ArrayType(IntegerType()))
+    for name, kind in (("__sw_block", "long"), ("__sw_bucket", "integer"), ("__sw_keys", "binary"), ("__sw_counts", "binary")):
+        schema = schema.add(name, kind)
+    names = schema.names
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, gram_log, keys, n, whole = model.value
-        held_grams, table = ppm.Lookup(gram), ppm.Lookup(keys)
+        """A row for each document, and rows with the packets of each block."""
+        keys, n, whole = model.value
+        table = ppm.Lookup(keys)
         cost = np.log10((n + 1) / whole)
+        block, types = Block(depth), []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            number = int(block.rows[0][0])
+            packets = [(number, *p) for p in block.packets(buckets)]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*packets, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(packets), t) for t in types[:-4]), *columns], names=names)
+
         for b in batches:
             size = b.num_rows
-            own, known, base, logs = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
-            lists: list[list] = [[], []]
-            sizes = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
+            own, known, base = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size)
+            rare_words, sizes = [], np.zeros(size, np.int64)
+            numbers, learns = b["__sw_row"].to_numpy(), b["__sw_learns"].to_numpy(zero_copy_only=False)
             for lo, hi, raw, at in chunks(b["__sw_text"]):
-                grams, offsets = ppm.gram_keys(LOWER[raw], at, depth)
-                place = held_grams.find(grams)
-                row = np.repeat(np.arange(hi - lo), np.diff(offsets))
-                found = place >= 0
-                logs[lo:hi] = np.bincount(row[found], gram_log[place[found]], minlength=hi - lo)
-                *rare, sizes[0][lo:hi] = per_row(grams[~found], row[~found], hi - lo)
-                lists[0].append(rare)
                 hashes, row = word_hashes(raw, at)
                 place = table.find(hashes)
                 found = place >= 0
                 own[lo:hi] = np.bincount(row, minlength=hi - lo)
                 known[lo:hi] = np.bincount(row[found], minlength=hi - lo)
                 base[lo:hi] = np.bincount(row[found], cost[place[found]], minlength=hi - lo)
-                *rare, sizes[1][lo:hi] = per_row(hashes[~found], row[~found], hi - lo)
-                lists[1].append(rare)
-            arrays = []
-            for rare, n_rare in zip(lists, sizes, strict=True):
-                edges = pa.array(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32))
-                for part, kind in (([k.view(np.int64) for k, _ in rare], pa.int64()), ([t for _, t in rare], pa.int32())):
-                    arrays.append(pa.ListArray.from_arrays(edges, pa.array(np.concatenate(part) if part else np.zeros(0), kind)))
-            yield pa.RecordBatch.from_arrays(
-                [*(b[c] for c in kept), b["__sw_row"], pa.array(own + 1), pa.array(known), pa.array(base), pa.array(logs), *arrays],
-                names=[*kept, "__sw_row", "n_tokens", "__sw_known", "__sw_base", "__sw_logs", "__sw_grams", "__sw_gram_times", "__sw_words", "__sw_times"],
-            )
-
-    plain = docs.select(*kept, F.col(text).alias("__sw_text"), F.monotonically_increasing_id().alias("__sw_row"))
-    schema = docs.select(*kept).schema
-    for name, kind in (("__sw_row", "long"), ("n_tokens", "long"), ("__sw_known", "long"), ("__sw_base", "double"), ("__sw_logs", "double")):
-        schema = schema.add(name, kind)
-    schema = schema.add("__sw_grams", ArrayType(LongType())).add("__sw_gram_times", ArrayType(IntegerType()))
-    schema = schema.add("__sw_words", ArrayType(LongType())).add("__sw_times", ArrayType(IntegerType()))
-    scored = cut_lineage(plain.mapInArrow(lean(read), schema))
+                *rare, sizes[lo:hi] = per_row(hashes[~found], row[~found], hi - lo)
+                rare_words.append(rare)
+                block.add(numbers[lo:hi], learns[lo:hi], LOWER[raw], at)
+                if block.full(held):
+                    types = types or _types(b, kept)
+                    yield from sent()
+                    block = Block(depth)
+            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = [
+                pa.ListArray.from_arrays(edges, pa.array(np.concatenate(part) if part else np.zeros(0), kind))
+                for part, kind in (([k.view(np.int64) for k, _ in rare_words], pa.int64()), ([t for _, t in rare_words], pa.int32()))
+            ]
+            types = types or _types(b, kept)
+            columns = [*(b[c] for c in kept), b["__sw_row"], pa.array(own + 1), pa.array(known), pa.array(base), *lists]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(size, t) for t in types[-4:])], names=names)
+        if block.rows:
+            yield from sent()
+
+    both = cut_lineage(plain.mapInArrow(lean(read), schema))
+    scored = both.filter("__sw_block IS NULL")
+    packets = both.filter("__sw_block IS NOT NULL").select(
+        F.col("__sw_block").alias("block"), F.col("__sw_bucket").alias("bucket"), F.col("__sw_keys").alias("keys"), F.col("__sw_counts").alias("counts")
+    )
+    logs = block_scores(packets, ppm.packet_logs(packets, depth), buckets, depth)
     rare = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_words", "__sw_times")).alias("w")).select(
         "__sw_row", F.col("w.__sw_words").alias("word"), F.col("w.__sw_times").alias("times")
     )
@@ -160,15 +227,17 @@ def score(
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tokens + kinds + 1)))).alias("__sw_rare"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("__sw_rare_known"),
     )
-    rare_grams = scored.select("__sw_row", F.explode(F.arrays_zip("__sw_grams", "__sw_gram_times")).alias("w")).select(
-        "__sw_row", F.col("w.__sw_grams").alias("g"), F.col("w.__sw_gram_times").alias("times")
-    )
-    rare_logs = rare_grams.join(table.select("g", "log"), "g").groupBy("__sw_row").agg(F.sum(F.col("times") * F.col("log")).alias("__sw_rare_logs"))
-    return scored.join(costs, "__sw_row", "left").join(rare_logs, "__sw_row", "left").select(
+    return scored.join(costs, "__sw_row", "left").join(logs, "__sw_row", "left").select(
         *kept,
         "n_tokens",
         (F.col("__sw_known") + F.coalesce("__sw_rare_known", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("__sw_base") + F.coalesce("__sw_rare", F.lit(0.0)) + end_score).alias("base_score"),
-        ((F.col("__sw_logs") + F.coalesce("__sw_rare_logs", F.lit(0.0))) / float(np.log(10))).alias("score"),
+        (F.col("__sw_logs") / float(np.log(10))).alias("score"),
     )
+
+
+def _types(batch: pa.RecordBatch, kept: list[str]) -> list[pa.DataType]:
+    """Arrow types of a document's columns and of a packet's."""
+    own = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    return [*(batch.schema.field(c).type for c in kept), *own, pa.int64(), pa.int32(), pa.binary(), pa.binary()]

@@ -16,8 +16,9 @@ text's start and ends it, so the probabilities of all texts sum to one.
 Since S(c) is a subset of the symbols of every shorter context, an escape's effect on
 the next context depends on the context alone.  All of that is worked out once: a
 lookup of the last bytes gives the logarithm of the probability.  Several models share
-one trie, with a column each.  A single model with every gram of any corpus is a table
-instead (:func:`grams` and :func:`log_probabilities`), level by level from the empty context.
+one trie, with a column each.  A single model with every gram of any corpus is dealt into
+buckets of contexts instead: blocks of documents send their grams (:func:`block_packets`)
+and get their probabilities back (:func:`packet_logs`).
 """
 
 from __future__ import annotations
@@ -26,12 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..session import cut_lineage
 from .arrow_text import LOWER, chunks, lean, mixed
 from .packing import pack, pack_sorted, unpack, unpack_sorted
 
@@ -40,6 +38,8 @@ EDGE = 255
 DISCOUNT = 0.5
 #: Groups that the longest grams are dealt into; grams that a task holds at most.
 BUCKETS, HELD = 128, 1 << 21
+#: Context bytes of the table that all buckets share; the bucket number that its counts go by.
+HEAD, SHORT = 2, -2
 NODES = "model int, order int, gram long, n long, total long"
 EMPTY = np.uint64(2**64 - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -173,74 +173,130 @@ def _nodes(model: int, order: int, keys: np.ndarray, n: np.ndarray, least: float
     return pa.table(dict(zip(("model", "order", "gram", "n", "total"), columns, strict=True)))
 
 
-def grams(docs: DataFrame, depth: int, training: Column, text: str = "text") -> DataFrame:
-    """(g, n, m): every longest gram of all documents, its occurrences in training rows and in all rows."""
+def reversed_contexts(keys: np.ndarray) -> np.ndarray:
+    """Keys of :func:`gram_keys` (at most six bytes before the symbol) with the last byte of the context first.
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list = []
-        for b in batches:
-            for learns in (True, False):
-                rows = b["__sw_text"].filter(pc.equal(b["__sw_learns"], learns))
-                for _, _, raw, at in chunks(rows):
-                    keys, n = np.unique(gram_keys(LOWER[raw], at, depth)[0], return_counts=True)
-                    parts.append((keys, np.stack([n * learns, n], 1)))
-                    if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 19, len(parts[0][0])):
-                        parts[:] = [merged(parts)]
-                        if len(parts[0][0]) > HELD:
-                            yield from batched(parts)
-                            parts.clear()
-        if parts:
-            yield from batched(parts)
+    The symbol stays lowest, so the keys of a context and of all longer ones are neighbours when sorted.
+    """
+    return (keys.byteswap() & np.uint64((1 << 56) - 1)) | (keys & np.uint64(255))
 
-    def batched(parts: list) -> Iterator[pa.RecordBatch]:
-        keys, n = merged(parts)
-        for lo in range(0, len(keys), 1 << 18):
-            part = slice(lo, lo + (1 << 18))
-            columns = [keys[part].view(np.int64), *np.ascontiguousarray(n[part].T)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["g", "n", "m"])
 
-    plain = docs.select(F.coalesce(training, F.lit(False)).alias("__sw_learns"), F.coalesce(F.col(text), F.lit("")).alias("__sw_text"))
-    found = plain.mapInArrow(lean(counted), "g long, n long, m long")
-    return found.groupBy("g").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+def shorter(keys: np.ndarray, order: int) -> np.ndarray:
+    """Reversed keys cut to ``order`` bytes of context."""
+    return (keys & ~np.uint64((1 << 56 - 8 * order) - 1)) | (keys & np.uint64(255))
 
 
-def log_probabilities(found: DataFrame, depth: int) -> tuple[DataFrame, int]:
-    """((g, m, log), training rows) from the output of :func:`grams`, with no gram left out.
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Reversed keys that agree in one byte more than ``HEAD`` share a bucket."""
+    return (mixed(keys >> np.uint64(48 - 8 * HEAD)) % np.uint64(buckets)).astype(np.int32)
 
-    ``log`` is the natural logarithm of the probability of a gram's symbol after the
-    bytes before it.  Grams of one order are joined with those one byte shorter; each of
-    these has at most 256 longer ones, and a context at most 256 symbols, so no group is
-    large.  The driver holds the 256 byte values of the empty context.
-    """
-    spark, levels = found.sparkSession, [cut_lineage(found)]
-    for order in range(depth - 1, -1, -1):
-        shorter = F.col("g").bitwiseAND(F.lit(int(mask(order)))).alias("g")
-        levels.append(cut_lineage(levels[-1].groupBy(shorter).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))))
-    root = levels.pop().collect()
-    total, types = sum(r["n"] for r in root), sum(r["n"] > 0 for r in root)
+
+def root_level(keys: np.ndarray, n: np.ndarray) -> dict:
+    """Probabilities after the empty context, for each byte value of ``keys``."""
+    total, types = n.sum(), (n > 0).sum()
     left = np.log(DISCOUNT * types / total) if total else 0.0
-    past = float(left - np.log(max(256 - types, 1)))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        log = np.where(n > 0, np.log((n - DISCOUNT) / total), left - np.log(max(256 - types, 1)))
+    escape = np.full(len(keys), DISCOUNT * types)
+    return {"keys": keys, "n": n, "log": log, "kept": total - escape, "escape": escape}
+
+
+def next_level(below: dict, keys: np.ndarray, n: np.ndarray, order: int) -> dict:
+    """Probabilities of the sorted keys of one order, from those with a context shorter by one byte.
+
+    ``log`` is the natural logarithm of a symbol's probability after its context, ``kept``
+    and ``escape`` are the context's.
+    """
+    if not len(keys):
+        return {"keys": keys, "n": n, "log": np.zeros(0), "kept": np.zeros(0), "escape": np.zeros(0)}
+    up = np.searchsorted(below["keys"], shorter(keys, order - 1))
+    context = keys >> np.uint64(56 - 8 * order)
+    cut = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    size, first, seen, up_n = np.diff(np.append(cut, len(keys))), up[cut], n > 0, below["n"][up]
+    total, types = np.add.reduceat(n, cut), np.add.reduceat(seen.astype(np.int64), cut)
+    excluded = np.add.reduceat(np.where(seen, up_n - DISCOUNT, 0.0), cut)
     escape = DISCOUNT * types
-    symbols = [(r["g"], r["n"], r["m"], float(np.log((r["n"] - DISCOUNT) / total)) if r["n"] else past, total - escape, escape) for r in root]
-    below = spark.createDataFrame(symbols, "g long, n long, m long, log double, kept double, escape double")
-    n, seen = F.col("n"), F.col("n") > 0
-    context = Window.partitionBy(F.shiftright("g", 8))
-    for order in range(1, depth + 1):
-        up = below.select(F.col("g").alias("p"), F.col("n").alias("pn"), F.col("log").alias("plog"), F.col("kept").alias("pkept"), F.col("escape").alias("pescape"))
-        rows = levels.pop().withColumn("p", F.col("g").bitwiseAND(F.lit(int(mask(order - 1))))).join(up, "p")
-        rows = rows.withColumns({
-            "total": F.sum("n").over(context), "types": F.sum(seen.cast("int")).over(context),
-            "excluded": F.sum(F.when(seen, F.col("pn") - DISCOUNT).otherwise(0.0)).over(context),
-        })
-        rows = rows.withColumns({"escape": DISCOUNT * F.col("types"), "kept": F.col("total") - DISCOUNT * F.col("types")})
-        open_ = F.greatest(F.col("pkept") - F.col("excluded"), F.lit(0.0))
-        rest = F.greatest(F.col("pescape") - F.col("escape"), F.lit(DISCOUNT / 2))
-        leave = F.log(F.col("escape") / F.col("total")) + F.log((F.col("pkept") + F.col("pescape")) / (open_ + rest))
-        leave += F.when(F.col("pn") > 0, 0.0).otherwise(F.log(rest / F.col("pescape")))
-        log = F.when(seen, F.log((n - DISCOUNT) / F.col("total"))).when(F.col("total") > 0, F.col("plog") + leave).otherwise(F.col("plog"))
-        rows = rows.withColumn("log", log)
-        below = cut_lineage(rows.select("g", "n", "m", "log", "kept", "escape") if order < depth else rows.select("g", "m", "log"))
-    return below, sum(r["n"] for r in root if r["g"] == EDGE)
+    kept, up_kept, up_escape = total - escape, below["kept"][first], below["escape"][first]
+    rest = np.maximum(up_escape - escape, DISCOUNT / 2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        leave = np.log(escape / total) + np.log((up_kept + up_escape) / (np.maximum(up_kept - excluded, 0.0) + rest))
+        past = leave + np.log(rest / up_escape)
+        direct = np.log((n - DISCOUNT) / np.repeat(total, size))
+    known = total > 0  # an unknown context costs nothing
+    leave, past = np.repeat(np.where(known, leave, 0.0), size), np.repeat(np.where(known, past, 0.0), size)
+    log = np.where(seen, direct, below["log"][up] + np.where(up_n > 0, leave, past))
+    return {"keys": keys, "n": n, "log": log, "kept": np.repeat(kept, size), "escape": np.repeat(escape, size)}
+
+
+def block_packets(keys: np.ndarray, n: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, keys, counts) of a block's distinct reversed keys, and the counts of its short ones as bucket ``SHORT``."""
+    yield SHORT, *_packed(*merged([(shorter(keys, HEAD), n)]))
+    bucket = bucket_of(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    keys, n, bucket = keys[order], n[order], bucket[order]
+    cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    for lo, hi in zip(cut, np.append(cut[1:], len(keys)), strict=True):
+        yield int(bucket[lo]), *_packed(keys[lo:hi], n[lo:hi])
+
+
+def _packed(keys: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return pack_sorted(keys), pack(n.astype(np.int64))
+
+
+def _unpacked(keys: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return unpack_sorted(keys, np.uint64), unpack(n, np.int64)
+
+
+def head(packets: DataFrame, depth: int) -> dict:
+    """Probabilities after all contexts of ``HEAD`` bytes, or of ``depth`` where that is less.
+
+    UTF-8 has about four million windows of three bytes, a text corpus some hundred thousand:
+    that bounds what the driver holds and sends to the workers, whatever the input.
+    """
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list = []
+        for b in batches:
+            parts += [_unpacked(k.as_py(), c.as_py()) for k, c in zip(b["keys"], b["counts"], strict=True)]
+            parts = [merged(parts)] if parts else []
+        for keys, n in parts:
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["g", "n"])
+
+    short = packets.filter(F.col("bucket") == SHORT).select("keys", "counts").mapInArrow(counts, "g long, n long")
+    found = short.groupBy("g").agg(F.sum("n").alias("n")).toArrow()
+    keys, n = merged([(found["g"].to_numpy().view(np.uint64), found["n"].to_numpy())])
+    below = root_level(*merged([(shorter(keys, 0), n)]))
+    for order in range(1, min(HEAD, depth) + 1):
+        below = next_level(below, *merged([(shorter(keys, order), n)]), order)
+    return below
+
+
+def packet_logs(packets: DataFrame, depth: int) -> DataFrame:
+    """(block, bucket, logs): log probabilities for the keys of every packet, in their order.
+
+    A bucket has all longer contexts of its own, so all orders are worked out in one
+    group, with no gram left out.  Packets stay compressed but for the one being merged.
+    """
+    first = packets.sparkSession.sparkContext.broadcast(head(packets, depth))
+
+    def solve(group: pa.Table) -> pa.Table:
+        owner, held = group["block"], list(zip(group["keys"].to_pylist(), group["counts"].to_pylist(), strict=True))
+        parts: list = []
+        for packet in held:
+            parts.append(_unpacked(*packet))
+            if len(parts) >= 8 and sum(len(k) for k, _ in parts[1:]) > max(1 << 19, len(parts[0][0])):
+                parts = [merged(parts)]
+        levels = [merged(parts)]
+        for order in range(depth - 1, HEAD, -1):
+            levels.append(merged([(shorter(levels[-1][0], order), levels[-1][1])]))
+        below = first.value
+        for order in range(HEAD + 1, depth + 1):
+            below = next_level(below, *levels.pop(), order)
+        logs = below["log"].astype(np.float32)
+        out = [pack(logs[np.searchsorted(below["keys"], unpack_sorted(keys, np.uint64))]) for keys, _ in held]
+        return pa.table({"block": owner, "bucket": group["bucket"], "logs": pa.array(out, pa.binary())})
+
+    return packets.filter("bucket >= 0").groupBy("bucket").applyInArrow(solve, "block long, bucket int, logs binary")
 
 
 class Lookup:
