@@ -23,11 +23,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from ..session import cut_lineage
 from . import ppm
-from .arrow_text import CHUNK, LOWER, chunks, lean, span_hashes, word_spans
+from .arrow_text import LOWER, chunks, lean, span_hashes, word_spans
 from .packing import pack, unpack
 
 #: Longest context in bytes; distinct grams and bytes of text that end a block, which changes no result.
-DEPTH, HELD, BLOCK = 6, 1 << 21, 1 << 23
+DEPTH, HELD, BLOCK = 6, 1 << 21, 1 << 24
 #: Bytes of text for each bucket of grams, and the least number of buckets.
 BUCKET, BUCKETS = 1 << 24, 32
 #: The bucket number of a block's own texts.
@@ -103,7 +103,7 @@ class Block:
         """(bucket, keys, counts), and the texts as bucket ``TEXTS``: their bytes, their rows and sizes."""
         yield from ppm.block_packets(*ppm.merged(self.grams), buckets)
         shape = np.concatenate([*self.rows, *self.sizes]).astype(np.int64)
-        yield TEXTS, pack(np.concatenate(self.raw)), pack(shape)
+        yield TEXTS, pack(np.concatenate(self.raw), 3), pack(shape)
 
 
 def block_scores(packets: DataFrame, logs: DataFrame, buckets: int, depth: int) -> DataFrame:
@@ -114,18 +114,23 @@ def block_scores(packets: DataFrame, logs: DataFrame, buckets: int, depth: int)
         texts = int(np.flatnonzero(numbers == TEXTS)[0])
         raw = unpack(group["data"][texts].as_py(), np.uint8)
         rows, sizes = unpack(group["shape"][texts].as_py(), np.int64).reshape(2, -1)
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        keys, offsets = ppm.gram_keys(raw, at, depth)
-        keys = ppm.reversed_contexts(keys)
-        held = np.unique(keys)
-        bucket = ppm.bucket_of(held, buckets)
-        held = held[np.argsort(bucket, kind="stable")]
+        ends = pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]))
+        body = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, ends, pa.py_buffer(raw)])
+        held = np.zeros(0, np.uint64)
+        parts: list = []
+        for _, _, part, at in chunks(body):  # keys take eight times the room of the text: made twice, never all at once
+            parts.append(np.unique(ppm.gram_keys(part, at, depth)[0]))
+            if sum(map(len, parts)) > max(1 << 20, len(held)):
+                held, parts = np.unique(np.concatenate([held, *parts])), []
+        held = np.unique(ppm.reversed_contexts(np.concatenate([held, *parts])))
+        held = held[np.argsort(ppm.bucket_of(held, buckets), kind="stable")]
         order = [i for i in np.argsort(numbers, kind="stable") if i != texts]
-        log = np.concatenate([unpack(group["data"][int(i)].as_py(), np.float32) for i in order])
-        table, out = ppm.Lookup(held), np.zeros(len(keys))
-        for lo in range(0, len(keys), CHUNK):
-            out[lo : lo + CHUNK] = log[table.find(keys[lo : lo + CHUNK])]
-        return pa.table({"__sw_row": rows, "__sw_logs": np.add.reduceat(out, offsets[:-1])})
+        log = np.concatenate([unpack(group["data"][int(i)].as_py(), np.uint8).view(np.float32) for i in order])
+        table, out = ppm.Lookup(held), np.zeros(len(rows))
+        for lo, hi, part, at in chunks(body):
+            keys, offsets = ppm.gram_keys(part, at, depth)
+            out[lo:hi] = np.add.reduceat(log[table.find(ppm.reversed_contexts(keys))], offsets[:-1], dtype=np.float64)
+        return pa.table({"__sw_row": rows, "__sw_logs": out})
 
     texts = packets.filter(F.col("bucket") == TEXTS).select("block", "bucket", F.col("keys").alias("data"), F.col("counts").alias("shape"))
     back = logs.select("block", "bucket", F.col("logs").alias("data"), F.lit(None).cast("binary").alias("shape"))

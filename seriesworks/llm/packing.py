@@ -6,11 +6,11 @@ import numpy as np
 import zstandard
 
 
-def pack(values: np.ndarray) -> bytes:
+def pack(values: np.ndarray, level: int = 1) -> bytes:
     """Byte planes, compressed: equal high bytes take almost no room."""
     values = np.ascontiguousarray(values)
     planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes()) if len(values) else b""
+    return zstandard.ZstdCompressor(level=level).compress(planes.tobytes()) if len(values) else b""
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:

@@ -293,7 +293,8 @@ def packet_logs(packets: DataFrame, depth: int) -> DataFrame:
         for order in range(HEAD + 1, depth + 1):
             below = next_level(below, *levels.pop(), order)
         logs = below["log"].astype(np.float32)
-        out = [pack(logs[np.searchsorted(below["keys"], unpack_sorted(keys, np.uint64))]) for keys, _ in held]
+        # whole values, not their planes, since few values are frequent
+        out = [pack(logs[np.searchsorted(below["keys"], unpack_sorted(keys, np.uint64))].view(np.uint8), 3) for keys, _ in held]
         return pa.table({"block": owner, "bucket": group["bucket"], "logs": pa.array(out, pa.binary())})
 
     return packets.filter("bucket >= 0").groupBy("bucket").applyInArrow(solve, "block long, bucket int, logs binary")
