@@ -364,7 +364,8 @@ _CALENDAR_SPLIT = """rows_split AS (
     SELECT *, CASE WHEN date < DATE '2000-01-01' THEN 'train' ELSE 'valid' END AS split FROM daily)"""
 
 
-def _boosting_first_split() -> str:
+def _boosting_first_split(leaves_only: bool = False) -> str:
+    """The nodes of the best split; with ``leaves_only`` the leaves' predictions and rows."""
     features = {"month": "month(date)", "quarter": "quarter(date)", "day": "day(date)", "dayofweek": "isodow(date) - 1"}
     long = " UNION ALL ".join(
         f"SELECT {i} AS pos, '{name}' AS feature, CAST({x} AS DOUBLE) AS x, g FROM train" for i, (name, x) in enumerate(features.items())
@@ -386,6 +387,12 @@ def _boosting_first_split() -> str:
              WINDOW w AS (PARTITION BY feature ORDER BY x)),
     best AS (SELECT *, tg - lg AS rg, tn - ln AS rn, {gain("lg", "ln")} + {gain("tg - lg", "(tn - ln)")} - {gain("tg", "tn")} AS gain
              FROM upto, total WHERE ln >= 20 AND tn - ln >= 20 ORDER BY gain DESC, pos, x LIMIT 1)"""
+    if leaves_only:
+        mean = "(SELECT avg(sales_quantity) FROM rows_split WHERE split = 'train')"
+        body = f"""
+        SELECT {_r(f"{mean} + {value('lg', 'ln')}", "predicted", 4)}, CAST(ln AS BIGINT) AS rows FROM best
+        UNION ALL SELECT {_r(f"{mean} + {value('rg', 'rn')}", "predicted", 4)}, CAST(rn AS BIGINT) FROM best"""
+        return _sql(body, "daily", extra=extra)
     body = f"""
     SELECT 0 AS node, feature, {_r("x", "threshold", 4)}, 1 AS left_node, 2 AS right_node, {_r("gain", "gain", 4)},
            CAST(NULL AS DOUBLE) AS value, CAST(tn AS BIGINT) AS rows FROM best
@@ -1069,6 +1076,7 @@ def oracles() -> dict[str, str]:
             "lags",
         ),
         "boosting_first_split": _boosting_first_split(),
+        "stage_round_trip": _boosting_first_split(leaves_only=True),
         "series_first_splits": _series_first_splits(),
         "ordered_encoding": _ordered_encoding(),
         "trend_intervals": _trend_intervals(),

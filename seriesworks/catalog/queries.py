@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date as Date
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from seriesworks.operators import (
     sketches,
     series_boosting,
     splits,
+    stages,
     store,
     training,
 )
@@ -1070,18 +1072,33 @@ def _calendar_split(spark, sf_dir):
     return rows.withColumn("split", F.when(day < F.lit("2000-01-01").cast("date"), "train").otherwise("valid"))
 
 
+CALENDAR = ["month", "quarter", "day", "dayofweek"]
+#: One tree with one split, with both regularisations.
+ONE_SPLIT = {
+    "num_boost_round": 1, "num_leaves": 2, "learning_rate": 1.0, "lambda_l1": 5.0, "lambda_l2": 3.0,
+    "feature_fraction": 1.0, "bagging_freq": 0, "early_stopping_rounds": 0,
+}
+
+
 @query
 def boosting_first_split(spark, sf_dir):
     """One tree with one split, with both regularisations: the split must be the best of all."""
-    params = {
-        "num_boost_round": 1, "num_leaves": 2, "learning_rate": 1.0, "lambda_l1": 5.0, "lambda_l2": 3.0,
-        "feature_fraction": 1.0, "bagging_freq": 0, "early_stopping_rounds": 0,
-    }
     rows = _calendar_split(spark, sf_dir)
-    model = boosting.fit_trees(rows, ["month", "quarter", "day", "dayofweek"], TARGET, params, max_bins=255)
+    model = boosting.fit_trees(rows, CALENDAR, TARGET, ONE_SPLIT, max_bins=255)
     return tidy(dataclasses.replace(model, trees=model.grown).nodes(spark).drop("tree"), 4)
 
 
+@query
+def stage_round_trip(spark, sf_dir):
+    """That tree as the stage of a pipeline, saved and loaded: its training predictions and their rows."""
+    rows = cut_lineage(_calendar_split(spark, sf_dir).where("split = 'train'"))
+    path = f"{application_folder(spark)}/stages-{uuid.uuid4().hex}"
+    trees = stages.BoostedTreesRegressor(featureCols=CALENDAR, boosting=ONE_SPLIT, maxBins=255)
+    Pipeline(stages=[trees]).fit(rows).write().save(path)
+    loaded = PipelineModel.load(path).transform(rows)
+    return tidy(loaded.groupBy("predicted").agg(F.count(F.lit(1)).alias("rows")), 4)
+
+
 @query
 def series_first_splits(spark, sf_dir):
     """One tree with one split for each series, with both regularisations: the split must be the best of all."""
