@@ -88,7 +88,7 @@ class Block:
         keys, trained = ppm.reversed_contexts(keys), np.repeat(learns, np.diff(offsets))
         found, n = np.unique(keys[trained], return_counts=True)
         self.grams.append((found, n))
-        found = np.unique(keys[~trained])
+        found = ppm.distinct(keys[~trained])
         self.grams.append((found, np.zeros(len(found), np.int64)))
         if len(self.grams) >= 16 and sum(len(k) for k, _ in self.grams[1:]) > max(1 << 19, len(self.grams[0][0])):
             self.grams = [ppm.merged(self.grams)]
@@ -119,10 +119,10 @@ def block_scores(packets: DataFrame, logs: DataFrame, buckets: int, depth: int)
         held = np.zeros(0, np.uint64)
         parts: list = []
         for _, _, part, at in chunks(body):  # keys take eight times the room of the text: made twice, never all at once
-            parts.append(np.unique(ppm.gram_keys(part, at, depth)[0]))
+            parts.append(ppm.distinct(ppm.gram_keys(part, at, depth)[0]))
             if sum(map(len, parts)) > max(1 << 20, len(held)):
-                held, parts = np.unique(np.concatenate([held, *parts])), []
-        held = np.unique(ppm.reversed_contexts(np.concatenate([held, *parts])))
+                held, parts = ppm.distinct(np.concatenate([held, *parts])), []
+        held = ppm.distinct(ppm.reversed_contexts(np.concatenate([held, *parts])))
         held = held[np.argsort(ppm.bucket_of(held, buckets), kind="stable")]
         order = [i for i in np.argsort(numbers, kind="stable") if i != texts]
         log = np.concatenate([unpack(group["data"][int(i)].as_py(), np.uint8).view(np.float32) for i in order])

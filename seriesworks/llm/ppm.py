@@ -82,6 +82,12 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[cut], np.add.reduceat(counts, cut) if len(cut) else counts
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys, by sorting: ``np.unique`` hashes instead, ten times slower on millions of keys."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
+
+
 def gram_counts(docs: DataFrame, depth: int, model: str, text: str = "text") -> DataFrame:
     """(bucket, model, grams, counts): packed counts of the longest grams, from each task.
 
