@@ -51,7 +51,7 @@ TOKEN = re.compile(
 )
 MARKS = re.compile(r"""(?<![\w:.-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORD = re.compile(r"[a-z]+")
-#: Longest group of tokens that is looked for as a repeat.
+#: Groups of up to so many tokens are compared at every token; longer repeats are found by as many tokens that occurred before.
 MAX_GROUP = 48
 
 
@@ -150,17 +150,30 @@ def parse(html: str) -> tuple[list[str], list[tuple[int, str, int]]]:
 
 
 def fold(tokens: list[str], blocks: list[tuple[int, str, int]]) -> tuple[list[str], list[int]]:
-    """(signature, slot): groups of tokens that repeat side by side kept once, and the place of each block's text in it."""
+    """(signature, slot): groups of tokens that repeat side by side kept once, and the place of each block's text in it.
+
+    At each token the shortest group that ends there is folded, whatever its length.
+    """
     out: list[str] = []
     slots: list[int] = []
+    ends: dict[int, list[int]] = {}  # where runs of MAX_GROUP tokens end, by their hashes
+    hashed: list[int] = []  # the hash of the run that ends after MAX_GROUP tokens, after one more, and so on
     for token in tokens:
         out.append(token)
         if token == "#":
             slots.append(len(out) - 1)
         n = len(out)
-        for size in range(1, min(MAX_GROUP, n // 2) + 1):
-            if out[n - 1 - size] == token and out[n - size :] == out[n - 2 * size : n - size]:
+        sizes = range(1, min(MAX_GROUP, n // 2) + 1)
+        if n > 2 * MAX_GROUP:
+            while len(hashed) + MAX_GROUP <= n:
+                hashed.append(hash(tuple(out[len(hashed) : len(hashed) + MAX_GROUP])))
+                ends.setdefault(hashed[-1], []).append(len(hashed) + MAX_GROUP - 1)
+            sizes = [*sizes, *(n - e for e in reversed(ends[hashed[-1]]) if MAX_GROUP < n - e <= n // 2)]
+        for size in sizes:
+            if out[n - 1 - size] == token and out[n - size] == out[n - 2 * size] and out[n - size :] == out[n - 2 * size : n - size]:
                 del out[n - size :]
+                while hashed and len(hashed) + MAX_GROUP - 1 > len(out):
+                    ends[hashed.pop()].pop()
                 i = len(slots)
                 while i and slots[i - 1] >= n - size:
                     i -= 1

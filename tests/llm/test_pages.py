@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from llm_helpers import rows
 
@@ -148,3 +150,85 @@ def test_foreign_marks_are_whole_tokens():
     tags = {"ad": 1, "ad-box": 1, "cookie-notice": 1, "share-buttons": 1, "post-comments": 1, "Related_Posts": 1, "left sidebar": 1, "ad-slot-2": 1,
             "search-results": 0, "related-work": 0, "has-sidebar": 0, "comment-on-law": 0, "notice-period": 0}
     assert {c: int("!" in markup.label("div", f'class="{c}"')) for c in tags} == tags
+
+
+def test_repeats_of_any_length_are_folded():
+    def plain(tokens):
+        out = []
+        for token in tokens:
+            out.append(token)
+            n = len(out)
+            size = next((k for k in range(1, n // 2 + 1) if out[n - k :] == out[n - 2 * k : n - k]), 0)
+            del out[n - size :]
+        return out
+
+    deal = random.Random(3)
+    for n in (60, 130, 400):
+        item = [deal.choice("abcdefg") for _ in range(n)]
+        tokens = [*"xy", *item, *item, *item[: n // 2], *item, *item, *item, "z"]
+        assert markup.fold(tokens, [])[0] == plain(tokens)
+        assert markup.fold(["x", *item, *item, *item, "z"], [])[0] == plain(["x", *item, "z"])
+    # texts of every copy are in the slots of the first
+    row = [t for i in range(30) for t in (f"h{i}", "#", f"/h{i}")]
+    texts = [(i, str(i), 0) for i, t in enumerate(row * 3) if t == "#"]
+    signature, slots = markup.fold(row * 3, texts)
+    assert signature == row and slots == [i for i, t in enumerate(row) if t == "#"] * 3
+
+
+def test_longest_common_subsequences(monkeypatch):
+    def length(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    deal = random.Random(5)
+    for cells in (wrappers.CELLS, 8):
+        monkeypatch.setattr(wrappers, "CELLS", cells)
+        for _ in range(150):
+            a, b = ([deal.choice("abcd") for _ in range(deal.randint(0, 25))] for _ in range(2))
+            found = wrappers.longest(a, b)
+            assert len(found) == length(a, b) and all(a[i] == b[j] for i, j, _ in found)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(found, found[1:], strict=False))
+    monkeypatch.undo()
+    # runs stay together where as many single tokens match
+    assert wrappers.longest("div p # /p /div div # /div".split(), "div # /div".split()) == [(5, 0, 1), (6, 1, 1), (7, 2, 1)]
+
+
+KINDS = ["h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "section", "address"]
+
+
+def shaped(i, bits):
+    """For each number another choice of blocks, so another stream."""
+    return "".join(f"<{kind}>{kind} of {i}</{kind}>" for k, kind in enumerate(KINDS[:bits]) if i >> k & 1)
+
+
+def test_all_streams_of_a_host_count(spark):
+    """More streams than one task aligns: the notice goes from all pages, and plain pages get their article's slots."""
+    notice = "<div>Read this first</div>"
+    pages = [(i, "http://a.org", page(f"<article><h1>Title {i}</h1>{notice}<p>Text {i}</p>{shaped(i, 9)}</article>")) for i in range(450)]
+    pages += [(1000 + i, "http://b.org", page(f"<article><h1>Title {i}</h1>{notice}<p>Text {i}</p></article>")) for i in range(4)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()}
+    assert len(got) == 454 and [i for i, text in got.items() if "Read this first" in text] == []
+    for i in (0, 7, 449):
+        texts = [f"{kind} of {i}" for k, kind in enumerate(KINDS) if i >> k & 1]
+        assert got[i] == "\n".join([f"Title {i}", f"Text {i}", *texts])
+    assert got[1002] == "Title 2\nText 2"
+
+
+@pytest.mark.parametrize("group", [3, 40])
+def test_groups_of_streams_judge_like_one(spark, group):
+    """Two rounds of wrappers and more, hosts that end in different rounds, pages without an article element, copies, no markup."""
+    made = [page(f"<article><h1>Title {i}</h1><div>Read this first</div><p>Text {i}</p>{shaped(i, 7)}</article>") for i in range(128)]
+    plain = [f"<body><div>Site</div><div>{shaped(i, 3)}<p>Text {i}</p></div><ul><li><a>More {i}</a></ul></body>" for i in range(8)]
+    pages = [(i, "http://a.org", html) for i, html in enumerate([*made, *made[:5], None, ""])]
+    pages += [(1000 + i, "http://b.org", html) for i, html in enumerate(plain)] + [(2000, None, plain[0])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    whole = rows(wrappers.extract(df, group=1000))
+    assert rows(wrappers.extract(df, group=group)) == whole and len(whole) == len(pages)
+    found = wrappers.wrappers(wrappers.parsed(df, "url", "html", []), group=group).collect()
+    assert len(found) == 128 + 1 + 8 + 1 == len({(r["host"], r["key"]) for r in found})
+    assert all(r["wrapper"] is not None and r["chosen"] is not None for r in found)
+    assert len({r["wrapper"] for r in found if r["host"] == "a.org"}) == 1
